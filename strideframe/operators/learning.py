@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
@@ -132,7 +134,11 @@ def stack_fit(
         finally:
             train.unpersist()
 
-    watch_model, phone_model = fit_base(watch, "watch"), fit_base(phone, "phone")
+    # The two forests do not depend on each other; their jobs share the cluster.
+    with ThreadPool(2) as pool:
+        watch_model, phone_model = pool.map(
+            inheritable_thread_target(lambda job: fit_base(*job)), [(watch, "watch"), (phone, "phone")]
+        )
     validation = _base_probabilities(
         watch_model,
         phone_model,

@@ -58,9 +58,11 @@ def read_stream(spark: SparkSession, root: str, device: str, sensor: str) -> Dat
 
 
 def write_readings(df: DataFrame, path: str, terminator: str = ";") -> None:
-    """Write readings back in the text form that ``read_readings`` reads."""
-    lines = F.concat(
-        F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in READING_SCHEMA.names]),
-        F.lit(terminator),
-    )
-    df.select(lines.alias("value")).write.mode("overwrite").text(path)
+    """Write readings back in the text form that ``read_readings`` reads.
+
+    A null is an empty cell, without a terminator, and comes back as null.
+    """
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in READING_SCHEMA.names[:-1]]
+    last = F.col(READING_SCHEMA.names[-1]).cast("string")
+    line = F.concat_ws(",", *cells, F.coalesce(F.concat(last, F.lit(terminator)), F.lit("")))
+    df.select(line.alias("value")).write.mode("overwrite").text(path)

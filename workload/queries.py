@@ -51,7 +51,7 @@ def _feature_report(df: DataFrame) -> DataFrame:
 
 def _small_hot(df: DataFrame) -> ops.HotGroups | None:
     """Treat series above 200 rows as hot, so that the way for hot series is taken."""
-    return ops.hot_groups(df, SERIES_KEYS, max_rows=200, part_rows=2_000, small_bytes=0)
+    return ops.hot_groups(df, SERIES_KEYS, max_rows=200, part_rows=10_000, small_bytes=0)
 
 
 def motion_features(spark, sf_dir):
