@@ -6,10 +6,10 @@ than ``MAX_SERIES_ROWS`` rows would put all of them into one task, so such hot
 series take another way to the same result:
 
 1. their rows are range-partitioned by (series, order), which cuts one series
-   into many ordered parts, and the cut is written once;
-2. each part is numbered on its own;
-3. one small row per part (its row count and its last values) is carried over to
-   the next part.
+   into many ordered parts;
+2. each part is numbered on its own and written once;
+3. one small row per part (its total and its last values) is carried over to the
+   next part.
 """
 
 from __future__ import annotations
@@ -154,35 +154,43 @@ def _number_parts(members, hot, columns, order, amount, place, previous, positio
         .drop("_origin")
         .withColumn("_part", F.spark_partition_id())
     )
-    cut = materialize(ranged, "series-parts")
-
     w = W.partitionBy("_series", "_part").orderBy(*order)
-    local = cut.select(
-        "*", F.row_number().over(w).alias("_row"), place(w).alias("_place"), *previous(w)
+    local = ranged.select(
+        "*",
+        (F.row_number().over(w) == 1).alias("_first"),
+        F.lead(F.lit(1)).over(w).isNull().alias("_last"),
+        place(w).alias("_place"),
+        *previous(w),
     )
-    last = [F.max_by(F.struct(*lags), F.col("_row")).alias("_last")] if lags else []
-    edges = local.groupBy("_series", "_part").agg(F.sum(amount).alias("_amount"), *last)
+    # Where a part ends is settled once it is written; from here on every reader
+    # sees the same parts.
+    cut = materialize(local, "series-parts")
 
+    # One row per part: its last one. Small, and written so that its size is known.
     by_part = W.partitionBy("_series").orderBy("_part")
+    ends = cut.where("_last").withColumn("_amount", F.col("_place") + amount)
     before = F.sum("_amount").over(by_part.rowsBetween(W.unboundedPreceding, -1))
-    edges = edges.select(
-        F.col("_series").alias("_edge_series"),
-        F.col("_part").alias("_edge_part"),
-        F.coalesce(before, F.lit(0).cast("long")).alias("_offset"),
-        *([F.lag("_last").over(by_part).alias("_before")] if lags else []),
-        *([F.sum("_amount").over(W.partitionBy("_series")).alias(length)] if length else []),
+    edges = materialize(
+        ends.select(
+            F.col("_series").alias("_edge_series"),
+            F.col("_part").alias("_edge_part"),
+            F.coalesce(before, F.lit(0).cast("long")).alias("_offset"),
+            *[F.lag(c).over(by_part).alias(f"_before_{c}") for c in lags],
+            *([F.sum("_amount").over(W.partitionBy("_series")).alias(length)] if length else []),
+        ),
+        "series-edges",
     )
-    joined = local.join(
+    joined = cut.join(
         edges, (F.col("_series") == F.col("_edge_series")) & (F.col("_part") == F.col("_edge_part"))
     )
-    first = F.col("_row") == 1
+    carried = [
+        F.when(F.col("_first"), F.col(f"_before_{c}")).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}")
+        for c in lags
+    ]
     return joined.select(
         *columns,
         (F.col("_place") + F.col("_offset")).alias(position),
-        *[
-            F.when(first, F.col("_before").getField(c)).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}")
-            for c in lags
-        ],
+        *carried,
         *([length] if length else []),
     )
 

@@ -89,28 +89,11 @@ def category_names(
 
 def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample standard deviation, min and max, one row per column."""
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.avg(v).alias(f"m{i}"),
-            F.stddev_samp(v).alias(f"s{i}"),
-            F.min(v).alias(f"l{i}"),
-            F.max(v).alias(f"h{i}"),
-        ]
-    rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"n{i}").alias("count"),
-            F.col(f"m{i}").alias("mean"),
-            F.col(f"s{i}").alias("stddev"),
-            F.col(f"l{i}").alias("min"),
-            F.col(f"h{i}").alias("max"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    values = df.selectExpr(*[f"cast(`{c}` AS double) AS _{i}" for i, c in enumerate(cols)])
+    statistics = ("count", "avg", "stddev_samp", "min", "max")
+    one = values.agg(*[F.expr(f"{f}(_{i}) AS {f}_{i}") for i in range(len(cols)) for f in statistics])
+    rows = [f"{_text(c)}, " + ", ".join(f"{f}_{i}" for f in statistics) for i, c in enumerate(cols)]
+    return one.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (column, count, mean, stddev, min, max)")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -120,14 +103,20 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     beyond one partial row per task.
     """
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(cols)])
-    one = values.agg(*[F.corr(f"_{a}", f"_{b}").alias(f"r_{a}_{b}") for a, b in pairs])
+    values = df.selectExpr(*[f"nullif(cast(`{c}` AS double), double('NaN')) AS _{i}" for i, c in enumerate(cols)])
+    one = values.agg(*[F.expr(f"corr(_{i}, _{j}) AS r_{i}_{j}") for i, j in pairs])
     rows = [
-        F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), F.col(f"r_{i}_{j}").alias("corr"))
+        f"{_text(cols[a])}, {_text(cols[b])}, r_{i}_{j}"
         for i, j in pairs
         for a, b in dict.fromkeys([(i, j), (j, i)])
     ]
-    return one.select(F.inline(F.array(*rows)))
+    return one.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (col_a, col_b, corr)")
+
+
+def _text(name: str) -> str:
+    """``name`` as a SQL string literal."""
+    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def box_summary(
@@ -175,7 +164,8 @@ def box_summary(
         low, high = q1 - reach, q3 + reach
         aggs += [
             F.count(v).alias(f"n{i}"),
-            F.any_value(q).alias(f"q{i}"),
+            # single numbers, so that a hash aggregation can hold them
+            *[F.any_value(q[j]).alias(f"q{i}_{j}") for j in range(len(QUARTILES))],
             F.min(F.when(v >= low, v)).alias(f"lo{i}"),
             F.max(F.when(v <= high, v)).alias(f"hi{i}"),
             F.count(F.when((v < low) | (v > high), v)).alias(f"out{i}"),
@@ -183,7 +173,7 @@ def box_summary(
     boxes = joined.groupBy("_by").agg(*aggs)
     structs = []
     for i, c in enumerate(cols):
-        q = F.col(f"q{i}")
+        q = [F.col(f"q{i}_{j}") for j in range(len(QUARTILES))]
         structs.append(
             F.struct(
                 F.lit(c).alias("column"),

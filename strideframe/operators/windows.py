@@ -1,8 +1,8 @@
 """Sliding windows by row count over each series.
 
 Window ``i`` of a series covers its rows ``i*step .. i*step+size-1``; only full
-windows exist. When ``step`` divides ``size`` the rows are first reduced to panes
-of ``step`` rows, and each window is put together from ``size/step`` panes, so no
+windows exist. When ``step`` divides ``size`` the rows can first be reduced to panes of
+``step`` rows, and each window is put together from ``size/step`` panes, so no
 row is copied. Otherwise each row is copied into the windows it belongs to. A
 window never has more than ``size`` rows, so no group is hot after numbering.
 """
@@ -14,12 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strideframe.functions import decode, nan_to_null, null_to_nan
+from strideframe.functions import decode, nan_to_null
 from strideframe.operators.series import HotGroups, first_n, number_rows
 from strideframe.schemas import CLASS_INDEX, SERIES_KEYS, WINDOW_KEYS
 
 WINDOW_SIZE = 200
 WINDOW_STEP = 100
+#: Up to this many windows per row, copying the row into its windows is at least
+#: as fast as reducing panes first: both combine before they shuffle.
+PANES_FROM = 4
 
 
 def _check(size: int, step: int) -> None:
@@ -80,56 +83,55 @@ def summarize_windows(
     reading makes both statistics of its column and window null.
     """
     _check(size, step)
+    per_window = size / step
     if method == "auto":
-        method = "pane" if size % step == 0 else "explode"
+        method = "pane" if size % step == 0 and per_window > PANES_FROM else "explode"
+    if method not in ("pane", "explode"):
+        raise ValueError(f"method must be 'auto', 'pane' or 'explode', not {method!r}")
     if method == "pane" and size % step:
         raise ValueError("panes need a step that divides the size")
     needed = list(dict.fromkeys([*keys, *order_by, *cols]))
     numbered = number_rows(df.select(*needed), keys, order_by, nulls_last=True, hot=hot)
-    values = {c: null_to_nan(F.col(c).cast("float")) for c in cols}
+
+    # One SQL text per column: with dozens of columns, building the same
+    # expressions from single function calls would take longer than small runs.
+    values = [f"nvl(cast(cast(`{c}` AS float) AS double), double('NaN')) AS `{c}`" for c in cols]
+    group = [f"`{k}`" for k in keys]
+    rows = F.count(F.lit(1)).alias("_rows")
+
+    def agg(template: str, name: str):
+        return [F.expr(f"{template.format(f'`{c}`', mean=f'`{c}_mean`', var=f'`{c}_var`')} AS `{c}_{name}`") for c in cols]
 
     if method == "pane":
-        k = size // step
         panes = (
-            numbered.groupBy(*keys, F.expr(f"pos div {step}").alias("_pane"))
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[F.avg(values[c]).alias(f"{c}_m") for c in cols],
-                *[F.var_pop(values[c]).alias(f"{c}_v") for c in cols],
-            )
+            numbered.selectExpr(*group, f"pos div {step} AS _pane", *values)
+            .groupBy(*keys, "_pane")
+            .agg(rows, *agg("avg({})", "mean"), *agg("var_pop({})", "var"))
             .where(F.col("_rows") == step)
         )
         # All panes are of one size, so the variance of a window is the mean of
         # its panes' variances plus the variance of its panes' means.
         stats = (
-            panes.withColumn("window_index", _explode_panes(k))
+            panes.withColumn("window_index", _explode_panes(size // step))
             .groupBy(*keys, "window_index")
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[F.avg(f"{c}_m").alias(f"{c}_mean") for c in cols],
-                *[
-                    F.sqrt(F.avg(f"{c}_v") + F.var_pop(f"{c}_m")).alias(f"{c}_std")
-                    for c in cols
-                ],
-            )
-            .where(F.col("_rows") == k)
+            .agg(rows, *agg("avg({mean})", "mean"), *agg("sqrt(avg({var}) + var_pop({mean}))", "std"))
+            .where(F.col("_rows") == size // step)
         )
-    elif method == "explode":
+    else:
         stats = (
             numbered.withColumn("window_index", _explode_windows(size, step))
+            .selectExpr(*group, "window_index", *values)
             .groupBy(*keys, "window_index")
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[F.avg(values[c]).alias(f"{c}_mean") for c in cols],
-                *[F.stddev_pop(values[c]).alias(f"{c}_std") for c in cols],
-            )
+            .agg(rows, *agg("avg({})", "mean"), *agg("stddev_pop({})", "std"))
             .where(F.col("_rows") == size)
         )
-    else:
-        raise ValueError(f"method must be 'auto', 'pane' or 'explode', not {method!r}")
 
-    out = [nan_to_null(f"{c}_{s}").cast(out_type).alias(f"{c}_{s}") for c in cols for s in ("mean", "std")]
-    return stats.select(*keys, F.col("window_index").cast("int").alias("window_index"), *out)
+    out = [
+        f"if(isnan(`{c}_{s}`), NULL, cast(`{c}_{s}` AS {out_type})) AS `{c}_{s}`"
+        for c in cols
+        for s in ("mean", "std")
+    ]
+    return stats.selectExpr(*group, "cast(window_index AS int) AS window_index", *out)
 
 
 def collect_windows(

@@ -50,8 +50,10 @@ def expected(pdf, cols, size, step):
     return out
 
 
-@pytest.mark.parametrize("size, step", [(200, 100), (50, 25), (50, 20), (20, 30), (7, 7), (1, 1), (10, 3)])
-@pytest.mark.parametrize("method", ["auto", "explode"])
+@pytest.mark.parametrize(
+    "size, step, method",
+    [(200, 100, "auto"), (50, 25, "pane"), (50, 20, "auto"), (20, 30, "auto"), (7, 7, "pane"), (1, 1, "auto"), (50, 5, "auto"), (50, 5, "explode")],
+)
 def test_summaries_match_brute_force(spark, readings, size, step, method):
     got = summarize_windows(readings, ["x", "y"], size=size, step=step, method=method).toPandas()
     want = expected(readings.toPandas(), ["x", "y"], size, step)
@@ -94,7 +96,7 @@ def test_pane_needs_a_dividing_step(spark, readings):
         summarize_windows(readings, ["x"], method="other")
 
 
-@pytest.mark.parametrize("size, step", [(200, 100), (50, 20), (20, 30)])
+@pytest.mark.parametrize("size, step", [(200, 100), (50, 20), (20, 30), (60, 10)])
 def test_split_series_give_the_same_windows(spark, readings, size, step):
     hot = hot_groups(readings, ["subject_id", "activity_label"], max_rows=250, part_rows=60, small_bytes=0)
     assert hot.groups == 3

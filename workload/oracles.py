@@ -295,7 +295,8 @@ FROM lr WINDOW s AS (PARTITION BY subject_id, activity_label ORDER BY {ORDER})""
 SELECT subject_id, activity_label, l_orderkey, l_linenumber, l_partkey, window_index, pos FROM assigned""",
     "window_summary": summary(50, 25),
     "window_summary_default": summary(200, 100),
-    "window_summary_copied": summary(50, 25),
+    "window_summary_panes": summary(50, 25),
+    "window_summary_dense": summary(50, 5),
     "window_summary_uneven": summary(50, 20),
     "window_summary_gaps": summary(20, 30),
     "window_summary_hot": summary(50, 25),

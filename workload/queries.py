@@ -126,8 +126,12 @@ def window_summary_default(spark, sf_dir):
     return _windows(spark, sf_dir, 200, 100)
 
 
-def window_summary_copied(spark, sf_dir):
-    return _windows(spark, sf_dir, 50, 25, method="explode")
+def window_summary_panes(spark, sf_dir):
+    return _windows(spark, sf_dir, 50, 25, method="pane")
+
+
+def window_summary_dense(spark, sf_dir):
+    return _windows(spark, sf_dir, 50, 5)
 
 
 def window_summary_uneven(spark, sf_dir):
@@ -477,7 +481,8 @@ ALL: dict[str, Query] = {
         window_assignment,
         window_summary,
         window_summary_default,
-        window_summary_copied,
+        window_summary_panes,
+        window_summary_dense,
         window_summary_uneven,
         window_summary_gaps,
         window_summary_hot,
