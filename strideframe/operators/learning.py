@@ -137,7 +137,8 @@ def stack_fit(
     # The two forests do not depend on each other; their jobs share the cluster.
     with ThreadPool(2) as pool:
         watch_model, phone_model = pool.map(
-            inheritable_thread_target(lambda job: fit_base(*job)), [(watch, "watch"), (phone, "phone")]
+            inheritable_thread_target(watch.sparkSession)(lambda job: fit_base(*job)),
+            [(watch, "watch"), (phone, "phone")],
         )
     validation = _base_probabilities(
         watch_model,

@@ -41,8 +41,8 @@ SELECT subject_id, activity_label, "timestamp", l_orderkey, l_linenumber, l_part
   round(dx, 6) + 0.0 AS x_dx, round(dy, 6) + 0.0 AS y_dy, round(dz, 6) + 0.0 AS z_dz,
   round(magnitude, 6) + 0.0 AS x_magnitude,
   round(x * y, 6) + 0.0 AS x_y, round(x * z, 6) + 0.0 AS x_z, round(y * z, 6) + 0.0 AS y_z,
-  round(ax, 12) + 0.0 AS x_ax, round(ay, 12) + 0.0 AS y_ay, round(az, 12) + 0.0 AS z_az,
-  round(jerk, 12) + 0.0 AS x_jerk
+  ax + 0.0::DOUBLE AS x_ax, ay + 0.0::DOUBLE AS y_ay, az + 0.0::DOUBLE AS z_az,
+  round(jerk, 14) + 0.0 AS x_jerk
 FROM feat"""
 
 FIRST_N = f"""WITH {SERIES},
@@ -286,7 +286,7 @@ ALL: dict[str, str] = {
     "motion_features_hot": MOTION,
     "series_positions": f"""WITH {SERIES}
 SELECT subject_id, activity_label, l_orderkey, l_linenumber, l_partkey,
-  row_number() OVER s - 1 AS pos, lag("timestamp") OVER s AS prev_timestamp,
+  row_number() OVER s - 1 AS pos, coalesce(lag("timestamp") OVER s, -1) AS prev_timestamp,
   count(*) OVER (PARTITION BY subject_id, activity_label) AS series_rows
 FROM lr WINDOW s AS (PARTITION BY subject_id, activity_label ORDER BY {ORDER})""",
     "first_n_per_series": FIRST_N,

@@ -38,14 +38,15 @@ def _features(spark: SparkSession, sf_dir: str, hot="auto") -> DataFrame:
 
 def _feature_report(df: DataFrame) -> DataFrame:
     derived = ["x_dx", "y_dy", "z_dz", "x_magnitude", "x_y", "x_z", "y_z"]
-    rates = ["x_ax", "y_ay", "z_az", "x_jerk"]
+    rates = ["x_ax", "y_ay", "z_az"]
     return df.select(
         *SERIES_KEYS,
         "timestamp",
         *TIES,
         "seq_id",
         *[rounded(c).alias(c) for c in derived],
-        *[rounded(c, 12).alias(c) for c in rates],
+        *[(F.col(c) + F.lit(0.0)).alias(c) for c in rates],
+        rounded("x_jerk", 14).alias("x_jerk"),
     )
 
 
@@ -66,7 +67,13 @@ def series_positions(spark, sf_dir):
     readings = a.lineitem_readings(spark, sf_dir).select(*SERIES_KEYS, "timestamp", "x", *TIES)
     return ops.number_rows(
         readings, SERIES_KEYS, a.LINEITEM_ORDER, lags=["timestamp"], length="series_rows"
-    ).select(*SERIES_KEYS, *TIES, "pos", "prev_timestamp", "series_rows")
+    ).select(
+        *SERIES_KEYS,
+        *TIES,
+        "pos",
+        F.coalesce("prev_timestamp", F.lit(-1).cast("long")).alias("prev_timestamp"),
+        "series_rows",
+    )
 
 
 def first_n_per_series(spark, sf_dir):
