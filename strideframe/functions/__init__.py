@@ -6,6 +6,7 @@ from strideframe.functions.columns import (
     norm,
     null_to_nan,
     parse_reading,
+    rounded,
     series_label,
     snap_to_grid,
     strip_terminator,
@@ -19,6 +20,7 @@ __all__ = [
     "norm",
     "null_to_nan",
     "parse_reading",
+    "rounded",
     "series_label",
     "snap_to_grid",
     "strip_terminator",

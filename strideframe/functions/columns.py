@@ -69,3 +69,8 @@ def nan_to_null(c: str | Column) -> Column:
 
 def null_to_nan(c: str | Column) -> Column:
     return F.coalesce(_col(c).cast("double"), F.lit(float("nan")))
+
+
+def rounded(c: str | Column, digits: int = 6) -> Column:
+    """``c`` rounded for display, as double and without a negative zero."""
+    return F.round(_col(c).cast("double"), digits) + F.lit(0.0)

@@ -42,7 +42,8 @@ def read_streams(spark: SparkSession, root: str, ignore_missing: bool = True) ->
     ``device``, ``sensor`` and ``file_subject`` come from each file's path. Files
     that vanish between listing and reading are skipped.
     """
-    rows = _reader(spark, READING_SCHEMA, ignore_missing).csv(f"{root.rstrip('/')}/*/*/*.txt")
+    reader = _reader(spark, READING_SCHEMA, ignore_missing).option("recursiveFileLookup", True)
+    rows = reader.option("pathGlobFilter", "*.txt").csv(root)
     file = F.col("_metadata.file_path")
     return rows.select(
         F.regexp_extract(file, _FILE_PATTERN, 1).alias("device"),
@@ -54,7 +55,8 @@ def read_streams(spark: SparkSession, root: str, ignore_missing: bool = True) ->
 
 def read_stream(spark: SparkSession, root: str, device: str, sensor: str) -> DataFrame:
     """The readings of one device's sensor below ``root``."""
-    return read_readings(spark, f"{root.rstrip('/')}/{device}/{sensor}/*.txt", ignore_missing=True)
+    reader = _reader(spark, READING_SCHEMA, ignore_missing=True).option("pathGlobFilter", "*.txt")
+    return reader.csv(f"{root.rstrip('/')}/{device}/{sensor}")
 
 
 def write_readings(df: DataFrame, path: str, terminator: str = ";") -> None:

@@ -10,6 +10,7 @@ from strideframe.functions import (
     nan_to_null,
     norm,
     parse_reading,
+    rounded,
     series_label,
     snap_to_grid,
 )
@@ -85,3 +86,8 @@ def test_series_label_skips_nulls(spark):
 def test_nan_to_null(spark):
     assert value(spark, nan_to_null("v"), v=math.nan) is None
     assert value(spark, nan_to_null("v"), v=1.5) == 1.5
+
+
+def test_rounded_has_no_negative_zero(spark):
+    assert value(spark, rounded("v", 2), v=1.23456) == 1.23
+    assert str(value(spark, rounded("v", 2), v=-0.0001)) == "0.0"

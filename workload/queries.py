@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strideframe import operators as ops
-from strideframe.functions import decode
+from strideframe.functions import decode, rounded
 from strideframe.schemas import READING_SCHEMA, SERIES_KEYS
 from strideframe.sources import materialize, read_or_compute, read_readings, write_readings
 from strideframe.sources.storage import new_table_path
@@ -20,12 +20,6 @@ TIES = ("l_orderkey", "l_linenumber", "l_partkey")
 AXES = a.LINEITEM_AXES
 
 
-def rounded(c: str | Column, digits: int = 6) -> Column:
-    """Rounded as double, without a negative zero."""
-    v = F.col(c) if isinstance(c, str) else c
-    return F.round(v.cast("double"), digits) + F.lit(0.0)
-
-
 def _features(spark: SparkSession, sf_dir: str, hot="auto") -> DataFrame:
     return ops.engineer_features(
         a.lineitem_readings(spark, sf_dir).select(*SERIES_KEYS, "timestamp", *AXES, *TIES),
