@@ -40,7 +40,7 @@ def _feature_report(df: DataFrame) -> DataFrame:
         "seq_id",
         *[rounded(c).alias(c) for c in derived],
         *[(F.col(c) + F.lit(0.0)).alias(c) for c in rates],
-        rounded("x_jerk", 14).alias("x_jerk"),
+        rounded("x_jerk", 12).alias("x_jerk"),
     )
 
 
