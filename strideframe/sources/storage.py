@@ -2,29 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_fallback: list[str] = []
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, readable by every executor.
-
-    Only a local session without one falls back to a temporary folder; on a
-    cluster that folder would be lost with its machine, so there it is an error.
-    """
+    """The folder named in ``spark.checkpoint.dir`` or set as checkpoint folder, which
+    every executor can read. There is no other: a folder of one machine is lost with it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local_fallback:
-        _local_fallback.append(tempfile.mkdtemp(prefix="strideframe-"))
-    return _local_fallback[0]
+    return named
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
