@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,7 +74,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             continue
         sizes = batch.column(column)
         total, begin = 0, 0
-        for i, n in enumerate(pa.compute.binary_length(sizes).to_pylist()):
+        for i, n in enumerate(pc.binary_length(sizes).to_pylist()):
             if total and total + (n or 0) > limit:
                 yield batch.slice(begin, i - begin)
                 total, begin = 0, i

@@ -18,27 +18,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strideframe.llm.common import SLICE_BYTES, arrow_rows, cut, slices
+from strideframe.llm.common import arrow_rows, cut, slices
 
 WINDOW = 20
-MINIMISER_WORDS = 3
+MINIMISER_WORDS = 2
 #: A minimiser with more than this share of a task's windows is reported as frequent there.
 HOT_SHARE = 1 / 2_000
 #: Of those, the ones that hold this share of all windows are split; at most 1 / share of them.
 SPLIT_SHARE = 1 / 4_000
-#: Text bytes whose windows meet in one bucket.
-BUCKET_BYTES = 12 * 1024 * 1024
+#: Text bytes that a task looks at together, and whose windows meet in one bucket.
+SLICE_BYTES = 8 * 1024 * 1024
+BUCKET_BYTES = 8 * 1024 * 1024
+#: Buckets in one partition; they are worked on one after the other.
+BUCKETS_TOGETHER = 2
+LEVEL = 6
+#: Bits of the filter that tells which documents lose words, whatever their number.
+FILTER_BITS = 1 << 26
 
 _PACKET = T.StructType(
     [
         T.StructField("bucket", T.LongType()),
-        T.StructField("words", T.ArrayType(T.StringType())),
         T.StructField("packed", T.BinaryType()),
     ]
 )
@@ -84,15 +90,18 @@ def _sliding_min(x: np.ndarray, size: int) -> np.ndarray:
 class Words:
     """The words of some documents: exact codes, and a hash for each place."""
 
-    def __init__(self, texts: list[str | None]):
-        words = [(t or "").encode().split() for t in texts]
-        self.counts = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        flat = [w for doc in words for w in doc]
-        coded = pa.array(flat, type=pa.binary()).dictionary_encode()
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        flat = lists.flatten()
+        real = pc.not_equal(flat, "")
+        upto = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        self.ends = upto[ends] if len(ends) else ends
+        self.counts = np.diff(self.ends, prepend=0)
+        coded = flat.filter(real).dictionary_encode()
         self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        self.vocabulary = coded.dictionary.to_pylist()
+        self.vocabulary = [w.encode() for w in coded.dictionary.to_pylist()]
         self._hash()
-        self.ends = np.cumsum(self.counts)
 
     def _hash(self) -> None:
         digest = xxhash.xxh64_intdigest
@@ -139,12 +148,24 @@ def _repeats(hashes: np.ndarray, places: np.ndarray, codes: np.ndarray, size: in
     return out
 
 
-def _pack(arrays: list[np.ndarray]) -> bytes:
-    parts = [np.array([len(a) for a in arrays], dtype="<i8").tobytes(), *(a.tobytes() for a in arrays)]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+#: What a packet holds: ids, hashes and null marks of its documents; document, start,
+#: windows and whether it travels, of each run; the codes' bytes; the words.
+_KINDS = ("<i8", "<i8", "u1", "u1", "u1", "u1", "u1", "u1")
+
+
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    """Four-byte numbers as planes of their first, second, ... bytes."""
+    return numbers.reshape(-1).view(np.uint8).reshape(-1, 4).ravel(order="F")
 
 
-_KINDS = ("<i8", "<i8", "<i4", "<i4", "<i4", "<i4")
+def _from_planes(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").reshape(-1)
+
+
+def _pack(arrays: list[np.ndarray]) -> bytes:
+    arrays = [np.ascontiguousarray(a, dtype=k) for a, k in zip(arrays, _KINDS, strict=True)]
+    sizes = np.array([len(a) for a in arrays], dtype="<i8")
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join([sizes.tobytes(), *(a.tobytes() for a in arrays)]))
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -173,11 +194,11 @@ def _joined(at: np.ndarray, doc: np.ndarray, *same: np.ndarray) -> np.ndarray:
 
 def _by_order(batch: pa.RecordBatch) -> pa.RecordBatch:
     keys = [("id", "ascending", "at_end"), ("text_hash", "ascending", "at_end")]
-    return batch.take(pa.compute.sort_indices(batch.select(["id", "text_hash"]), sort_keys=[k[:2] for k in keys], null_placement="at_end"))
+    return batch.take(pc.sort_indices(batch.select(["id", "text_hash"]), sort_keys=[k[:2] for k in keys], null_placement="at_end"))
 
 
 def _frequent(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-    words = Words(batch.column("text").to_pylist())
+    words = Words(batch.column("text"))
     places = _windows(words, size)
     if not len(places):
         return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([0], pa.int64())[:0]], names=["minimiser", "windows", "total"])
@@ -193,9 +214,9 @@ def _frequent(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
 def _send(batch: pa.RecordBatch, size: int, hot: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Packets of the windows that are first in this batch; the others are settled."""
     batch = _by_order(batch)
-    words = Words(batch.column("text").to_pylist())
+    words = Words(batch.column("text"))
     places = _windows(words, size)
-    out: list[tuple[int, list, bytes]] = []
+    out: list[tuple[int, bytes]] = []
     if len(places):
         ids = batch.column("id")
         null_id = ids.is_null().to_numpy(zero_copy_only=False)
@@ -228,20 +249,25 @@ def _send(batch: pa.RecordBatch, size: int, hot: np.ndarray, buckets: int) -> pa
             at, n, travels = all_at[own], all_len[own], kind[own]
             span = _gather(places[at[travels]], n[travels] + size - 1)
             codes = words.codes[span]
-            used, local = np.unique(codes, return_inverse=True)
+            # frequent words get small codes, whose high parts compress to nothing
+            used, local, often = np.unique(codes, return_inverse=True, return_counts=True)
+            rank = np.argsort(-often, kind="stable")
+            local = np.argsort(rank)[local]
             docs, d = np.unique(doc[at], return_inverse=True)
             packed = _pack(
                 [
-                    id_values[docs].astype("<i8"),
-                    text_hash[docs].astype("<i8"),
-                    np.where(null_id[docs], 1, 0).astype("<i4"),
-                    np.column_stack((d, start[at], n, travels)).astype("<i4").ravel(order="F"),
-                    local.astype("<i4"),
-                    np.zeros(0, "<i4"),
+                    id_values[docs],
+                    text_hash[docs],
+                    null_id[docs],
+                    _planes(np.stack((d, start[at], n, travels)).astype("<i4")),
+                    local & 255,
+                    local >> 8 & 255,
+                    local >> 16,
+                    np.frombuffer(b" ".join(words.vocabulary[c] for c in used[rank].tolist()), dtype=np.uint8),
                 ]
             )
-            out.append((int(where[own[0]]), [words.vocabulary[c].decode() for c in used.tolist()], packed))
-    return arrow_rows(_PACKET, [[r[0] for r in out], [r[1] for r in out], [r[2] for r in out]])
+            out.append((int(where[own[0]]), packed))
+    return arrow_rows(_PACKET, [[r[0] for r in out], [r[1] for r in out]])
 
 
 class _Bucket:
@@ -250,26 +276,27 @@ class _Bucket:
     def __init__(self, size: int):
         self.size, self.known, self.parts = size, {}, []
 
-    def add(self, words: list[str], data: bytes) -> None:
-        known = self.known
-        here = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int32, count=len(words))
-        self.parts.append((here, _unpack(data)))
+    def add(self, data: bytes) -> None:
+        ids, hashes, nulls, table, low, middle, high, words = _unpack(data)
+        known, own = self.known, words.tobytes().split()
+        here = np.fromiter((known.setdefault(w, len(known)) for w in own), dtype=np.int32, count=len(own))
+        codes = here[low + 256 * (middle + 256 * high.astype(np.int32))] if len(low) else np.zeros(0, np.int32)
+        self.parts.append((ids, hashes, nulls, _from_planes(table).reshape(4, -1), codes))
 
     def runs(self) -> pa.RecordBatch:
         """Runs of windows that are not the earliest of their kind."""
         size = self.size
         cols: dict[str, list[np.ndarray]] = {k: [] for k in ("id", "hash", "null", "start", "n", "codes")}
         done: list[tuple] = []
-        for here, (ids, hashes, nulls, table, local, _) in self.parts:
-            d, start, n, travels = table.reshape(4, -1)
+        for ids, hashes, nulls, (d, start, n, travels), codes in self.parts:
             go = travels == 1
             done.append((ids[d[~go]], hashes[d[~go]], nulls[d[~go]], start[~go], n[~go]))
-            for k, v in zip(cols, (ids[d[go]], hashes[d[go]], nulls[d[go]], start[go], n[go], here[local] if len(local) else local), strict=True):
+            for k, v in zip(cols, (ids[d[go]], hashes[d[go]], nulls[d[go]], start[go], n[go], codes), strict=True):
                 cols[k].append(v)
         c = {k: np.concatenate(v) for k, v in cols.items()}
         if len(c["n"]):
             digest = xxhash.xxh64_intdigest
-            known = np.fromiter((digest(w.encode()) for w in self.known), dtype=np.uint64, count=len(self.known))
+            known = np.fromiter(map(digest, self.known), dtype=np.uint64, count=len(self.known))
             length = c["n"].astype(np.int64) + size - 1
             begin = np.cumsum(length) - length
             codes = c["codes"]
@@ -307,7 +334,7 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", si
     base = base.select("id", F.xxhash64("text").alias("text_hash"), "text")
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             yield _frequent(size, part)
 
     seen = cut(base.select("text").mapInArrow(frequent, "minimiser long, windows long, total long"), "frequent-minimisers")
@@ -321,21 +348,22 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", si
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=SLICE_BYTES):
             yield _send(part, size, hot, buckets)
+            pa.default_memory_pool().release_unused()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bucket = None, _Bucket(size)
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != now and bucket.parts:
+            for number, data in zip(*batch.columns, strict=True):
+                if number.as_py() != now and bucket.parts:
                     yield bucket.runs()
                     bucket = _Bucket(size)
-                now = row[0]
-                bucket.add(row[1], row[2])
+                now = number.as_py()
+                bucket.add(data.as_py())
         if bucket.parts:
             yield bucket.runs()
 
     packets = base.mapInArrow(send, _PACKET)
-    return packets.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, _RUNS)
+    return packets.repartition(math.ceil(buckets / BUCKETS_TOGETHER), "bucket").sortWithinPartitions("bucket").mapInArrow(meet, _RUNS)
 
 
 def covered(runs: list[tuple[int, int]], n_words: int, size: int = WINDOW) -> np.ndarray:
@@ -347,6 +375,33 @@ def covered(runs: list[tuple[int, int]], n_words: int, size: int = WINDOW) -> np
     return np.cumsum(delta[:-1]) > 0
 
 
+class _Filter:
+    """Which documents may have runs: a Bloom filter of fixed size. Where it errs, a text
+    travels for nothing; a document with runs is never missed."""
+
+    def __init__(self, runs: DataFrame):
+        places = [F.pmod(F.xxhash64("id", "text_hash", F.lit(k)), F.lit(FILTER_BITS)).alias("place") for k in range(2)]
+        bits = runs.select(F.explode(F.array(*places)).alias("place"))
+        words = bits.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 AS int))")).alias("bits"))
+        rows = words.toArrow()  # FILTER_BITS / 64 rows at most
+        self.bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+        self.bits[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+
+    def may_hold(self, *places: np.ndarray) -> np.ndarray:
+        out = np.ones(len(places[0]), dtype=bool)
+        for p in places:
+            out &= self.bits[p >> 6] >> (p & 63) & 1 == 1
+        return out
+
+
+def _placed(base: DataFrame) -> DataFrame:
+    places = [F.pmod(F.xxhash64("id", "text_hash", F.lit(k)), F.lit(FILTER_BITS)).alias(f"place{k}") for k in range(2)]
+    return base.select("id", "text_hash", "text", *places)
+
+
+_LEFT = "id long, n_words long, n_removed long, text string"
+
+
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """``id, n_words, n_removed, text`` for each row: what is left of its words, joined by
     one space, after every word in a repeated window is gone.
@@ -355,25 +410,46 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", size
     rows give repeated rows.
     """
     runs = repeated_windows(docs, id, text, size).groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "length")).alias("runs"))
-    runs = runs.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "runs")
+    runs = cut(runs, "repeated-windows")
+    filtered = docs.sparkSession.sparkContext.broadcast(_Filter(runs))  # FILTER_BITS
     base = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    joined = base.join(runs, base["id"].eqNullSafe(runs["_id"]) & (F.xxhash64("text") == runs["_hash"]), "left").select("id", "text", "runs")
+    base = _placed(base.select("id", F.xxhash64("text").alias("text_hash"), "text"))
+
+    def may(batch: pa.RecordBatch) -> np.ndarray:
+        return filtered.value.may_hold(*(batch.column(f"place{k}").to_numpy() for k in range(2)))
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch.filter(pa.array(~may(batch)))]):
+                yield _strip(part.column("id"), part.column("text"), [None] * part.num_rows, size)
+
+    def travelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may(batch))).select(["id", "text_hash", "text"])
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            words = [t.split() for t in (x.encode() for x in part.column("text").to_pylist())]
-            lost, left = [], []
-            for own, doc_runs in zip(words, part.column("runs").to_pylist(), strict=True):
-                if doc_runs:
-                    gone = covered([(r["start"], r["length"]) for r in doc_runs], len(own), size)
-                    lost.append(int(gone.sum()))
-                    own = [w for w, g in zip(own, gone.tolist(), strict=True) if not g]
-                else:
-                    lost.append(0)
-                left.append(b" ".join(own).decode())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(list(map(len, words)), pa.int64()), pa.array(lost, pa.int64()), pa.array(left, pa.string())],
-                names=["id", "n_words", "n_removed", "text"],
-            )
-
-    return joined.mapInArrow(strip, "id long, n_words long, n_removed long, text string").withColumnRenamed("id", id)
+            yield _strip(part.column("id"), part.column("text"), part.column("runs").to_pylist(), size)
+
+    gone = runs.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "runs")
+    moved = base.mapInArrow(travelling, "id long, text_hash long, text string")
+    joined = moved.join(gone, moved["id"].eqNullSafe(gone["_id"]) & (moved["text_hash"] == gone["_hash"]), "left")
+    left = joined.select("id", "text", "runs").mapInArrow(strip, _LEFT)
+    return base.mapInArrow(untouched, _LEFT).unionByName(left).withColumnRenamed("id", id)
+
+
+def _strip(ids: pa.Array, texts: pa.Array, runs: list, size: int) -> pa.RecordBatch:
+    words = [t.encode().split() for t in texts.to_pylist()]
+    lost, left = [], []
+    for own, doc_runs in zip(words, runs, strict=True):
+        if doc_runs:
+            gone = covered([(r["start"], r["length"]) for r in doc_runs], len(own), size)
+            lost.append(int(gone.sum()))
+            own = [w for w, g in zip(own, gone.tolist(), strict=True) if not g]
+        else:
+            lost.append(0)
+        left.append(b" ".join(own).decode())
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array([len(w) for w in words], pa.int64()), pa.array(lost, pa.int64()), pa.array(left, pa.string())],
+        names=["id", "n_words", "n_removed", "text"],
+    )
