@@ -25,6 +25,7 @@ from strideframe.operators.series import HotGroups, first_n, hot_groups, number_
 from strideframe.operators.splitting import (
     bernoulli_sample,
     hash_sample,
+    shuffle_key,
     shuffled,
     split_rows,
     split_sizes,

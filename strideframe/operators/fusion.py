@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strideframe.schemas import axes
@@ -18,10 +19,14 @@ def rename_axes(
 
 
 def first_per_key(df: DataFrame, on: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest by ``tie_break``. Combines before the shuffle."""
-    rest = [c for c in df.columns if c not in on]
-    kept = F.min_by(F.struct(*rest), F.struct(*tie_break)).alias("_kept")
-    return df.groupBy(*on).agg(kept).select(*on, *[F.col("_kept").getField(c).alias(c) for c in rest])
+    """One row per key: the smallest by ``tie_break``, then by the other columns.
+
+    A window whose rank is cut at 1: Spark drops later rows before the shuffle too.
+    """
+    rest = [c for c in df.columns if c not in on and c not in tie_break]
+    order = W.partitionBy(*on).orderBy(*tie_break, *rest)
+    first = df.withColumn("_row", F.row_number().over(order)).where(F.col("_row") == 1)
+    return first.drop("_row")
 
 
 def fuse_sensors(
@@ -42,11 +47,12 @@ def fuse_sensors(
     """
     if dedupe not in ("none", "first"):
         raise ValueError(f"dedupe must be 'none' or 'first', not {dedupe!r}")
-    if dedupe == "first":
-        accel = first_per_key(accel, on, (label, *tie_break))
-        gyro = first_per_key(gyro, on, tie_break)
     left = rename_axes(accel, prefixes[0], (on[0], label, *on[1:]))
     right = rename_axes(gyro, prefixes[1], on)
+    if dedupe == "first":
+        named = [[dict(zip("xyz", axes(p))).get(c, c) for c in tie_break] for p in prefixes]
+        left = first_per_key(left, on, (label, *named[0]))
+        right = first_per_key(right, on, named[1])
     if strategy:
         right = right.hint(strategy)
     return left.join(right, list(on), "inner")

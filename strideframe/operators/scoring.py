@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 
 def _correct(label: str, prediction: str):
-    return (F.col(prediction) == F.col(label)).cast("int")
+    """1 or 0; a null prediction is wrong, and so is any prediction for a null label."""
+    return F.coalesce(F.col(prediction) == F.col(label), F.lit(False)).cast("int")
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -35,29 +36,23 @@ def confusion_matrix(
     label: str = "label",
     prediction: str = "prediction",
 ) -> DataFrame:
-    """Rows per (label, prediction), with zeros: over ``classes``, or over the
-    classes that occur as either."""
-    counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    kind = counts.schema["label"].dataType
-    if classes is not None:
-        known = F.array(*[F.lit(c).cast(kind) for c in classes])
-        cells = df.sparkSession.range(1).select(known.alias("_classes"))
-    else:
-        both = counts.select(F.explode(F.array("label", F.col("prediction").cast(kind))).alias("_class"))
-        cells = both.where(F.col("_class").isNotNull()).agg(F.collect_set("_class").alias("_classes"))
-    grid = (
-        cells.withColumn("label", F.explode("_classes"))
-        .withColumn("prediction", F.explode("_classes"))
-        .select("label", "prediction")
-    )
-    counts = counts.select("label", F.col("prediction").cast(kind).alias("prediction"), "rows")
-    return (
-        grid.join(counts, ["label", "prediction"], "left")
-        .select("label", "prediction", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
-        .orderBy("label", "prediction")
-    )
+    """Rows per (label, prediction). Over given ``classes`` every pair has a row, zeros
+    too; without them only pairs that occur have one.
+
+    No row is lost: a null, or a value that is not in ``classes``, is counted under null.
+    """
+    kind = df.schema[label].dataType
+    pairs = df.select(F.col(label).alias("label"), F.col(prediction).cast(kind).alias("prediction"))
+    if classes is None:
+        counts = pairs.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("rows"))
+        return counts.orderBy("label", "prediction")
+    known = F.array(*[F.lit(c).cast(kind) for c in classes])
+    pairs = pairs.select(*[F.when(F.array_contains(known, F.col(c)), F.col(c)).alias(c) for c in pairs.columns])
+    one = df.sparkSession.range(1)
+    grid = one.select(F.explode(known).alias("label")).select("label", F.explode(known).alias("prediction"))
+    zeros = grid.withColumn("n", F.lit(0).cast("long"))
+    cells = pairs.withColumn("n", F.lit(1).cast("long")).unionByName(zeros)
+    return cells.groupBy("label", "prediction").agg(F.sum("n").alias("rows")).orderBy("label", "prediction")
 
 
 def confusion_pct(confusion: DataFrame) -> DataFrame:
@@ -87,6 +82,7 @@ def classification_report(confusion: DataFrame) -> DataFrame:
     totals = sides.groupBy("class").agg(
         F.sum("tp").alias("tp"), F.sum("actual").alias("support"), F.sum("predicted").alias("predicted")
     )
+    totals = totals.where(F.col("class").isNotNull())
     per_class = totals.select(
         F.col("class").cast("string").alias("class"),
         ratio(F.col("tp"), F.col("predicted")).alias("precision"),

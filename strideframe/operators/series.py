@@ -27,9 +27,9 @@ from strideframe.sources.storage import materialize
 
 MAX_SERIES_ROWS = 5_000_000
 PART_ROWS = 1_000_000
-MAX_BROADCAST_GROUPS = 100_000
-#: Below one advisory shuffle partition there is nothing to split.
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
+MAX_PARTS = 8_192
+#: Rows of a hot series that one task sorts to find the first few.
+SHARE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -43,9 +43,8 @@ class HotGroups:
     part_rows: int = PART_ROWS
 
     def side(self) -> DataFrame:
-        """The table as a join side; broadcast only when its row count is small."""
-        side = self.table.select(*[F.col(k).alias(f"_hot_{k}") for k in self.keys], "_series")
-        return F.broadcast(side) if self.groups <= MAX_BROADCAST_GROUPS else side
+        """The table as a join side; it is written, so that Spark knows its size."""
+        return self.table.select(*[F.col(k).alias(f"_hot_{k}") for k in self.keys], "_series")
 
     def condition(self) -> Column:
         same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys]
@@ -64,25 +63,18 @@ class HotGroups:
         return df.join(self.side(), self.condition(), "inner").drop(*[f"_hot_{k}" for k in self.keys])
 
 
-def input_bytes(df: DataFrame) -> int:
-    """The optimizer's own size estimate of ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def hot_groups(
     df: DataFrame,
     keys: Sequence[str],
     max_rows: int = MAX_SERIES_ROWS,
     part_rows: int = PART_ROWS,
-    small_bytes: int = SMALL_INPUT_BYTES,
 ) -> HotGroups | None:
     """Count rows per group and keep the groups above ``max_rows``, if there are any.
 
-    The count reads the key columns only and combines before it shuffles. There
-    are at most rows / max_rows hot groups.
+    The count reads the key columns only and combines before it shuffles; it is always
+    taken. Give it a scan or a written table, as what is behind ``df`` runs once more
+    for it. There are at most rows / max_rows hot groups.
     """
-    if input_bytes(df) < small_bytes:
-        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows)
     table = materialize(counts.withColumn("_series", F.monotonically_increasing_id()), "hot-groups")
     total = table.agg(F.count(F.lit(1)).alias("groups"), F.sum("_rows").alias("rows")).first()
@@ -147,7 +139,9 @@ def number_rows(
 def _number_parts(members, hot, columns, order, amount, place, previous, position, lags, length) -> DataFrame:
     # Tied rows may lie on either side of a cut; the input partition they came
     # from is the last sort key, so that even a mass of equal rows is spread.
-    parts = max(2, math.ceil(hot.rows / hot.part_rows))
+    # The number of parts is bounded, as the driver keeps a status for each; beyond it
+    # parts grow, and their sorts spill.
+    parts = min(max(2, math.ceil(hot.rows / hot.part_rows)), MAX_PARTS)
     ranged = (
         members.withColumn("_origin", F.spark_partition_id())
         .repartitionByRange(parts, F.col("_series"), *order, F.col("_origin"))
@@ -203,25 +197,26 @@ def first_n(
     position: str | None = None,
     nulls_last: bool = True,
     hot: HotGroups | None | str = "auto",
-    salts: int = 64,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """The first ``n`` rows of every series; ``position`` names a 0-based row number to keep.
 
-    Hot series are cut down first within ``salts`` shares: a row among the first
-    ``n`` of its series is also among the first ``n`` of its share.
+    Hot series are cut down first within shares of about ``share_rows`` rows: a row
+    among the first ``n`` of its series is also among the first ``n`` of its share.
+    Where the shares' survivors are still many, they are shared out again.
     """
     hot = resolve_hot(df, keys, hot)
     order = ordering(order_by, nulls_last)
     row = F.row_number()
     if hot is not None:
-        shares = W.partitionBy("_series", "_share").orderBy(*order)
-        candidates = (
-            hot.members(df)
-            .withColumn("_share", F.spark_partition_id() % salts)
-            .withColumn("_row", row.over(shares))
-            .where(F.col("_row") <= n)
-            .select(*df.columns)
-        )
+        candidates, shares = hot.members(df), math.ceil(hot.rows / share_rows)
+        w = W.partitionBy("_series", "_share").orderBy(*order)
+        while shares > 1:
+            scattered = candidates.withColumn("_share", F.pmod(F.xxhash64(*df.columns), F.lit(shares)))
+            candidates = scattered.withColumn("_row", row.over(w)).where(F.col("_row") <= n).drop("_row", "_share")
+            left = math.ceil(shares * n / share_rows)
+            shares = left if left < shares else 1
+        candidates = candidates.select(*df.columns)
         rest = hot.rest(df)
         df = candidates if rest is None else rest.unionByName(candidates)
     w = W.partitionBy(*keys).orderBy(*order)

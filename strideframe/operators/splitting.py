@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.operators.series import HotGroups, number_rows
 
 SPLITS = ("train", "val", "test")
+#: Where subjects go that given counts leave over.
+UNUSED = "unused"
 
 
 def subject_split(
@@ -24,7 +26,7 @@ def subject_split(
 
     With ``fractions`` the cuts lie at ``int(n * share)`` of the n subjects and
     the last split takes the rest; with ``counts`` the splits take that many
-    subjects each and subjects beyond them are in none.
+    subjects each and the subjects beyond them are in the split ``unused``.
     """
     shares = counts if counts is not None else fractions
     if shares is None or len(shares) != len(names):
@@ -47,7 +49,7 @@ def subject_split(
             # the sum of shares carries binary dust (0.6 + 0.2), the cut must not
             below = F.col("_rank") < F.floor(F.col("_subjects") * F.lit(round(total, 12)))
         chosen = F.when(below, name) if chosen is None else chosen.when(below, name)
-    return ranked.select(subject, chosen.alias("split")).where(F.col("split").isNotNull())
+    return ranked.select(subject, F.coalesce(chosen, F.lit(UNUSED)).alias("split"))
 
 
 def split_rows(df: DataFrame, split: DataFrame, name: str, subject: str = "subject_id") -> DataFrame:
@@ -78,6 +80,15 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFram
     return df.sample(fraction=fraction, seed=seed)
 
 
-def shuffled(df: DataFrame, seed: int = 42) -> DataFrame:
-    """The rows in random order."""
-    return df.orderBy(F.rand(seed))
+def shuffle_key(columns: Sequence[str], seed: int = 42) -> Column:
+    """A number that scatters rows by the values of ``columns`` and ``seed``."""
+    return F.xxhash64(*columns, F.lit(seed))
+
+
+def shuffled(df: DataFrame, seed: int = 42, key: Sequence[str] | None = None) -> DataFrame:
+    """The rows in an order that looks random and is the same under any partitioning.
+
+    ``key`` names columns that tell rows apart; by default all do.
+    """
+    columns = list(key) if key else df.columns
+    return df.orderBy(shuffle_key(columns, seed), *columns)

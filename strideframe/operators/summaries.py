@@ -72,7 +72,8 @@ def with_activity_name(
     """
     if isinstance(names, DataFrame):
         code, readable = names.columns[:2]
-        dictionary = names.select(F.col(code).alias("_code"), F.col(readable).alias("_name"))
+        # one name for each code, the first in order, so that no row is multiplied
+        dictionary = names.groupBy(F.col(code).alias("_code")).agg(F.min(readable).alias("_name"))
         joined = df.join(dictionary, F.col(label) == F.col("_code"), "left")
         return joined.select(*df.columns, F.coalesce("_name", F.col(label).cast("string")).alias(name))
     return df.withColumn(name, F.coalesce(decode(label, names), F.col(label)))

@@ -35,8 +35,10 @@ class PipelineConfig:
     fractions: tuple[float, ...] = (0.6, 0.2, 0.2)
     trees: int = 100
     seed: int = 42
-    max_rows: int = 3600
-    counts: tuple[int, ...] = (40, 6, 5)
+    #: Readings of a series that the sequence pipeline looks at; None for all.
+    max_rows: int | None = None
+    #: Subjects in each split of the sequence pipeline; None to split by ``fractions``.
+    counts: tuple[int, ...] | None = None
     subjects: Sequence[int] | None = None
     candidates: tuple[ops.SequenceCandidate, ...] = (
         ops.SequenceCandidate(40, (64,), 100),
@@ -185,7 +187,8 @@ def run_sequence(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFram
             if cfg.subjects is None
             else spark.createDataFrame([(int(s),) for s in cfg.subjects], "subject_id int")
         )
-        write_table(ops.subject_split(everyone, counts=cfg.counts), cfg.at("sequence_split"))
+        chosen = {"counts": cfg.counts} if cfg.counts else {"fractions": cfg.fractions}
+        write_table(ops.subject_split(everyone, **chosen), cfg.at("sequence_split"))
         split = out["split"] = read_table(spark, cfg.at("sequence_split"))
         parts = {name: ops.split_rows(out["channels"], split, name) for name in ("train", "val", "test")}
         best = ops.sequence_fit(

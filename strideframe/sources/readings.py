@@ -36,11 +36,11 @@ def read_readings(
     return _reader(spark, schema, ignore_missing).csv(path)
 
 
-def read_streams(spark: SparkSession, root: str, ignore_missing: bool = True) -> DataFrame:
+def read_streams(spark: SparkSession, root: str, ignore_missing: bool = False) -> DataFrame:
     """All devices and sensors below ``root`` in one scan.
 
-    ``device``, ``sensor`` and ``file_subject`` come from each file's path. Files
-    that vanish between listing and reading are skipped.
+    ``device``, ``sensor`` and ``file_subject`` come from each file's path. A file that
+    vanishes between listing and reading is an error, or skipped with ``ignore_missing``.
     """
     reader = _reader(spark, READING_SCHEMA, ignore_missing).option("recursiveFileLookup", True)
     rows = reader.option("pathGlobFilter", "*.txt").csv(root)
@@ -53,9 +53,11 @@ def read_streams(spark: SparkSession, root: str, ignore_missing: bool = True) ->
     )
 
 
-def read_stream(spark: SparkSession, root: str, device: str, sensor: str) -> DataFrame:
+def read_stream(
+    spark: SparkSession, root: str, device: str, sensor: str, ignore_missing: bool = False
+) -> DataFrame:
     """The readings of one device's sensor below ``root``."""
-    reader = _reader(spark, READING_SCHEMA, ignore_missing=True).option("pathGlobFilter", "*.txt")
+    reader = _reader(spark, READING_SCHEMA, ignore_missing).option("pathGlobFilter", "*.txt")
     return reader.csv(f"{root.rstrip('/')}/{device}/{sensor}")
 
 

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,8 +41,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table at ``path``; under ``schema``, partition columns keep their type, which
+    is guessed from folder names otherwise."""
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -58,11 +61,22 @@ def read_or_compute(
     compute: Callable[[], DataFrame],
     skip_existing: bool = True,
     partition_by: Sequence[str] = (),
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """The table at ``path``, computed and written first unless it is there to skip."""
-    if not (skip_existing and table_exists(spark, path)):
-        write_table(compute(), path, partition_by)
-    return read_table(spark, path)
+    """The table at ``path``, computed and written first unless it is there to skip.
+
+    A table that is there is read under ``schema``, where one is given.
+    """
+    if skip_existing and table_exists(spark, path):
+        return read_table(spark, path, schema)
+    table = compute()
+    write_table(table, path, partition_by)
+    return read_table(spark, path, T.StructType([table.schema[c] for c in _written(table.columns, partition_by)]))
+
+
+def _written(columns: Sequence[str], partition_by: Sequence[str]) -> list[str]:
+    """The order in which a written table has its columns."""
+    return [*(c for c in columns if c not in partition_by), *partition_by]
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

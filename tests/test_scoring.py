@@ -22,13 +22,23 @@ def test_accuracy_by_is_best_first(scored):
 
 def test_confusion_covers_classes_of_either_side(scored):
     got = {(r.label, r.prediction): r.rows for r in ops.confusion_matrix(scored).collect()}
-    assert len(got) == 16 and sum(got.values()) == 10
-    assert (got[0, 0], got[0, 1], got[1, 3], got[2, 2], got[3, 3]) == (4, 1, 2, 0, 0)
+    assert sum(got.values()) == 10 and 0 not in got.values()
+    assert (got[0, 0], got[0, 1], got[1, 3], got.get((2, 2)), got.get((3, 3))) == (4, 1, 2, None, None)
     assert ops.confusion_matrix(scored, classes=range(6)).count() == 36
 
 
+def test_rows_without_a_known_class_are_counted(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("a", 1, None), ("b", None, 1), ("b", 7, 2)], "activity_label string, label int, prediction int")
+    one = ops.accuracy(df).first()
+    assert (one.accuracy, one.rows) == (0.25, 4)
+    got = {(r.label, r.prediction): r.rows for r in ops.confusion_matrix(df, classes=[1, 2]).collect()}
+    assert got == {(1, 1): 1, (1, 2): 0, (2, 1): 0, (2, 2): 0, (1, None): 1, (None, 1): 1, (None, 2): 1}
+    got = {(r.label, r.prediction): r.rows for r in ops.confusion_matrix(df).collect()}
+    assert got == {(1, 1): 1, (1, None): 1, (None, 1): 1, (7, 2): 1}
+
+
 def test_percent_of_an_empty_class_is_null(scored):
-    got = {(r.label, r.prediction): r.pct for r in ops.confusion_pct(ops.confusion_matrix(scored)).collect()}
+    got = {(r.label, r.prediction): r.pct for r in ops.confusion_pct(ops.confusion_matrix(scored, classes=range(4))).collect()}
     assert got[0, 0] == 80.0 and got[2, 0] == 100.0 and got[3, 0] is None
 
 

@@ -22,7 +22,7 @@ def series(spark):
 
 
 def forced(df, keys, max_rows=600, part_rows=150):
-    hot = hot_groups(df, keys, max_rows=max_rows, part_rows=part_rows, small_bytes=0)
+    hot = hot_groups(df, keys, max_rows=max_rows, part_rows=part_rows)
     assert hot is not None
     return hot
 
@@ -31,12 +31,14 @@ def test_hot_groups_are_those_above_the_limit(spark, series):
     hot = forced(series, KEYS)
     assert {(r.s, r.a, r._rows) for r in hot.table.collect()} == {(1, "A", 2000), (1, "B", 700), (2, None, 900)}
     assert (hot.groups, hot.rows) == (3, 3600)
-    assert hot_groups(series, KEYS, max_rows=5000, small_bytes=0) is None
+    assert hot_groups(series, KEYS, max_rows=5000) is None
 
 
-def test_small_inputs_are_not_counted(spark):
-    assert hot_groups(spark.range(10).withColumn("k", F.lit(1)), ["k"], max_rows=1) is None
-    assert MAX_SERIES_ROWS < 2**31
+def test_one_long_series_is_found_whatever_its_estimated_size(spark):
+    """Six million rows of one series have an estimate of a few megabytes."""
+    df = spark.range(6_000_000).select(F.lit(1).alias("k"), "id")
+    hot = hot_groups(df, ["k"])
+    assert (hot.groups, hot.rows) == (1, 6_000_000) and MAX_SERIES_ROWS < 6_000_000
 
 
 @pytest.mark.parametrize("length", [None, "n"])
@@ -89,7 +91,7 @@ def test_nulls_last(spark):
 @pytest.mark.parametrize("n", [0, 1, 137, 5000])
 def test_first_n(spark, series, n):
     whole = first_n(series, KEYS, ["t", "tie"], n, position="pos", hot=None)
-    split = first_n(series, KEYS, ["t", "tie"], n, position="pos", hot=forced(series, KEYS), salts=3)
+    split = first_n(series, KEYS, ["t", "tie"], n, position="pos", hot=forced(series, KEYS), share_rows=50)
     assert rows(whole) == rows(split)
     sizes = {(r.s, r.a): r["count"] for r in whole.groupBy(*KEYS).count().collect()}
     if n:

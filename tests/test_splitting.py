@@ -32,16 +32,21 @@ def test_order_is_ascending_and_disjoint(spark):
 def test_counts(spark):
     split = {r.subject_id: r.split for r in subject_split(subjects(spark, 60), counts=(40, 6, 5)).collect()}
     assert [split.get(1600 + i) for i in (0, 39, 40, 45, 46, 50, 51)] == [
-        "train", "train", "val", "val", "test", "test", None,
+        "train", "train", "val", "val", "test", "test", "unused",
     ]
     with pytest.raises(ValueError):
         subject_split(subjects(spark, 5), counts=(1, 2))
 
 
+def test_counts_lose_no_subject(spark):
+    split = subject_split(subjects(spark, 100), counts=(40, 6, 5))
+    assert split.count() == 100 and split.where("split = 'unused'").count() == 49
+
+
 def test_many_subjects_take_the_split_way(spark):
     df = subjects(spark, 3000)
     distinct = df.distinct()
-    hot = hot_groups(distinct, [], max_rows=100, part_rows=400, small_bytes=0)
+    hot = hot_groups(distinct, [], max_rows=100, part_rows=400)
     assert rows(subject_split(df, hot=hot)) == rows(subject_split(df, hot=None))
 
 
@@ -73,4 +78,6 @@ def test_bernoulli_and_shuffle(spark):
     df = spark.range(10_000)
     assert 350 < bernoulli_sample(df, 0.05).count() < 650
     assert shuffled(df).count() == 10_000
-    assert [r.id for r in shuffled(df).limit(50).collect()] != list(range(50))
+    order = [r.id for r in shuffled(df).collect()]
+    assert order != sorted(order) and order == [r.id for r in shuffled(df.repartition(7)).collect()]
+    assert order != [r.id for r in shuffled(df, seed=1).collect()]

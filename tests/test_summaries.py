@@ -60,7 +60,7 @@ def test_box_summary_with_split_cells(spark, df, pdf, monkeypatch):
 
     def forced(frame, keys, **_):
         calls.append(keys)
-        return ops.hot_groups(frame, keys, max_rows=300, part_rows=100, small_bytes=0)
+        return ops.hot_groups(frame, keys, max_rows=300, part_rows=100)
 
     monkeypatch.setattr(summaries, "number_rows", lambda f, keys, *a, hot, **k: ops.number_rows(f, keys, *a, hot=forced(f, keys), **k))
     r = ops.box_summary(df, ["z"]).where("activity_label = 'A'").first()

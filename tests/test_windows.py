@@ -98,7 +98,7 @@ def test_pane_needs_a_dividing_step(spark, readings):
 
 @pytest.mark.parametrize("size, step", [(200, 100), (50, 20), (20, 30), (60, 10)])
 def test_split_series_give_the_same_windows(spark, readings, size, step):
-    hot = hot_groups(readings, ["subject_id", "activity_label"], max_rows=250, part_rows=60, small_bytes=0)
+    hot = hot_groups(readings, ["subject_id", "activity_label"], max_rows=250, part_rows=60)
     assert hot.groups == 3
     args = dict(size=size, step=step, out_type="double")
     whole = summarize_windows(readings, ["x"], hot=None, **args).toPandas()

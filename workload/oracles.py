@@ -345,7 +345,7 @@ WHERE ((event_id % 2147483648) * 2654435761) % 4294967296 < 429496729""",
     "shuffled_readings": "SELECT event_id, user_id AS subject_id, value AS x FROM events",
     "subject_split": f"WITH {SPLIT} SELECT subject_id, split FROM split",
     "fixed_split": f"""WITH {SPLIT} SELECT subject_id,
-  CASE WHEN r < 40 THEN 'train' WHEN r < 46 THEN 'val' ELSE 'test' END AS split FROM ranked WHERE r < 51""",
+  CASE WHEN r < 40 THEN 'train' WHEN r < 46 THEN 'val' WHEN r < 51 THEN 'test' ELSE 'unused' END AS split FROM ranked""",
     "split_rows": f"""WITH {SPLIT} SELECT l_suppkey AS subject_id, l_orderkey, l_linenumber, l_partkey, l_quantity AS x
 FROM lineitem WHERE l_suppkey IN (SELECT subject_id FROM split WHERE split = 'val')""",
     "split_sizes": f"WITH {SPLIT} SELECT split, count(*) AS subjects FROM split GROUP BY split",
@@ -355,7 +355,7 @@ SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) + 0.0 A
 SELECT 'class ' || label AS activity_label,
   round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) + 0.0 AS accuracy, count(*) AS windows
 FROM scored GROUP BY label""",
-    "confusion_matrix": f"WITH {confusion(PRESENT)} SELECT * FROM cm",
+    "confusion_matrix": f"""WITH {confusion(PRESENT)} SELECT * FROM cm WHERE "rows" > 0""",
     "confusion_matrix_all_classes": f"WITH {confusion(TWELVE)} SELECT * FROM cm",
     "confusion_pct": f"""WITH {confusion(TWELVE)}
 SELECT label, prediction,

@@ -46,7 +46,7 @@ def _feature_report(df: DataFrame) -> DataFrame:
 
 def _small_hot(df: DataFrame) -> ops.HotGroups | None:
     """Treat series above 200 rows as hot, so that the way for hot series is taken."""
-    return ops.hot_groups(df, SERIES_KEYS, max_rows=200, part_rows=10_000, small_bytes=0)
+    return ops.hot_groups(df, SERIES_KEYS, max_rows=200, part_rows=10_000)
 
 
 def motion_features(spark, sf_dir):
@@ -354,7 +354,7 @@ def bernoulli_sample(spark, sf_dir):
 
 
 def shuffled_readings(spark, sf_dir):
-    return ops.shuffled(a.event_readings(spark, sf_dir)).select("event_id", "subject_id", "x")
+    return ops.shuffled(a.event_readings(spark, sf_dir), key=["event_id"]).select("event_id", "subject_id", "x")
 
 
 def _split(spark, sf_dir, **how) -> DataFrame:
