@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct chunks whose ids a worker keeps from batch to batch.
-KEPT_CHUNKS = 1_000_000
+KEPT_CHUNKS = 400_000
 _loaded: dict[str, object] = {}
 
 
@@ -140,7 +140,7 @@ class ChunkEncoder:
 
     def encode(self, texts: pa.Array | list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (null as empty), one after the other, and how many each has."""
-        if len(self.known) > KEPT_CHUNKS or len(self.pool) > 20 * KEPT_CHUNKS:
+        if len(self.known) > KEPT_CHUNKS or len(self.pool) > 50 * KEPT_CHUNKS:
             self._reset()
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         texts = pc.fill_null(texts, "")
