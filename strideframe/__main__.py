@@ -22,12 +22,13 @@ def main() -> None:
 
     spark = SparkSession.builder.appName("strideframe").getOrCreate()
     cfg = PipelineConfig(raw=args.raw, work=args.work)
-    tables = run_sequence(spark, cfg) if args.sequence else run_pipeline(spark, cfg, args.skip_features, args.eda)
+    tables = run_sequence(spark, cfg, args.eda) if args.sequence else run_pipeline(spark, cfg, args.skip_features, args.eda)
     stored = ("_features", "_windows", "channels", "predictions", "rejects")
     for name, table in tables.items():
         if not name.endswith(stored):
             print(name)
-            table.show(20, truncate=False)
+            # small tables, shown whole; they are stored below the work folder too
+            print(table.toPandas().to_string(index=False))
 
 
 if __name__ == "__main__":

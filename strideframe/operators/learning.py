@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -15,7 +14,14 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import (
+    PCA,
+    StandardScaler,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+    VectorSlicer,
+)
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,14 +96,14 @@ class StackedModel:
 
     def save(self, path: str) -> None:
         for name in ("watch", "phone", "meta"):
-            getattr(self, name).write().overwrite().save(os.path.join(path, name))
+            getattr(self, name).write().overwrite().save(f"{path.rstrip('/')}/{name}")
 
     @classmethod
     def load(cls, path: str, on: Sequence[str] = WINDOW_KEYS) -> StackedModel:
         return cls(
-            PipelineModel.load(os.path.join(path, "watch")),
-            PipelineModel.load(os.path.join(path, "phone")),
-            DecisionTreeClassificationModel.load(os.path.join(path, "meta")),
+            PipelineModel.load(f"{path.rstrip('/')}/watch"),
+            PipelineModel.load(f"{path.rstrip('/')}/phone"),
+            DecisionTreeClassificationModel.load(f"{path.rstrip('/')}/meta"),
             tuple(on),
         )
 
@@ -151,8 +157,8 @@ def stack_fit(
     return StackedModel(watch_model, phone_model, meta.fit(_meta_assembler().transform(validation)), tuple(on))
 
 
-def feature_importance(model: PipelineModel, names: Sequence[str], k: int | None = 15) -> DataFrame:
-    """The ``k`` most important features of a fitted base model."""
+def feature_importance(model: PipelineModel, names: Sequence[str], k: int | None = None) -> DataFrame:
+    """The features of a fitted base model, most important first; the first ``k`` if given."""
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(n, float(w)) for n, w in zip(names, weights, strict=True)]
     table = SparkSession.active().createDataFrame(rows, "feature string, importance double")
@@ -187,6 +193,14 @@ class SequenceModel:
     def transform(self, df: DataFrame, channels: str = "channels") -> DataFrame:
         return self.model.transform(channel_vectors(df, channels))
 
+    @classmethod
+    def load(cls, path: str) -> SequenceModel:
+        """A saved model; its candidate and validation history are in the run's tables."""
+        model = PipelineModel.load(path)
+        layers = model.stages[-1].getLayers()
+        candidate = SequenceCandidate(layers[0], tuple(layers[1:-1]), model.stages[-1].getMaxIter())
+        return cls(model, candidate, float("nan"))
+
 
 def sequence_fit(
     train: DataFrame,
@@ -205,23 +219,30 @@ def sequence_fit(
     train = channel_vectors(train, channels).select("raw", label).persist()
     val = channel_vectors(val, channels).select("raw", label).persist()
     try:
+        most = max(c.components for c in candidates)
+        scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)
+        shared = Pipeline(stages=[scaler, PCA(k=most, inputCol="scaled", outputCol="all_components")]).fit(train)
+        seen = shared.transform(train).select("all_components", label).persist()
         best, history = None, []
         for c in candidates:
-            layers = [c.components, *c.hidden, n_classes]
-            stages = [
-                StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-                PCA(k=c.components, inputCol="scaled", outputCol="components"),
+            network = [
+                VectorSlicer(inputCol="all_components", outputCol="components", indices=list(range(c.components))),
                 MultilayerPerceptronClassifier(
-                    featuresCol="components", labelCol=label, layers=layers, maxIter=c.iterations, seed=seed
+                    featuresCol="components",
+                    labelCol=label,
+                    layers=[c.components, *c.hidden, n_classes],
+                    maxIter=c.iterations,
+                    seed=seed,
                 ),
             ]
-            model = Pipeline(stages=stages).fit(train)
+            model = PipelineModel([*shared.stages, *Pipeline(stages=network).fit(seen).stages])
             score = accuracy(model.transform(val), label).first()["accuracy"] or 0.0
             history.append((c, score))
             if best is None or score > best[2]:
                 best = (model, c, score)
                 if save_to:
                     model.write().overwrite().save(save_to)
+        seen.unpersist()
         return SequenceModel(*best, history)
     finally:
         train.unpersist()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strideframe import operators as ops
 from strideframe.functions import decode
-from strideframe.plans.exploration import explore_device
+from strideframe.plans.exploration import explore_device, explore_fused
 from strideframe.schemas import CLASS_INDEX, STREAMS, WINDOW_META_COLUMNS, axes, feature_columns
 from strideframe.sources import materialize, read_stream, read_table, table_exists, write_table
 
@@ -60,6 +60,24 @@ def _timed(step: str):
     log.info("%s: done in %.1f s", step, time.monotonic() - start)
 
 
+def _stored(spark: SparkSession, cfg: PipelineConfig, name: str, table: DataFrame) -> DataFrame:
+    """Write a result below ``cfg.work`` and read it back."""
+    write_table(table, cfg.at(name))
+    return read_table(spark, cfg.at(name), table.schema)
+
+
+def _report(spark: SparkSession, cfg: PipelineConfig, out: dict[str, DataFrame], names: Sequence[str]) -> None:
+    """Write the named tables below ``reports``; ``out`` goes on from what is written."""
+    for name in names:
+        out[name] = _stored(spark, cfg, f"reports/{name}", out[name])
+
+
+def _counters(tables: dict[str, DataFrame], names: Sequence[str]) -> DataFrame:
+    """How many rows each of the named tables has: (table, rows)."""
+    counts = [tables[n].agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows")) for n in names]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def clean_stream(spark: SparkSession, cfg: PipelineConfig, device: str, sensor: str):
     """(clean, rejects) of one stream."""
     return ops.clean_readings(read_stream(spark, cfg.raw, device, sensor))
@@ -111,7 +129,7 @@ def run_pipeline(
                 write_table(device_features(spark, cfg, device), path)
         for device, path in paths.items():
             out[f"{device}_features"] = read_table(spark, path)
-        out["rejects"] = rejects(spark, cfg)
+        out["rejects"] = _stored(spark, cfg, "rejects", rejects(spark, cfg))
 
     with _timed("windows"):
         for device, prefixes in DEVICES.items():
@@ -147,7 +165,8 @@ def run_pipeline(
             )
         test = model.transform(*[ops.split_rows(d, split, "test") for d in (watch, phone)])
         write_table(
-            test.select(*model.on, "label", "prediction", "activity", "predicted_activity"), cfg.at("predictions")
+            test.select(*model.on, "label", "prediction", "probability", "activity", "predicted_activity"),
+            cfg.at("predictions"),
         )
         out["predictions"] = read_table(spark, cfg.at("predictions"))
         out["stacked_accuracy"] = ops.accuracy(out["predictions"])
@@ -158,11 +177,18 @@ def run_pipeline(
             for device, prefixes in DEVICES.items():
                 for name, table in explore_device(out[f"{device}_features"], *prefixes).items():
                     out[f"{device}_{name}"] = table
+    counted = [n for n in out if n.endswith(("_features", "_windows", "rejects", "predictions"))]
+    out["split_sizes"] = ops.split_sizes(split)
+    out["counters"] = _counters(out, counted)
+    _report(spark, cfg, out, [n for n in out if n not in (*counted, "split")])
     return out
 
 
-def run_sequence(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
-    """Raw windows of all four sensors, joined to channels, and a classifier on them."""
+def run_sequence(spark: SparkSession, cfg: PipelineConfig, eda: bool = False) -> dict[str, DataFrame]:
+    """Raw windows of all four sensors, joined to channels, and a classifier on them.
+
+    Rejected readings, counters and reports are written next to the other tables.
+    """
     out: dict[str, DataFrame] = {}
     with _timed("raw windows"):
         for (device, sensor), prefix in STREAMS.items():
@@ -177,6 +203,7 @@ def run_sequence(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFram
             path = cfg.at(f"windowed/{device}_{sensor}")
             write_table(windows, path)
             out[f"{prefix}_windows"] = read_table(spark, path)
+        out["rejects"] = _stored(spark, cfg, "rejects", rejects(spark, cfg))
         channels = ops.stack_channels([out[f"{p}_windows"] for p in STREAMS.values()])
         write_table(channels, cfg.at("channels"))
         out["channels"] = read_table(spark, cfg.at("channels"))
@@ -217,4 +244,17 @@ def run_sequence(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFram
         out["confusion"] = confusion
         out["confusion_pct"] = ops.confusion_pct(confusion)
         out["report"] = ops.classification_report(confusion)
+        rows = [(c.components, str(list(c.hidden)), c.iterations, float(a)) for c, a in best.history]
+        out["history"] = spark.createDataFrame(
+            rows, "components int, hidden string, iterations int, validation_accuracy double"
+        )
+    if eda:
+        with _timed("exploration"):
+            for device in DEVICES:
+                for name, table in explore_fused(fused_device(spark, cfg, device)).items():
+                    out[f"{device}_{name}"] = table
+    counted = [n for n in out if n.endswith(("_windows", "channels", "rejects", "predictions"))]
+    out["split_sizes"] = ops.split_sizes(split)
+    out["counters"] = _counters(out, counted)
+    _report(spark, cfg, out, [n for n in out if n not in (*counted, "split")])
     return out

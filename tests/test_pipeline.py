@@ -70,7 +70,7 @@ def test_scores(tables):
     assert tables["stacked_accuracy"].first()["accuracy"] > 0.8
     assert {r.activity for r in tables["stacked_accuracy_by_activity"].collect()} == set(CODES)
     assert "Walking" in {r.activity_name for r in tables["watch_accuracy_by_activity"].collect()}
-    assert tables["phone_importance"].count() == 15
+    assert tables["phone_importance"].count() == 56
     assert 0 <= tables["phone_accuracy"].first()["accuracy"] <= 1
 
 
