@@ -77,24 +77,6 @@ def decode_shard(n_ids: int, planes: int, starts: list[int], offsets: list[int],
     return np.concatenate(blocks) if blocks else np.zeros(0, "<u4")
 
 
-def tokenised(docs: DataFrame, tokenizer: str, id: str, text: str, end_id: int, rule: type) -> DataFrame:
-    """``id, text_hash, ids``: each document's ids and ``end_id``, zstandard-compressed."""
-    kind = dict(docs.dtypes)[id]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, rule).encode
-        zip_ = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches):
-            flat, counts = encode(batch.column("text"))
-            ends = np.cumsum(counts)
-            own = [np.append(flat[b:e], np.uint32(end_id)).astype("<u4") for b, e in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
-            packed = [zip_.compress(b"".join(to_planes(x))) for x in own]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_hash"), pa.array(packed, pa.binary())], names=["id", "text_hash", "ids"])
-
-    named = docs.select(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
-    return named.mapInArrow(run, f"id {kind}, text_hash long, ids binary")
-
-
 def write_tokens(
     docs: DataFrame,
     path: str,
@@ -116,36 +98,46 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard = TaskContext.get().partitionId(), 0
-        unzip = zstandard.ZstdDecompressor()
+        encode = encoder(tokenizer, rule).encode
         names: list = []
+        sizes: list[int] = []
         held: list[np.ndarray] = []
-        size = 0
+        held_ids = 0
 
         def row(id_type: pa.DataType) -> pa.RecordBatch:
             planes, starts, offsets, chunks = encode_shard(np.concatenate(held), block, bits)
-            values = (part, shard, size, names, [len(x) for x in held], planes, starts, offsets, chunks)
+            values = (part, shard, held_ids, names, sizes, planes, starts, offsets, chunks)
             longs = pa.list_(pa.int64())
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(id_type), longs, pa.int32(), longs, longs, pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=_COLUMNS)
 
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch.column("id").type
-            for name, data in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                raw = unzip.decompress(data)
-                n = len(raw) // 4
-                held.append(from_planes([raw[k * n : (k + 1) * n] for k in range(4)], n))
-                names.append(name)
-                size += n
-                if size >= shard_ids:
+            flat, counts = encode(batch.column("text"))
+            ends = np.cumsum(counts)
+            ids = np.insert(flat, ends, np.uint32(end_id))
+            counts, ends = counts + 1, ends + np.arange(1, len(ends) + 1)
+            all_names, begin = batch.column("id").to_pylist(), 0
+            while begin < len(ends):
+                before = int(ends[begin] - counts[begin])
+                # up to and with the document that fills the shard
+                full = int(np.searchsorted(ends, before + shard_ids - held_ids)) + 1
+                upto = min(full, len(ends))
+                held.append(ids[before : ends[upto - 1]])
+                held_ids += len(held[-1])
+                names += all_names[begin:upto]
+                sizes += counts[begin:upto].tolist()
+                begin = upto
+                if held_ids >= shard_ids:
                     yield row(id_type)
-                    names, held, size, shard = [], [], 0, shard + 1
+                    names, sizes, held, held_ids, shard = [], [], [], 0, shard + 1
         if held:
             yield row(id_type)
 
-    # written, as the range bounds are sampled from it before it is shuffled
-    ids = cut(tokenised(docs, tokenizer, id, text, end_id, rule), "token-ids")
-    ranged = ids.repartitionByRange("id", "text_hash").sortWithinPartitions("id", "text_hash")
-    ranged.mapInArrow(run, _SHARD.format(id=kind)).write.option("compression", "uncompressed").parquet(path)
+    named = docs.select(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
+    # texts travel, once; their ids go from the tokenizer straight into the file
+    ranged = named.repartitionByRange("id", "text_hash").sortWithinPartitions("id", "text_hash")
+    ranged.select("id", "text").mapInArrow(run, _SHARD.format(id=kind)).write.option("compression", "uncompressed").parquet(path)
 
 
 _COLUMNS = ["part", "shard", "n_ids", "doc_ids", "doc_tokens", "planes", "block_starts", "chunk_offsets", "chunks"]
