@@ -15,9 +15,13 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import CharDelimiterSplit
 
 #: Distinct chunks whose ids a worker keeps from batch to batch.
 KEPT_CHUNKS = 400_000
+#: Pieces that go to the library in one call.
+PIECES_AT_ONCE = 2_000
 _loaded: dict[str, object] = {}
 
 
@@ -25,8 +29,6 @@ def load(path: str):
     """The tokenizer at ``path``, once for each worker."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         _loaded[path] = Tokenizer.from_file(path)
     return _loaded[path]
 
@@ -40,16 +42,25 @@ def _byte_signs() -> list[str]:
     return [signs[b] for b in range(256)]
 
 
+_BLANK = _byte_signs()[32]
 _SIGNS = str.maketrans(dict(enumerate(_byte_signs())))
 _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 
 
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all runs that begin at ``starts``, one run after the other."""
+    upto = np.cumsum(sizes)
+    return np.repeat(starts - (upto - sizes), sizes) + np.arange(int(upto[-1]) if len(upto) else 0)
+
+
 class ByWord:
     """Words between white space, lower-cased; every digit is a piece."""
 
     #: Chunks of ASCII and Latin-1 letters; what Unicode rules do to them is plain.
     plain = re.compile(rf"[\x21-\x7e{_LETTER}]+").fullmatch
+    #: Chunks that are one piece.
+    word = re.compile(rf"[{_LETTER}]+").fullmatch
     pieces = re.compile(rf"{_CONTRACTIONS}|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+").findall
 
     @staticmethod
@@ -67,8 +78,10 @@ class ByWord:
 class BySpace:
     """A blank and the word after it; case is kept."""
 
-    plain = re.compile(rf" ?[\x21-\x7e{_LETTER}]+").fullmatch
-    pieces = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTER}]+| ?[0-9]+| ?[^ {_LETTER}0-9]+").findall
+    #: A line end between two of them is a piece of its own.
+    plain = re.compile(rf" ?[\x21-\x7e{_LETTER}]+(?:\n[\x21-\x7e{_LETTER}]+)*").fullmatch
+    word = re.compile(rf" ?[{_LETTER}]+").fullmatch
+    pieces = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTER}]+| ?[0-9]+| ?[^ \n{_LETTER}0-9]+|\n").findall
 
     @staticmethod
     def normal(chunk: str) -> str:
@@ -87,46 +100,66 @@ class BySpace:
 class ChunkEncoder:
     """``encode`` turns texts into one flat array of ids and the number of ids of each.
 
-    Chunks of plain letters and signs are cut into pieces here and go to the library's
-    model piece by piece; all others go through the whole of the library.
+    Chunks of plain letters and signs are cut into pieces here, and each distinct piece
+    goes to the library's model; all others go through the whole of the library.
     """
 
     def __init__(self, path: str, rule: type = ByWord):
         self.tokenizer, self.rule = load(path), rule
-        self.model = self.tokenizer.model
+        self.splitter = Tokenizer(self.tokenizer.model)
+        self.splitter.pre_tokenizer = CharDelimiterSplit(" ")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, int] = {}
-        self.piece_ids: dict[str, list[int]] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.known.clear()
-        self.piece_ids.clear()
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def _ids(self, chunk: str) -> list[int]:
-        if not chunk:
-            return []
-        if not self.rule.plain(chunk) or any(s in chunk for s in self.special):
-            return self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        out: list[int] = []
-        for piece in self.rule.pieces(self.rule.normal(chunk)):
-            ids = self.piece_ids.get(piece)
-            if ids is None:
-                signs = piece.encode().decode("latin-1").translate(_SIGNS)
-                ids = self.piece_ids[piece] = [t.id for t in self.model.tokenize(signs)]
-            out += ids
-        return out
+    def _piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, one after the other, and how many each has."""
+        flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(pieces), PIECES_AT_ONCE):
+            some = pieces[at : at + PIECES_AT_ONCE]
+            # no sign of a byte is a blank
+            signs = " ".join([p.replace(" ", _BLANK) if p.isascii() and p != "\n" else p.encode().decode("latin-1").translate(_SIGNS) for p in some])
+            out = self.splitter.encode(signs, add_special_tokens=False)
+            flat.append(np.array(out.ids, dtype=np.uint32))
+            sizes.append(np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(some)))
+        return np.concatenate(flat), np.concatenate(sizes)
 
     def _learn(self, new: list[str]) -> None:
-        self.piece_ids.clear()
-        ids = [self._ids(c) for c in new]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
+        rule, special = self.rule, any(s in chunk for s in self.special for chunk in new)
+        places: dict[str, int] = {}
+        others: list[list[int]] = []
+        own: list[int] = []
+        counts: list[int] = []
+        for chunk in new:
+            if rule.word(chunk):
+                own.append(places.setdefault(rule.normal(chunk), len(places)))
+                counts.append(1)
+            elif rule.plain(chunk) and not (special and any(s in chunk for s in self.special)):
+                pieces = rule.pieces(rule.normal(chunk))
+                own += [places.setdefault(p, len(places)) for p in pieces]
+                counts.append(len(pieces))
+            else:
+                # numbered from -1 down: they stand behind the pieces
+                others.append(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+                own.append(-len(others))
+                counts.append(1)
+        flat, sizes = self._piece_ids(list(places))
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(others), dtype=np.uint32)])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, others), dtype=np.int64, count=len(others))])
+        at = np.array(own, dtype=np.int64)
+        at = np.where(at < 0, len(places) - 1 - at, at)
+        upto = np.cumsum(sizes[at])
+        flat = flat[_runs((np.cumsum(sizes) - sizes)[at], sizes[at])]
+        ends = np.concatenate([[0], upto])[np.cumsum(np.array(counts, dtype=np.int64))]
+        begins = np.concatenate([[0], ends])[:-1]
+        self.starts = np.concatenate([self.starts, len(self.pool) + begins])
+        self.sizes = np.concatenate([self.sizes, ends - begins])
         self.pool = np.concatenate([self.pool, flat])
         base = len(self.sizes) - len(new)
         self.known.update(zip(new, range(base, base + len(new)), strict=True))
@@ -165,8 +198,7 @@ class ChunkEncoder:
             del self.known[text]
         sizes = self.sizes[chunk]
         upto = np.cumsum(sizes)
-        total = int(upto[-1]) if len(upto) else 0
-        flat = self.pool[np.repeat(self.starts[chunk] - (upto - sizes), sizes) + np.arange(total)]
+        flat = self.pool[_runs(self.starts[chunk], sizes)]
         before = np.concatenate([[0], upto])
         return flat, before[ends] - before[ends - counts]
 
