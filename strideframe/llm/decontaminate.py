@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from strideframe.llm.common import ALNUM, without
 
 WINDOW = 13
-MAX_COVERAGE = 0.05
+#: Share of hit words from which a document is contaminated, as a fraction of integers.
+MAX_COVERAGE = (1, 20)
 #: Item text in one automaton; its broadcast is some fifty times as large at most.
 BLOCK_BYTES = 2 * 1024 * 1024
 
@@ -187,7 +188,7 @@ def contamination(
     item_id: str = "item_id",
     item_text: str = "text",
     window: int = WINDOW,
-    max_coverage: float = MAX_COVERAGE,
+    max_coverage: tuple[int, int] = MAX_COVERAGE,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Every row and column of ``docs`` with ``n_words, n_hit, hit_runs, items,
@@ -201,7 +202,7 @@ def contamination(
     hit, but are not listed.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").alias("t"))
+    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").alias("t")).distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     out = without(docs, "n_words", "n_hit", "hit_runs", "items", "contaminated", "clean_text")
@@ -214,7 +215,7 @@ def contamination(
         out = out.mapInArrow(_scanner(automaton, text, first), schema)
     hit = F.aggregate("hit_runs", F.lit(0).cast("long"), lambda n, r: n + r["length"])
     out = out.withColumn("n_hit", hit)
-    out = out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") >= F.lit(max_coverage) * F.col("n_words")))
+    out = out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * max_coverage[1] >= F.col("n_words") * max_coverage[0]))
 
     @F.pandas_udf("string")
     def clean(texts, runs):

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -105,3 +107,11 @@ def test_odd_rows(spark, odd, docs):
     assert {"key", "fp", "id"} <= set(marked.columns) and marked.columns.count("items") == 1
     assert d.contamination(docs([]), bench(spark, items)).collect() == []
     assert d.contamination(odd, bench(spark, [])).where("n_hit > 0").collect() == []
+
+
+@pytest.mark.parametrize(("hit", "words", "bad"), [(7, 140, True), (7, 141, False), (3, 60, True), (3, 61, False)])
+def test_exactly_a_twentieth_is_contaminated(spark, docs, hit, words, bad):
+    item = " ".join(f"q{i}" for i in range(hit))
+    text = " ".join([item, *(f"w{i}" for i in range(words - hit))])
+    row = d.contamination(docs([(1, text)]), bench(spark, [(5, item)] * 3)).first()
+    assert (row.n_words, row.n_hit, row.contaminated) == (words, hit, bad)
