@@ -231,7 +231,7 @@ split AS (
 
 SCORED = """
 scored AS (
-  SELECT vec_id, label, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS prediction
+  SELECT vec_id, label, (list_position(embedding, list_max(embedding)) - 1) % 10 AS prediction
   FROM embeddings
 )"""
 
