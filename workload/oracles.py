@@ -85,13 +85,15 @@ def summary(size: int, step: int) -> str:
     return f"WITH {SERIES}, {numbered()}, {assigned(size, step)}\n{window_stats({c: c for c in 'xyz'})}"
 
 
-RAW_WINDOWS = f"""WITH {SERIES}, {numbered('lr', 'every')},
-num AS (SELECT * REPLACE (least(len, 180) AS len) FROM every WHERE pos < 180),
-{assigned(50, 25)}
+RAW_ROWS = """
 SELECT subject_id, activity_label, window_index, pos - window_index * 25 AS place,
   CAST(CAST(x AS FLOAT) AS DOUBLE) AS x, CAST(CAST(y AS FLOAT) AS DOUBLE) AS y,
   CAST(CAST(z AS FLOAT) AS DOUBLE) AS z
 FROM assigned"""
+RAW_WINDOWS = f"WITH {SERIES}, {numbered()}, {assigned(50, 25)}{RAW_ROWS}"
+RAW_WINDOWS_FIRST_N = f"""WITH {SERIES}, {numbered('lr', 'every')},
+num AS (SELECT * REPLACE (least(len, 180) AS len) FROM every WHERE pos < 180),
+{assigned(50, 25)}{RAW_ROWS}"""
 
 CHANNELS = f"""WITH {SERIES},
 o AS (SELECT * FROM lr WHERE side = 'O'), f AS (SELECT * FROM lr WHERE side = 'F'),
@@ -303,6 +305,7 @@ SELECT subject_id, activity_label, l_orderkey, l_linenumber, l_partkey, window_i
     "feature_window_summary": f"WITH {FEATURES}, {numbered('feat')}, {assigned(50, 25)}\n"
     + window_stats({"x_dx": "dx", "y_dy": "dy", "x_magnitude": "magnitude", "x_z": "x * z"}),
     "raw_windows": RAW_WINDOWS,
+    "raw_windows_first_n": RAW_WINDOWS_FIRST_N,
     "channel_tensor": CHANNELS,
     "clean_readings": f"""WITH {DIRTY}
 SELECT event_id, activity_label, CAST(v AS DOUBLE) AS z FROM parsed WHERE v IS NOT NULL AND activity_label IS NOT NULL""",

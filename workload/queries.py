@@ -159,8 +159,18 @@ def feature_window_summary(spark, sf_dir):
 
 
 def raw_windows(spark, sf_dir):
+    """Windows over all readings of each series."""
+    return _raw_windows(spark, sf_dir)
+
+
+def raw_windows_first_n(spark, sf_dir):
+    """Windows over the first 180 readings of each series."""
+    return _raw_windows(spark, sf_dir, max_rows=180)
+
+
+def _raw_windows(spark, sf_dir, **how):
     windows = ops.collect_windows(
-        a.lineitem_readings(spark, sf_dir), AXES, order_by=a.LINEITEM_ORDER, size=50, step=25, max_rows=180
+        a.lineitem_readings(spark, sf_dir), AXES, order_by=a.LINEITEM_ORDER, size=50, step=25, **how
     )
     return windows.select(
         *SERIES_KEYS,
@@ -489,6 +499,7 @@ ALL: dict[str, Query] = {
         window_summary_hot,
         feature_window_summary,
         raw_windows,
+        raw_windows_first_n,
         channel_tensor,
         clean_readings,
         rejected_readings,
