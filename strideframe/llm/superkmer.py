@@ -197,6 +197,21 @@ def _by_order(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.take(pc.sort_indices(batch.select(["id", "text_hash"]), sort_keys=[k[:2] for k in keys], null_placement="at_end"))
 
 
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Which entries of sorted columns differ from the one before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in columns])
+    return new
+
+
+def _documents(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows by order, equal ones once: they are one document."""
+    batch = _by_order(batch)
+    ids = batch.column("id")
+    keys = (ids.is_null(), ids.fill_null(0), batch.column("text_hash"))
+    return batch.filter(pa.array(_new(*(k.to_numpy(zero_copy_only=False) for k in keys))))
+
+
 def _frequent(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
     words = Words(batch.column("text"))
     places = _windows(words, size)
@@ -213,7 +228,7 @@ def _frequent(size: int, batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def _send(batch: pa.RecordBatch, size: int, hot: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Packets of the windows that are first in this batch; the others are settled."""
-    batch = _by_order(batch)
+    batch = _documents(batch)
     words = Words(batch.column("text"))
     places = _windows(words, size)
     out: list[tuple[int, bytes]] = []
@@ -304,7 +319,10 @@ class _Bucket:
             hashes = _rolling(known[codes], size)[places]
             span = np.repeat(np.arange(len(begin)), c["n"])
             start = c["start"][span] + (places - begin[span])
-            order = np.lexsort((start, c["hash"][span], c["id"][span], c["null"][span]))
+            keys = (start, c["hash"][span], c["id"][span], c["null"][span])
+            order = np.lexsort(keys)
+            # equal rows of other slices are the same document, not an earlier one
+            order = order[_new(*(k[order] for k in keys))]
             again = order[_repeats(hashes[order], places[order], codes, size)]
             again.sort()
             cuts = _joined(places[again], span[again])

@@ -156,3 +156,15 @@ def test_repeats_within_one_document_and_across_ids(docs):
     got = got_windows(docs([(9, text), (2, f"{text} end {text}"), (5, f"x {text}")]))
     assert [(i, n, gone) for i, n, gone, _ in got] == [(2, 51, 25), (5, 26, 25), (9, 25, 25)]
     assert got[1][3] == "x"
+
+
+def test_equal_rows_are_one_document(docs):
+    text, own = (" ".join(f"{c}{i}" for i in range(25)) for c in "uv")
+    for pairs in ([(1, text), (1, text)], [(None, text), (None, text)]):
+        for df in (docs(pairs).coalesce(1), docs(pairs[:1]).coalesce(1).unionByName(docs(pairs[1:]).coalesce(1))):
+            assert got_windows(df) == [(pairs[0][0], 25, 0, text)] * 2
+    # what such a document repeats goes from each of its rows, and from later documents
+    pairs = [(1, own), (3, f"{text} {own} {text}"), (4, text)]
+    want = [(1, 25, 0, own), (3, 75, 50, text), (3, 75, 50, text), (4, 25, 25, "")]
+    assert got_windows(docs([*pairs, pairs[1]]).coalesce(1)) == want
+    assert got_windows(docs(pairs).coalesce(1).unionByName(docs(pairs[1:2]).coalesce(1))) == want
