@@ -44,7 +44,10 @@ CLASSES = {
     NEGATION: "not no never nobody none isn't aren't don't nicht kein keine nie pas jamais aucun nunca ningún jamás",
     REPORT: "said says called quoted wrote reported claimed sagte sagten schrieb dit disait écrit dijo decía escribió",
 }
+# What stands before "n't"; the splitter leaves "isn" and "t" of "isn't", and "isn’t" whole.
+_CONTRACTED = "isn aren wasn weren don doesn didn can couldn won wouldn shouldn haven hasn hadn mustn needn ain"
 _CLASS = {w: c for c, words in CLASSES.items() for w in words.split()}
+_CLASS |= {f"{w}{mark}t": NEGATION for w in _CONTRACTED.split() for mark in "'’"}
 _CLAUSE = re.compile(rb"[.,;:!?\n()]+")
 
 
@@ -81,17 +84,49 @@ def _fading(opens: int, reach: int, factor: float, bonus: float) -> Transducer:
     return Transducer(reach + 1, arcs)
 
 
+def _near(reach: int, bonus: float) -> Transducer:
+    """Insults and threats get the bonus within ``reach`` words after a target. A threat
+    that has none stays open for as many words, and the target that closes it gets it."""
+    arcs: dict = {}
+    for target, threat in itertools.product(range(reach + 1), repeat=2):
+        for symbol in range(6):
+            acts = symbol in (INSULT, THREAT) and target > 0 or symbol == TARGET and threat > 0
+            near = reach if symbol == TARGET else max(target - 1, 0)
+            if symbol == THREAT:
+                opened = 0 if acts else reach
+            else:
+                opened = 0 if symbol == TARGET else max(threat - 1, 0)
+            arcs[target * (reach + 1) + threat, symbol] = (near * (reach + 1) + opened, 1.0, bonus if acts else 0.0)
+    return Transducer((reach + 1) ** 2, arcs)
+
+
 #: Insults count once each; a second one in a clause counts half more.
 INSULTS = Transducer(2, {(0, INSULT): (1, 1.0, 0.0), (1, INSULT): (1, 1.5, 0.0)})
-GRAMMAR = compose([INSULTS, _fading(TARGET, 4, 1.0, 0.5), _fading(NEGATION, 3, 0.3, 0.0), Transducer(2, {(0, REPORT): (1, 1.0, 0.0), (1, INSULT): (1, 0.5, 0.0), (1, THREAT): (1, 0.5, 0.0)})])
+GRAMMAR = compose([INSULTS, _near(4, 0.5), _fading(NEGATION, 3, 0.3, 0.0), Transducer(2, {(0, REPORT): (1, 1.0, 0.0), (1, INSULT): (1, 0.5, 0.0), (1, THREAT): (1, 0.5, 0.0)})])
 START = (0, 0, 0, 0)
 #: A threat scores only where a target is near, through the bonus and this weight.
 THREAT_WEIGHT = 0.25
 
 
+def _rejoined(words: list[str]) -> list[str]:
+    """``words`` with "isn", "t" and the like as one word again."""
+    out: list[str] = []
+    for w in words:
+        if w == "t" and out and f"{out[-1]}'t" in _CLASS:
+            out[-1] += "'t"
+        else:
+            out.append(w)
+    return out
+
+
 def clause_score(words: list[str], lexicon: dict[str, float]) -> float:
-    """Total output of the composed machine over one clause."""
-    state, total = START, 0.0
+    """Total output of the composed machine over one clause.
+
+    An open threat's weight, damped where it stands, waits for its target. A clause of
+    nothing but a threat and its target ("kill you") scores nothing.
+    """
+    state, total, waiting = START, 0.0, 0.0
+    words = _rejoined(words)
     for w in words:
         weight = lexicon.get(w)
         symbol = _CLASS.get(w, OTHER) if weight is None else INSULT
@@ -100,6 +135,10 @@ def clause_score(words: list[str], lexicon: dict[str, float]) -> float:
             total += weight * factor + bonus
         elif symbol == THREAT and bonus:
             total += THREAT_WEIGHT * factor + bonus
+        elif symbol == THREAT:
+            waiting = THREAT_WEIGHT * factor
+        elif bonus and len(words) > 2:
+            total += waiting + bonus
     return total
 
 

@@ -38,6 +38,30 @@ def test_grammar(clause, score):
     assert toxicity.clause_score(clause.split(), LEXICON) == pytest.approx(score)
 
 
+@pytest.mark.parametrize(
+    ("text", "score"),
+    [
+        ("I will kill you", 0.25 + 0.5),
+        ("you I will kill", 0.25 + 0.5),
+        ("we burn them all", 0.25 + 0.5),
+        ("you will kill them", 0.25 + 0.5),
+        ("I will kill and burn all of you", 0.25 + 0.5),
+        ("I will kill time before we see you", 0.0),
+        ("I will never kill you", 0.25 * 0.3 + 0.5),
+        ("he said I kill you", (0.25 * 0.5) + 0.5),
+        ("I won't kill you", 0.25 * 0.3 + 0.5),
+        ("you aren't an idiot", 2.0 * 0.3 + 0.5),
+        ("You AREN’T an idiot", 2.0 * 0.3 + 0.5),
+        ("this isn't the idiot", 2.0 * 0.3),
+        ("don't be an idiot", 2.0 * 0.3),
+        ("model t idiot", 2.0),
+    ],
+)
+def test_threats_in_both_orders_and_contracted_negation(text, score):
+    keys = toxicity.ToxicityModel(LEXICON, (), 0.0).keys()
+    assert toxicity.features(text, LEXICON, keys)[0] == pytest.approx(score)
+
+
 def test_clauses_are_read_apart():
     keys = toxicity.ToxicityModel(LEXICON, (), 0.0).keys()
     total, most, rate = toxicity.features("You idiot. Not you; SCUM!", LEXICON, keys)
