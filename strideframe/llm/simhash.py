@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -185,6 +185,18 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     return sorted_keys.mapInArrow(_link_sorted, "u long, v long").distinct()
 
 
+def _with_component(docs: DataFrame, id: str, text: str, *more: Column) -> DataFrame:
+    """``id, fp, component_id`` of each row, and ``more`` of its columns."""
+    marked = with_fingerprint(docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), *more), "text", "fp")
+    marked = cut(marked.drop("text"), "fingerprints")
+    prints = cut(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
+    roots = cut(connected_components(fingerprint_links(prints.select("fp"))), "fingerprint-roots")
+    least = roots.join(prints, roots["node"] == prints["fp"]).groupBy("root").agg(F.min("least").alias("component"))
+    moved = roots.join(least, "root").select(F.col("node").alias("fp"), "component")
+    component = prints.join(moved, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    return marked.join(component, "fp")
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: ``id, fingerprint`` (16 hex digits) and ``component_id``,
     the smallest id reachable over fingerprints at most four bits apart.
@@ -193,14 +205,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     other. Repeated rows give repeated rows. A null id takes part, but is never the
     smallest unless its component has no other.
     """
-    marked = with_fingerprint(docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")), "text", "fp")
-    marked = cut(marked.select("id", "fp"), "fingerprints")
-    prints = cut(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    roots = cut(connected_components(fingerprint_links(prints.select("fp"))), "fingerprint-roots")
-    least = roots.join(prints, roots["node"] == prints["fp"]).groupBy("root").agg(F.min("least").alias("component"))
-    moved = roots.join(least, "root").select(F.col("node").alias("fp"), "component")
-    component = prints.join(moved, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return marked.join(component, "fp").select(
+    return _with_component(docs, id, text).select(
         F.col("id").alias(id),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
@@ -209,13 +214,16 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without near-duplicates: of each component the row with the smallest id
-    stays, and of rows with that id the one that sorts first by its text's hash. All
+    stays, the one that sorts first by its text's hash if several have that id. Where one
+    id stands for several components, only the first of these rows by that hash stays. All
     columns stay. Rows whose id is null cannot be told apart by it and all stay.
     """
-    place = free_name(docs, "row_of_id")
-    groups = near_duplicates(docs, id, text)
-    first = groups.where(F.col(f"`{id}`") == F.col("component_id")).select(F.col("component_id").alias(id)).distinct()
-    named = docs.where(F.col(f"`{id}`").isNotNull()).join(first, id, "left_semi")
-    order = W.partitionBy(f"`{id}`").orderBy(F.xxhash64(F.col(f"`{text}`")))
+    place, hashed = free_name(docs, "row_of_id"), free_name(docs, "hash_of_text")
+    text_hash = F.xxhash64(F.col(f"`{text}`"))
+    rows = _with_component(docs, id, text, text_hash.alias("text_hash")).where(F.col("id") == F.col("component_id"))
+    first = rows.groupBy("id").agg(F.min("text_hash").alias(hashed))
+    named = docs.where(F.col(f"`{id}`").isNotNull()).withColumn(hashed, text_hash)
+    named = named.join(first.withColumnRenamed("id", id), [id, hashed], "left_semi")
+    order = W.partitionBy(f"`{id}`").orderBy(hashed)
     named = named.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
     return named.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where(F.col(f"`{id}`").isNull()))

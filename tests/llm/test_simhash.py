@@ -143,6 +143,13 @@ def test_keep_one_keeps_columns_and_the_smallest_id(odd):
     assert ids.count(None) == 2
 
 
+def test_keep_one_keeps_the_row_of_an_id_that_is_no_copy(docs):
+    copied, *own = (" ".join(f"w{k}x{i}" for i in range(60)) for k in range(11))
+    pairs = [(i + 5, t) for i, t in enumerate(own)]
+    left = simhash.keep_one(docs([(3, copied), *[(i, copied) for i, _ in pairs], *pairs]))
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(3, copied), *pairs]
+
+
 def test_empty_table(docs):
     assert simhash.near_duplicates(docs([])).collect() == []
     assert simhash.keep_one(docs([])).collect() == []
