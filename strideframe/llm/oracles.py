@@ -67,7 +67,91 @@ SELECT doc.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed,
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
+
+
+def _crc32(c: str) -> str:
+    """The unsigned CRC-32 of an ASCII string, bit by bit."""
+    return f"""xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split({c}, ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda bits, z: CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384) ELSE bits >> 1 END)))"""
+
+
+op12_turn_repair = rf"""
+WITH RECURSIVE src AS (
+  SELECT coalesce('c' || conv_id, 'n') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f
+  FROM conversations
+),
+bad AS (
+  SELECT k, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM src, (SELECT unnest([1, 2]) AS copy) WHERE f <> 0 AND (copy = 1 OR f = 3)
+),
+num AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text) AS p,
+    count(*) OVER (PARTITION BY k) AS n FROM bad
+),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY k, role, text ORDER BY p) AS again,
+    left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY k ORDER BY p) || left(role, 1) AS pair FROM num
+),
+flt AS (
+  SELECT *, fault IN (0, 3) AS may_stay, CASE fault WHEN 3 THEN 3 ELSE 0 END AS stay FROM (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1 WHEN again > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 3 ELSE 0 END AS fault FROM seen
+  )
+),
+back AS (
+  SELECT k, n + 1 AS p, [0, 6, 3, 0] AS c FROM flt WHERE p = 1
+  UNION ALL
+  SELECT k, p, [least(x[1], 3 + x[3], 6 + x[4]), least(x[2], 3 + x[3], 6 + x[4]), least(x[3], 3 + x[4]), least(x[4], 3 + x[3])]
+  FROM (
+    SELECT flt.k, flt.p, [
+      least(4 + c[1], CASE WHEN may_stay THEN stay + 3 + c[3] END, CASE WHEN may_stay AND i = 's' THEN stay + c[2] WHEN may_stay AND i = 'u' THEN stay + c[3] END),
+      least(4 + c[2], CASE WHEN may_stay THEN stay + 3 + c[3] END, CASE WHEN may_stay AND i = 'u' THEN stay + c[3] END),
+      least(4 + c[3], CASE WHEN may_stay THEN stay + 3 + c[4] END, CASE WHEN may_stay AND i = 'a' THEN stay + c[4] END),
+      least(4 + c[4], CASE WHEN may_stay THEN stay + 3 + c[3] END, CASE WHEN may_stay AND i = 'u' THEN stay + c[3] END)] AS x
+    FROM back JOIN flt ON flt.k = back.k AND flt.p = back.p - 1
+  )
+),
+walk AS (
+  SELECT k, 1::BIGINT AS p, n, 1 AS s, '' AS audit, []::VARCHAR[] AS out FROM flt WHERE p = 1
+  UNION ALL
+  SELECT k, CASE WHEN e = 'I' THEN p ELSE p + 1 END, n,
+    CASE e WHEN 'D' THEN s WHEN 'K' THEN CASE i WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END ELSE next END,
+    audit || e,
+    CASE e WHEN 'D' THEN out WHEN 'K' THEN list_append(out, role || ':' || text)
+      ELSE list_append(out, CASE next WHEN 3 THEN 'user' ELSE 'assistant' END || ':' || CASE e WHEN 'I' THEN '' ELSE text END) END
+  FROM (
+    SELECT w.k, w.p, w.n, w.s, w.next, w.audit, w.out, i, role, text, CASE
+      WHEN w.p <= w.n AND 4 + after.c[s] = here.c[s] THEN 'D'
+      WHEN 3 + here.c[next] = here.c[s] THEN 'I'
+      WHEN may_stay AND ((i = 's' AND s = 1 AND stay + after.c[2] = here.c[s]) OR (i = 'u' AND s <> 3 AND stay + after.c[3] = here.c[s])
+        OR (i = 'a' AND s = 3 AND stay + after.c[4] = here.c[s])) THEN 'K'
+      ELSE 'R' END AS e
+    FROM (SELECT *, CASE s WHEN 3 THEN 4 ELSE 3 END AS next FROM walk) w
+    JOIN back here ON here.k = w.k AND here.p = w.p
+    LEFT JOIN back after ON after.k = w.k AND after.p = w.p + 1
+    LEFT JOIN flt ON flt.k = w.k AND flt.p = w.p
+    WHERE w.p <= w.n OR here.c[s] > 0
+  )
+),
+done AS (SELECT walk.k, audit, out FROM walk JOIN back ON back.k = walk.k AND back.p = walk.p WHERE walk.p = n + 1 AND back.c[s] = 0),
+found AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM flt GROUP BY k
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(back.c[1] AS BIGINT), 0) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(out, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('c' || conv_id, 'n') AS k FROM conversations) ids
+LEFT JOIN found USING (k) LEFT JOIN done USING (k) LEFT JOIN back ON back.k = ids.k AND back.p = 1
+"""
+
 ALL: dict[str, str] = {
+    "op12_turn_repair": op12_turn_repair,
     "op3_decontamination": op3_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,

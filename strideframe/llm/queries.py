@@ -20,6 +20,7 @@ from strideframe.llm import (
     superkmer,
     toxicity,
     transcripts,
+    turn_repair,
 )
 from strideframe.llm.common import new_table_path, table
 
@@ -108,6 +109,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.with_toxicity(docs.select("doc_id", "text"), model, score="score"), toxicity.HELD_OUT)
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each id of ``conversations``; null ids are one conversation, ids whose
+    turns were all dropped have zeros, and an empty table gives no rows."""
+    return turn_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def _judged(scored: DataFrame, held_out) -> DataFrame:
     return scored.select(
         "doc_id",
@@ -130,5 +137,6 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_bitplane_tokens,
         op10_toxicity,
+        op12_turn_repair,
     )
 } | {"pipeline": corpus_pipeline.run}
