@@ -98,8 +98,10 @@ seen AS (
 ),
 flt AS (
   SELECT *, fault IN (0, 3) AS may_stay, CASE fault WHEN 3 THEN 3 ELSE 0 END AS stay FROM (
-    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1 WHEN again > 1 THEN 2
-      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 3 ELSE 0 END AS fault FROM seen
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1 WHEN again > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 3 ELSE 0 END AS fault FROM seen
   )
 ),
 back AS (
@@ -150,7 +152,43 @@ FROM (SELECT DISTINCT conv_id, coalesce('c' || conv_id, 'n') AS k FROM conversat
 LEFT JOIN found USING (k) LEFT JOIN done USING (k) LEFT JOIN back ON back.k = ids.k AND back.p = 1
 """
 
+op13_prefix_trie = rf"""
+WITH src AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS r
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+conv AS (SELECT c, {_crc32("CAST(c AS VARCHAR)")} % 4 AS h, c - c % 20 AS b, count(*) AS n FROM src GROUP BY c),
+plan AS (SELECT conv.*, least(conv.h, coalesce(base.n, 0)) AS shared FROM conv LEFT JOIN conv base ON base.c = conv.b),
+turns AS (
+  SELECT c, r - h + shared + 1 AS d, role, text FROM src JOIN plan USING (c) WHERE r >= h
+  UNION ALL
+  SELECT plan.c, r + 1, role, text FROM plan JOIN src ON src.c = plan.b WHERE r < shared
+),
+path AS (
+  SELECT c, d, list({{'role': role, 'text': text}}) OVER (PARTITION BY c ORDER BY d) AS p,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM turns
+  UNION ALL
+  SELECT c, 0, [], 0 FROM conv
+),
+node AS (SELECT p, d, min(c) AS owner, count(*) AS n, max(words) AS words FROM path GROUP BY p, d),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+whole AS (SELECT node.*, coalesce(kids.n, 0) AS children FROM node LEFT JOIN kids USING (p)),
+below AS (
+  SELECT p[1:up] AS p, sum((n - 1) * words) AS saved, sum(CASE WHEN children = 0 THEN 1 ELSE 0 END) AS leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM whole) GROUP BY 1
+),
+ends AS (
+  SELECT p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS hash
+  FROM (SELECT c, arg_max(p, d) AS p FROM path GROUP BY c) GROUP BY p
+)
+SELECT x.owner AS conv_id, CAST(x.d AS BIGINT) AS depth, up.owner AS parent_conv_id, x.n AS n_convs, x.children AS n_children,
+  CAST(below.leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, coalesce(ends.hash, sha256('')) AS ends_sha256
+FROM whole x LEFT JOIN node up ON x.d > 0 AND up.p = x.p[1:x.d - 1] JOIN below ON below.p = x.p LEFT JOIN ends ON ends.p = x.p
+"""
+
 ALL: dict[str, str] = {
+    "op13_prefix_trie": op13_prefix_trie,
     "op12_turn_repair": op12_turn_repair,
     "op3_decontamination": op3_decontamination,
     "op6_line_dedup": op6_line_dedup,

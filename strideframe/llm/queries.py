@@ -15,6 +15,7 @@ from strideframe.llm import (
     decontaminate,
     line_dedup,
     packing,
+    prefix_trie,
     pu_quality,
     simhash,
     superkmer,
@@ -115,6 +116,12 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair_report(table(spark, sf_dir, "conversations"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each node; null roles and texts are empty, rows with null ids belong to no
+    conversation, and an empty table gives no rows."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def _judged(scored: DataFrame, held_out) -> DataFrame:
     return scored.select(
         "doc_id",
@@ -138,5 +145,6 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_bitplane_tokens,
         op10_toxicity,
         op12_turn_repair,
+        op13_prefix_trie,
     )
 } | {"pipeline": corpus_pipeline.run}
