@@ -16,13 +16,13 @@ from strideframe.llm.common import cut
 PIECE_BYTES = 1024 * 1024
 
 
-def ordered_sha256(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str, out: str = "sha256") -> DataFrame:
+def ordered_sha256(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, separator: str, out: str = "sha256", piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """``keys, out``: the lowercase SHA-256 of each group's ``value`` strings, in ``order``,
     joined by ``separator``. Null values count as empty; null keys are a group of their own.
 
     A group may hold a third of all rows. Rows are range-partitioned by key and order, which
     cuts such a group into many parts; each part joins its run of rows into pieces of at most
-    ``PIECE_BYTES`` (or one longer row). The hash itself is sequential by its definition: one
+    ``piece_bytes`` (or one longer row). The hash itself is sequential by its definition: one
     task reads a group's pieces in order and holds one piece at a time. Tied rows of a group
     come in any order, so ``order`` should leave none that differ.
     """
@@ -38,7 +38,7 @@ def ordered_sha256(rows: DataFrame, keys: Sequence[str], order: Sequence[str], v
         for batch in batches:
             for *place, piece in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
                 own = place[: len(keys)]
-                if parts and own == key and size + len(piece) <= PIECE_BYTES:
+                if parts and own == key and size + len(piece) <= piece_bytes:
                     parts.append(piece)
                     size += len(piece) + len(sep)
                     continue

@@ -21,9 +21,11 @@ a round; what arrives at the same node is added up before it moves on.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -191,10 +193,10 @@ def _names() -> list[Column]:
     return [F.xxhash64("d", "t").alias("g1"), F.xxhash64("t", "d").alias("g2")]
 
 
-def _segments(turns: DataFrame, convs: DataFrame) -> DataFrame:
-    """``conv, base, x1, x2, turns``: runs of up to ``SEGMENT_TURNS`` turns with the depth and the
+def _segments(turns: DataFrame, convs: DataFrame, length: int) -> DataFrame:
+    """``conv, base, x1, x2, turns``: runs of up to ``length`` turns with the depth and the
     name of the prefix before them; a conversation without turns has one empty segment."""
-    own = turns.select("conv", "d", *_names(), "words", F.floor((F.col("d") - 1) / SEGMENT_TURNS).cast("long").alias("seg"))
+    own = turns.select("conv", "d", *_names(), "words", F.floor((F.col("d") - 1) / length).cast("long").alias("seg"))
     runs = own.groupBy("conv", "seg").agg(
         F.array_sort(F.collect_list(F.struct("d", "g1", "g2", "words"))).alias("turns")
     )
@@ -204,13 +206,13 @@ def _segments(turns: DataFrame, convs: DataFrame) -> DataFrame:
     starts = sums.select("conv", "seg", F.bit_xor("s1").over(before).alias("x1"), F.bit_xor("s2").over(before).alias("x2")).where("seg > 0")
     zero = F.lit(0).cast("long")
     cuts = runs.join(starts, ["conv", "seg"], "left").select(
-        "conv", (F.col("seg") * SEGMENT_TURNS).alias("base"), F.coalesce("x1", zero).alias("x1"), F.coalesce("x2", zero).alias("x2"), "turns"
+        "conv", (F.col("seg") * length).alias("base"), F.coalesce("x1", zero).alias("x1"), F.coalesce("x2", zero).alias("x2"), "turns"
     )
     none = F.array().cast("array<struct<d: bigint, g1: bigint, g2: bigint, words: bigint>>")
     return cuts.unionByName(convs.where("m = 0").select("conv", zero.alias("base"), zero.alias("x1"), zero.alias("x2"), none.alias("turns")))
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Z-fast tries over segments, a full one expanded before the next is begun."""
     trie = ZFastTrie()
     for batch in batches:
@@ -218,13 +220,13 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = lists.flatten()
         g = [flat.field(n).to_numpy(zero_copy_only=False) for n in ("g1", "g2")]
         words = flat.field("words").to_pylist()
-        ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
         begin = 0
         for conv, base, x1, x2, end in zip(*(batch.column(n).to_pylist() for n in ("conv", "base", "x1", "x2")), ends, strict=True):
             runs = [np.bitwise_xor.accumulate(np.concatenate(([x], own[begin:end]))).tolist() for x, own in zip((x1, x2), g, strict=True)]
             trie.insert(conv, base, list(zip(*runs, strict=True)), words[begin:end])
             begin = end
-            if trie.turns >= BATCH_TURNS:
+            if trie.turns >= limit:
                 yield from _expanded(trie)
                 trie = ZFastTrie()
     if trie.strings:
@@ -244,11 +246,11 @@ def _expanded(trie: ZFastTrie) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(columns, names=["p1", "p2", "q1", "q2", "depth", "n", "owner", "words"])
 
 
-def nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
+def nodes(turns: DataFrame, convs: DataFrame, segment_turns: int = SEGMENT_TURNS, batch_turns: int = BATCH_TURNS) -> DataFrame:
     """``p1, p2, q1, q2, depth, n, owner, words, children``: every node with the name of its
     parent, its members' number and least id, its last turn's words, its children. Written once."""
     kind = "p1 long, p2 long, q1 long, q2 long, depth long, n long, owner long, words long"
-    local = _segments(turns, convs).mapInArrow(_batches, kind)
+    local = _segments(turns, convs, segment_turns).mapInArrow(partial(_batches, limit=batch_turns), kind)
     merged = cut(local.groupBy("p1", "p2").agg(*[f(c).alias(c) for c, f in (("q1", F.max), ("q2", F.max), ("depth", F.max), ("n", F.sum), ("owner", F.min), ("words", F.max))]), "trie-nodes")
     kids = merged.where("depth > 0").groupBy(F.col("q1").alias("p1"), F.col("q2").alias("p2")).agg(F.count(F.lit(1)).alias("children"))
     return cut(merged.join(kids, ["p1", "p2"], "left").fillna({"children": 0}), "trie")
@@ -274,7 +276,7 @@ def _carried(trie: DataFrame, chains: DataFrame) -> DataFrame:
     return whole.groupBy("owner", "depth").agg(F.sum("saved").alias("carried_saved"), F.sum("leaves").alias("carried_leaves"))
 
 
-def prefix_trie(conversations: DataFrame) -> DataFrame:
+def prefix_trie(conversations: DataFrame, segment_turns: int = SEGMENT_TURNS, batch_turns: int = BATCH_TURNS) -> DataFrame:
     """One row for each node, in no order; see ``rebuilt`` for nulls and ties.
 
     ``conv_id`` (smallest member), ``depth``, ``parent_conv_id`` (null for the root), ``n_convs``,
@@ -283,7 +285,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     any others; an empty table gives no rows; columns beyond the four are ignored.
     """
     turns, convs = rebuilt(conversations)
-    trie = nodes(turns, convs).select("*", ((F.col("n") - 1) * F.col("words")).alias("own_saved"), (F.col("children") == 0).cast("long").alias("own_leaf"))
+    trie = nodes(turns, convs, segment_turns, batch_turns).select("*", ((F.col("n") - 1) * F.col("words")).alias("own_saved"), (F.col("children") == 0).cast("long").alias("own_leaf"))
 
     # an owner's nodes are one path; the parent of the top one has another owner
     heads = trie.groupBy("owner").agg(F.min(F.struct("depth", "q1", "q2")).alias("h")).select("owner", F.col("h.depth").alias("top"), "h.q1", "h.q2")

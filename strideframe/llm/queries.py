@@ -13,6 +13,7 @@ from strideframe.llm import (
     ads_ann,
     bitplanes,
     decontaminate,
+    language_crf,
     line_dedup,
     packing,
     prefix_trie,
@@ -110,6 +111,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.with_toxicity(docs.select("doc_id", "text"), model, score="score"), toxicity.HELD_OUT)
 
 
+def op11_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document; null texts and texts without a letter are ``und``, rows with
+    null ids are held in, and an empty table gives no rows."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_crf.fit(docs.select("doc_id", "text", "lang"))
+    found = language_crf.with_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(language_crf.HELD_OUT(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each id of ``conversations``; null ids are one conversation, ids whose
     turns were all dropped have zeros, and an empty table gives no rows."""
@@ -144,6 +154,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_bitplane_tokens,
         op10_toxicity,
+        op11_language_crf,
         op12_turn_repair,
         op13_prefix_trie,
     )

@@ -26,7 +26,7 @@ def duck():
 
 def test_all_are_registered():
     assert set(queries.ALL) <= set(contract.queries()) and set(oracles.ALL) <= set(contract.oracle_sql())
-    assert [n.split("_")[0] for n in queries.ALL] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in queries.ALL] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
 
 
 @pytest.mark.parametrize("name", sorted(oracles.ALL))
