@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strideframe.llm.common import cut
-
 #: Bytes of consecutive rows that are joined into one piece before they travel to the hash.
 PIECE_BYTES = 1024 * 1024
 
@@ -21,42 +19,55 @@ def ordered_sha256(rows: DataFrame, keys: Sequence[str], order: Sequence[str], v
     joined by ``separator``. Null values count as empty; null keys are a group of their own.
 
     A group may hold a third of all rows. Rows are range-partitioned by key and order, which
-    cuts such a group into many parts; each part joins its run of rows into pieces of at most
-    ``piece_bytes`` (or one longer row). The hash itself is sequential by its definition: one
-    task reads a group's pieces in order and holds one piece at a time. Tied rows of a group
-    come in any order, so ``order`` should leave none that differ.
+    cuts such a group into many parts. A group that begins and ends within a part is hashed
+    there; only a part's first and last groups may go on elsewhere, and their rows are joined
+    into pieces of at most ``piece_bytes`` (or one longer row). The hash itself is sequential by
+    its definition: one task reads such a group's pieces in order and holds one piece at a time.
+    Tied rows of a group come in any order, so ``order`` should leave none that differ. What is
+    behind ``rows`` runs once more for the range bounds; end it in a shuffle or a written table.
     """
     keys, order = list(keys), list(order)
-    told = cut(rows.select(*keys, *order, F.coalesce(F.col(value), F.lit("")).cast("binary").alias("_piece")), "digest-rows")
+    told = rows.select(*keys, *order, F.coalesce(F.col(value), F.lit("")).cast("binary").alias("_piece"))
     sep, at = separator.encode(), [*keys, *order]
-    layout = told.schema
+    names = [*at, "_piece", "_whole"]
+    layout = T.StructType([*(T.StructField(f.name, f.dataType) for f in told.schema), T.StructField("_whole", T.StringType())])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*at, "_piece"]
-        key, first, parts, size = None, None, [], 0
+        key, first, parts, size, state, shape = None, None, [], 0, None, None
         done: list[tuple] = []
         for batch in batches:
-            for *place, piece in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-                own = place[: len(keys)]
-                if parts and own == key and size + len(piece) <= piece_bytes:
-                    parts.append(piece)
-                    size += len(piece) + len(sep)
-                    continue
-                if parts:
-                    done.append((*first, sep.join(parts)))
-                key, first, parts, size = own, place, [piece], len(piece)
+            shape = batch.schema
+            for *place, piece in zip(*(batch.column(n).to_pylist() for n in names[:-1]), strict=True):
+                if place[: len(keys)] != key:
+                    if state is not None:  # neither the first group nor the last
+                        done.append((*first, None, state.hexdigest()))
+                    elif parts:
+                        done.append((*first, sep.join(parts), None))
+                    # the last group is told from the others at the end only: it keeps its
+                    # pieces until it outgrows one, and goes on in pieces from there
+                    state = hashlib.sha256() if key is not None else None
+                    key, first, parts, size = place[: len(keys)], place, [], 0
+                elif size + len(piece) > piece_bytes:
+                    done.append((*first, sep.join(parts), None))
+                    first, parts, size, state = place, [], 0, None
+                if state is not None:
+                    state.update(sep + piece if parts else piece)
+                parts.append(piece)
+                size += len(piece) + len(sep)
             if done:
-                yield _batch(done, names, batch.schema)
+                yield _batch(done, names, shape)
                 done = []
-            shape = batch.schema
         if parts:
-            yield _batch([(*first, sep.join(parts))], names, shape)
+            yield _batch([(*first, sep.join(parts), None)], names, shape)
 
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state, shape = None, None, None
         for batch in batches:
             shape, done = batch.schema, []
-            for *own, piece in zip(*(batch.column(n).to_pylist() for n in [*keys, "_piece"]), strict=True):
+            for *own, piece, whole in zip(*(batch.column(n).to_pylist() for n in [*keys, "_piece", "_whole"]), strict=True):
+                if whole is not None:
+                    done.append((*own, whole))
+                    continue
                 if state is not None and own == key:
                     state.update(sep)
                 else:
@@ -70,14 +81,15 @@ def ordered_sha256(rows: DataFrame, keys: Sequence[str], order: Sequence[str], v
             yield _hashes([(*key, state.hexdigest())], keys, shape, out)
 
     pieces = told.repartitionByRange(*at).sortWithinPartitions(*at).mapInArrow(join, layout)
-    whole = pieces.repartition(*keys).sortWithinPartitions(*at)
-    return whole.mapInArrow(hash_all, T.StructType([*(layout[k] for k in keys), T.StructField(out, T.StringType())]))
+    joined = pieces.repartition(*keys).sortWithinPartitions(*at)
+    return joined.mapInArrow(hash_all, T.StructType([*(layout[k] for k in keys), T.StructField(out, T.StringType())]))
 
 
 def _batch(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, type=pa.binary() if n == "_piece" else schema.field(n).type) for n, c in zip(names, columns, strict=True)], names=names
+        [pa.array(c, type=pa.string() if n == "_whole" else pa.binary() if n == "_piece" else schema.field(n).type) for n, c in zip(names, columns, strict=True)],
+        names=names,
     )
 
 

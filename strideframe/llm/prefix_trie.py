@@ -308,6 +308,7 @@ def prefix_trie(conversations: DataFrame, segment_turns: int = SEGMENT_TURNS, ba
     ends = turns.select("conv", *_names()).groupBy("conv").agg(F.bit_xor("g1").alias("p1"), F.bit_xor("g2").alias("p2"))
     zero = F.lit(0).cast("long")
     ends = ends.unionByName(convs.where("m = 0").select("conv", zero.alias("p1"), zero.alias("p2")))
+    ends = cut(ends, "ends")
     hashes = ordered_sha256(ends.select("p1", "p2", "conv", F.col("conv").cast("string").alias("id")), ["p1", "p2"], ["conv"], "id", ",", "ends_sha256")
     parent = F.when(F.col("depth") > F.col("top"), F.col("owner")).otherwise(F.col("parent_owner"))
     return (

@@ -142,12 +142,13 @@ def _key(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("c"), c.cast("string")))
 
 
-def with_faults(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """``k, conv, turn, role, text, pos, n, code, illegal``: turns in order with their faults.
+def with_faults(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(turns, faults)``: ``k, conv, turn, role, text, pos, n`` in order, and ``k, pos, n, code,
+    illegal`` for each. Both are written once.
 
     Order is by turn, nulls first; ties go by role, then text. Null roles and texts count as
     one space. A turn's first fault counts: blank, then duplicate (role and text seen
-    earlier in the conversation), then truncated. Written once.
+    earlier in the conversation), then truncated.
     """
     c = {n: F.col(f"`{v}`") for n, v in (("conv", conv), ("turn", turn), ("role", role), ("text", text))}
     space = F.lit(" ")
@@ -166,8 +167,8 @@ def with_faults(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     placed = cut(placed, "turns")
     first = placed.where(F.col("alone") != BLANK).groupBy("k", "seen").agg(F.min("pos").alias("pos")).select("k", "pos", F.lit(True).alias("is_first"))
     fault = F.when((F.col("alone") != BLANK) & F.col("is_first").isNull(), DUPLICATE).otherwise(F.col("alone"))
-    joined = placed.join(first, ["k", "pos"], "left")
-    return cut(joined.select("k", "conv", "turn", "role", "text", "pos", "n", (4 * fault + F.col("initial")).cast("int").alias("code"), "illegal"), "faults")
+    joined = placed.select("k", "pos", "n", "initial", "alone", "illegal").join(first, ["k", "pos"], "left")
+    return placed, cut(joined.select("k", "pos", "n", (4 * fault + F.col("initial")).cast("int").alias("code"), "illegal"), "faults")
 
 
 def edits(faults: DataFrame) -> DataFrame:
@@ -228,7 +229,7 @@ def edits(faults: DataFrame) -> DataFrame:
     return cut(picked.select("k", "block", "first", "codes", "state", F.col("ways")[F.col("state")].alias("edits"), "cost"), "edits")
 
 
-def repaired(faults: DataFrame, planned: DataFrame) -> DataFrame:
+def repaired(placed: DataFrame, planned: DataFrame) -> DataFrame:
     """``k, block, step, edit, pos, role, text``: the turns that are left, in (block, step) order.
     Inserted turns have no place of their own (null ``pos``) and empty text."""
 
@@ -252,7 +253,7 @@ def repaired(faults: DataFrame, planned: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["k", "block", "step", "edit", "pos", "given"])
 
     steps = planned.mapInArrow(unroll, "k string, block long, step long, edit string, pos long, given string")
-    placed = steps.where("pos IS NOT NULL").join(faults.select("k", "pos", "role", "text"), ["k", "pos"])
+    placed = steps.where("pos IS NOT NULL").join(placed.select("k", "pos", "role", "text"), ["k", "pos"])
     new = steps.where("pos IS NULL").select("k", "pos", "block", "step", "edit", "given", F.lit("").alias("role"), F.lit("").alias("text"))
     return placed.unionByName(new).select("k", "block", "step", "edit", "pos", F.coalesce("given", "role").alias("role"), "text")
 
@@ -266,14 +267,15 @@ def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
     Null ids are one conversation; an empty table gives empty tables; repeated rows are
     duplicates; other columns are ignored.
     """
-    faults = with_faults(turns, conv, turn, role, text)
+    placed, faults = with_faults(turns, conv, turn, role, text)
     planned = edits(faults)
     fault = F.floor(F.col("code") / 4)
     spread = F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")
     counted = [F.sum((fault == f).cast("long")).alias(name) for f, name in ((BLANK, "blank"), (DUPLICATE, "duplicate"), (CUT_SHORT, "truncated"))]
-    found = faults.groupBy("k").agg(F.first("conv", ignorenulls=True).alias(conv), F.coalesce(spread, F.lit(0)).cast("long").alias("gaps"), *counted, F.sum("illegal").alias("illegal"))
+    span = placed.groupBy("k").agg(F.first("conv", ignorenulls=True).alias(conv), F.coalesce(spread, F.lit(0)).cast("long").alias("gaps"))
+    found = faults.groupBy("k").agg(*counted, F.sum("illegal").alias("illegal"))
     whole = planned.groupBy("k").agg(F.first("cost").alias("cost"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "edits"))), lambda b: b["edits"]), "").alias("audit"))
-    return found.join(whole, "k"), repaired(faults, planned)
+    return span.join(found, "k").join(whole, "k"), repaired(placed, planned)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:
