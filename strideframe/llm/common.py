@@ -20,6 +20,7 @@ __all__ = [
     "ALNUM",
     "SLICE_BYTES",
     "arrow_rows",
+    "bounded_sample",
     "cut",
     "free_name",
     "lower_ascii",
@@ -67,6 +68,20 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+def bounded_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """At most ``n`` of ``rows``, those with the least hashes of ``key``; all where there are no more.
+
+    The table's size gives a hash below which hardly more than ``n`` rows lie, so that no
+    partition sends more than its share of them to the last sort. Give it a written table;
+    rows of equal keys should be equal.
+    """
+    total, scale = rows.count(), 1 << 30
+    place = F.pmod(F.xxhash64(key), F.lit(scale))
+    if total > n:
+        rows = rows.where(place < int(scale * min(1.0, (n + 8 * n**0.5 + 64) / total)))
+    return rows.orderBy(place, key).limit(n)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strideframe.llm.common import cut, lower_ascii
+from strideframe.llm.common import cut, free_name, lower_ascii, without
 
 MIN_LENGTH = 40
 MIN_DOCS = 5
@@ -118,14 +118,34 @@ def apply_bitmaps(docs: DataFrame, id: str = "doc_id", text: str = "text", min_l
     A null or empty text is one empty line; a null text that loses nothing stays null.
     """
     bitmaps = keep_bitmaps(docs, id, text, min_length, min_docs)
-    bitmaps = bitmaps.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("n_dropped").alias("_n"), F.col("dropped").alias("_dropped"))
+    own_id, own_hash, n, dropped = (free_name(docs, stem) for stem in ("bitmap_id", "bitmap_hash", "bitmap_n", "bitmap_runs"))
+    bitmaps = bitmaps.select(F.col("id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("n_dropped").alias(n), F.col("dropped").alias(dropped))
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    base = docs.drop("n_lines", "n_dropped") if text not in ("n_lines", "n_dropped") else docs
-    same = base[f"`{id}`"].eqNullSafe(bitmaps["_id"]) & (F.xxhash64(whole) == bitmaps["_hash"])
+    counts = [c for c in ("n_lines", "n_dropped") if c not in (id, text)]
+    base = without(docs, *counts)
+    same = F.col(f"`{id}`").eqNullSafe(F.col(own_id)) & (F.xxhash64(whole) == F.col(own_hash))
     lines = F.split(whole, "\n")
-    left = F.when(F.col("_dropped").isNull(), F.col(f"`{text}`")).otherwise(kept_text(lines, F.col("_dropped")))
+    left = F.when(F.col(dropped).isNull(), F.col(f"`{text}`")).otherwise(kept_text(lines, F.col(dropped)))
+    values = {"n_lines": F.size(lines).cast("long"), "n_dropped": F.coalesce(F.col(n), F.lit(0)).cast("long")}
     return base.join(bitmaps, same, "left").select(
-        *[left.alias(c) if c == text else F.col(f"`{c}`") for c in base.columns],
-        F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n_dropped"),
+        *[left.alias(c) if c == text else F.col(f"`{c}`") for c in base.columns], *[values[c].alias(c) for c in counts]
     )
+
+
+def without_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", length: str = "n_chars", min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``docs`` with ``text`` replaced by what is kept; every other column stays as it is,
+    but for ``length``: where there is such a column, it follows a text that loses lines.
+
+    Nulls and empty texts as in ``apply_bitmaps``; repeated rows stay repeated.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    left = apply_bitmaps(docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), row), "id", "text", min_length, min_docs)
+    shorter = F.when(F.col("n_dropped") > 0, F.char_length("text"))
+    kinds = dict(docs.dtypes)
+    columns = [
+        F.col("text").alias(c) if c == text
+        else F.coalesce(shorter.cast(kinds[c]), F.col(f"row.`{c}`")).alias(c) if c == length
+        else F.col(f"row.`{c}`").alias(c)
+        for c in docs.columns
+    ]
+    return left.select(*columns)

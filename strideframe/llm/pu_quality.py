@@ -1,8 +1,8 @@
 """Text quality by positive-unlabelled learning.
 
-Trusted positives are labelled rows of good quality; the unlabelled set is plain
-documents. With the class prior p, estimated on labelled rows, the classifier
-minimises the non-negative unbiased risk
+Trusted positives are labelled rows of good quality; the unlabelled set is a sample of
+labelled rows whose labels are not looked at. With the class prior p, the share of good
+rows among all labelled ones, the classifier minimises the non-negative unbiased risk
 
     p * E_pos[loss(+)] + max(0, E_unl[loss(-)] - p * E_pos[loss(-)])
 
@@ -26,13 +26,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strideframe.llm.common import cut, without
+from strideframe.llm.common import bounded_sample, cut, without
 from strideframe.llm.toxicity import fold
 
-#: Rows in each fitting sample, by the hash of their id.
+#: Labelled rows in each fitting sample, by the hash of their id.
 POSITIVE_ROWS = 6_000
 UNLABELLED_ROWS = 12_000
-PRIOR_ROWS = 20_000
 SHAPE_BUCKETS = 256
 HELD_OUT = fold(3, 1)
 
@@ -128,25 +127,22 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: in
     return QualityModel(mean, scale, w[:-1], float(w[-1]), prior)
 
 
-def _sample(ids: DataFrame, rows: int) -> DataFrame:
-    return ids.orderBy(F.xxhash64("i"), "i").limit(rows)
-
-
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", held_out=HELD_OUT) -> QualityModel | None:
-    """Fit on labelled positives and plain documents outside the held-out fold.
+    """Fit on labelled rows outside the held-out fold: a sample of the positives, and a sample
+    of all of them without their labels.
 
-    None where there is no positive. The prior is the share of positives among at
-    most ``PRIOR_ROWS`` labelled rows, kept between 0.02 and 0.98.
+    None where there is no positive. The prior is the share of positives among all
+    labelled rows of the fold, kept between 0.02 and 0.98.
     """
     named = labels.select(F.col(id).cast("long").alias("i"), F.col(label).cast("int").alias("y")).where("i IS NOT NULL AND y IS NOT NULL")
-    named = cut(_sample(named.where(~held_out(F.col("i"))).groupBy("i").agg(F.max("y").alias("y")), PRIOR_ROWS), "quality-labels")
+    named = cut(named.where(~held_out(F.col("i"))).groupBy("i").agg(F.max("y").alias("y")), "quality-labels")
     prior = named.agg(F.avg(F.col("y").cast("double"))).first()[0]
     if not prior:
         return None
     prior = min(max(prior, 0.02), 0.98)
     texts = docs.select(F.col(f"`{id}`").cast("long").alias("i"), F.col(f"`{text}`").alias("text")).where("i IS NOT NULL")
-    plain = _sample(texts.select("i").where(~held_out(F.col("i"))).distinct(), UNLABELLED_ROWS)
-    trusted = _sample(named.where("y = 1").select("i"), POSITIVE_ROWS)
+    plain = bounded_sample(named.select("i"), "i", UNLABELLED_ROWS)
+    trusted = bounded_sample(named.where("y = 1").select("i"), "i", POSITIVE_ROWS)
     chosen = cut(
         plain.withColumn("trusted", F.lit(False)).unionByName(trusted.withColumn("trusted", F.lit(True))), "quality-sample-ids"
     )

@@ -186,14 +186,14 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
 
 
 def _with_component(docs: DataFrame, id: str, text: str, *more: Column) -> DataFrame:
-    """``id, fp, component_id`` of each row, and ``more`` of its columns."""
+    """``id, fp, root_fp, component_id`` of each row, and ``more`` of its columns."""
     marked = with_fingerprint(docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), *more), "text", "fp")
     marked = cut(marked.drop("text"), "fingerprints")
     prints = cut(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     roots = cut(connected_components(fingerprint_links(prints.select("fp"))), "fingerprint-roots")
     least = roots.join(prints, roots["node"] == prints["fp"]).groupBy("root").agg(F.min("least").alias("component"))
-    moved = roots.join(least, "root").select(F.col("node").alias("fp"), "component")
-    component = prints.join(moved, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    moved = roots.join(least, "root").select(F.col("node").alias("fp"), "root", "component")
+    component = prints.join(moved, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root_fp"), F.coalesce("component", "least").alias("component_id"))
     return marked.join(component, "fp")
 
 
@@ -213,17 +213,20 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without near-duplicates: of each component the row with the smallest id
-    stays, the one that sorts first by its text's hash if several have that id. Where one
-    id stands for several components, only the first of these rows by that hash stays. All
-    columns stay. Rows whose id is null cannot be told apart by it and all stay.
+    """``docs`` without near-duplicates: of each component one row stays, that with the
+    smallest id, and of several rows under that id the one whose text's hash sorts first.
+
+    All columns stay. Of equal rows one stays. An id may stand for several unlike texts, and
+    each is kept or dropped by its own component. Rows whose id is null cannot be told
+    apart by it and all stay.
     """
-    place, hashed = free_name(docs, "row_of_id"), free_name(docs, "hash_of_text")
+    place, hashed = free_name(docs, "row_of_text"), free_name(docs, "hash_of_text")
     text_hash = F.xxhash64(F.col(f"`{text}`"))
-    rows = _with_component(docs, id, text, text_hash.alias("text_hash")).where(F.col("id") == F.col("component_id"))
-    first = rows.groupBy("id").agg(F.min("text_hash").alias(hashed))
+    rows = _with_component(docs, id, text, text_hash.alias("text_hash")).where("id IS NOT NULL")
+    # a component is named by a fingerprint: two may have the same least id
+    first = rows.groupBy("root_fp").agg(F.min(F.struct("id", "text_hash")).alias("first")).select(F.col("first.id").alias(id), F.col("first.text_hash").alias(hashed))
     named = docs.where(F.col(f"`{id}`").isNotNull()).withColumn(hashed, text_hash)
-    named = named.join(first.withColumnRenamed("id", id), [id, hashed], "left_semi")
-    order = W.partitionBy(f"`{id}`").orderBy(hashed)
+    named = named.join(first, [id, hashed], "left_semi")
+    order = W.partitionBy(f"`{id}`", hashed).orderBy(hashed)
     named = named.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
     return named.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where(F.col(f"`{id}`").isNull()))

@@ -1,13 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Words become symbols: insult (with a learned weight), threat, target, negation, report,
-or other. Four small transducers read them: one weighs insults and threats, one adds
-for a target close by, one damps what a negation governs, one damps what is reported
-speech. They are composed into one machine, which reads every clause that holds an
-insult or threat; isolated words of the other classes score nothing.
-
-The insult words and their weights, and the curve from clause scores to a probability,
-are learned from at most ``TRAIN_ROWS`` labelled rows.
+Words become symbols: insult and threat (both with a learned weight), target, negation,
+report, or other. Small transducers read them: one weighs insults, one adds for a target
+just before an insult, one holds a threat open until the target that it is made to, one
+damps what a negation governs, one damps what is reported speech. They are composed into
+one machine, which reads every clause that holds an insult or a threat.
+
+Insults are words that toxic rows hold more often than others do. Threats are words of
+which that is true only where a target follows them in the clause. No word is either by
+a list: one that no label supports weighs nothing. The words, their weights and the curve
+from clause scores to a probability are learned from at most ``TRAIN_ROWS`` labelled rows.
 """
 
 from __future__ import annotations
@@ -25,22 +27,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strideframe.llm.common import ALNUM, cut, without
+from strideframe.llm.common import ALNUM, bounded_sample, cut, without
 
 #: Labelled rows that the lexicon and the curve are fitted on, by the hash of their id.
 TRAIN_ROWS = 20_000
 #: Learned words that are kept, by weight.
 LEXICON_WORDS = 2_000
-#: Toxic rows that a word must be in, and the least log-odds (its lower bound) of an insult.
-MIN_TOXIC_ROWS = 5
+#: Least log-odds of a learned word, at its lower bound. The bound is as many standard errors
+#: below the log-odds as the largest of so many words' errors would be by chance, times this.
 MIN_LOG_ODDS = 2.0
+BOUND = 0.31
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 
 # Closed-class words of the grammar in English, German, French and Spanish.
 CLASSES = {
-    THREAT: "kill hurt destroy beat burn shoot stab crush töten umbringen schlagen tuer frapper brûler matar golpear quemar",
-    TARGET: "you your yourself u he she they them those these people du dich dir ihr euch sie tu toi vous te tí usted ustedes",
+    TARGET: "you your yourself u he she him her they them du dich dir ihr euch sie tu toi vous te tí usted ustedes",
     NEGATION: "not no never nobody none isn't aren't don't nicht kein keine nie pas jamais aucun nunca ningún jamás",
     REPORT: "said says called quoted wrote reported claimed sagte sagten schrieb dit disait écrit dijo decía escribió",
 }
@@ -73,39 +75,41 @@ def compose(machines: list[Transducer]) -> dict:
     return out
 
 
-def _fading(opens: int, reach: int, factor: float, bonus: float) -> Transducer:
-    """After ``opens``, insults and threats within ``reach`` words get factor and bonus."""
+def _fading(opens: int, reach: int, factor: float, bonus: float, on: tuple[int, ...] = (INSULT, THREAT)) -> Transducer:
+    """After ``opens``, the symbols of ``on`` within ``reach`` words get factor and bonus."""
     arcs: dict = {}
     for s in range(reach + 1):
         left = max(s - 1, 0)
         for symbol in range(6):
-            acts = s > 0 and symbol in (INSULT, THREAT)
+            acts = s > 0 and symbol in on
             arcs[s, symbol] = (reach if symbol == opens else left, factor if acts else 1.0, bonus if acts else 0.0)
     return Transducer(reach + 1, arcs)
 
 
-def _near(reach: int, bonus: float) -> Transducer:
-    """Insults and threats get the bonus within ``reach`` words after a target. A threat
-    that has none stays open for as many words, and the target that closes it gets it."""
+def _waiting(reach: int) -> Transducer:
+    """A threat stays open for ``reach`` words; the first target among them closes it with a
+    bonus, which stands for the threat's own weight."""
     arcs: dict = {}
-    for target, threat in itertools.product(range(reach + 1), repeat=2):
+    for s in range(reach + 1):
         for symbol in range(6):
-            acts = symbol in (INSULT, THREAT) and target > 0 or symbol == TARGET and threat > 0
-            near = reach if symbol == TARGET else max(target - 1, 0)
-            if symbol == THREAT:
-                opened = 0 if acts else reach
-            else:
-                opened = 0 if symbol == TARGET else max(threat - 1, 0)
-            arcs[target * (reach + 1) + threat, symbol] = (near * (reach + 1) + opened, 1.0, bonus if acts else 0.0)
-    return Transducer((reach + 1) ** 2, arcs)
+            left = reach if symbol == THREAT else 0 if symbol == TARGET else max(s - 1, 0)
+            arcs[s, symbol] = (left, 1.0, 1.0 if symbol == TARGET and s > 0 else 0.0)
+    return Transducer(reach + 1, arcs)
 
 
 #: Insults count once each; a second one in a clause counts half more.
 INSULTS = Transducer(2, {(0, INSULT): (1, 1.0, 0.0), (1, INSULT): (1, 1.5, 0.0)})
-GRAMMAR = compose([INSULTS, _near(4, 0.5), _fading(NEGATION, 3, 0.3, 0.0), Transducer(2, {(0, REPORT): (1, 1.0, 0.0), (1, INSULT): (1, 0.5, 0.0), (1, THREAT): (1, 0.5, 0.0)})])
-START = (0, 0, 0, 0)
-#: A threat scores only where a target is near, through the bonus and this weight.
-THREAT_WEIGHT = 0.25
+REACH, NEGATED, TARGETED, REPORTED = 4, 3, 0.5, 0.5
+GRAMMAR = compose(
+    [
+        INSULTS,
+        _fading(TARGET, REACH, 1.0, TARGETED, (INSULT,)),
+        _waiting(REACH),
+        _fading(NEGATION, NEGATED, 0.3, 0.0),
+        Transducer(2, {(0, REPORT): (1, 1.0, 0.0), (1, INSULT): (1, REPORTED, 0.0), (1, THREAT): (1, REPORTED, 0.0)}),
+    ]
+)
+START = (0, 0, 0, 0, 0)
 
 
 def _rejoined(words: list[str]) -> list[str]:
@@ -119,43 +123,55 @@ def _rejoined(words: list[str]) -> list[str]:
     return out
 
 
-def clause_score(words: list[str], lexicon: dict[str, float]) -> float:
+def clause_score(words: list[str], lexicon: dict[str, float], threats: dict[str, float] | None = None) -> float:
     """Total output of the composed machine over one clause.
 
-    An open threat's weight, damped where it stands, waits for its target. A clause of
-    nothing but a threat and its target ("kill you") scores nothing.
+    A threat's weight, damped where it stands, is paid by the target that follows it.
     """
-    state, total, waiting = START, 0.0, 0.0
-    words = _rejoined(words)
-    for w in words:
-        weight = lexicon.get(w)
-        symbol = _CLASS.get(w, OTHER) if weight is None else INSULT
+    state, total, open_threat = START, 0.0, 0.0
+    for w in _rejoined(words):
+        weight, threat = lexicon.get(w), (threats or {}).get(w)
+        symbol = INSULT if weight is not None else THREAT if threat is not None else _CLASS.get(w, OTHER)
         state, factor, bonus = GRAMMAR[state, symbol]
         if symbol == INSULT:
             total += weight * factor + bonus
-        elif symbol == THREAT and bonus:
-            total += THREAT_WEIGHT * factor + bonus
         elif symbol == THREAT:
-            waiting = THREAT_WEIGHT * factor
-        elif bonus and len(words) > 2:
-            total += waiting + bonus
+            open_threat = threat * factor
+        else:
+            total += open_threat * bonus
     return total
 
 
+def addressed(words: list[str]) -> set[str]:
+    """Words of a clause that a target follows within ``REACH`` words, with no other target
+    between: what may be a threat."""
+    words, out, open_words = _rejoined(words), set(), []
+    for w in words:
+        kind = _CLASS.get(w, OTHER)
+        if kind == TARGET:
+            out.update(open_words)
+            open_words = []
+        else:
+            open_words = [*open_words, w][-REACH:] if kind == OTHER else [*open_words, ""][-REACH:]
+    return out - {""}
+
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(ALNUM).split()
 
 
-def features(text: str | None, lexicon: dict[str, float], keys: frozenset[bytes]) -> tuple[float, float, float]:
+def clauses(text: str | None) -> Iterator[list[bytes]]:
+    for clause in _CLAUSE.split((text or "").encode()):
+        if own := clause.translate(ALNUM).split():
+            yield own
+
+
+def features(text: str | None, lexicon: dict[str, float], threats: dict[str, float], keys: frozenset[bytes]) -> tuple[float, float, float]:
     """Sum and maximum of the clause scores, and their sum for a hundred words."""
     words = words_of(text)
     if keys.isdisjoint(words):
         return 0.0, 0.0, 0.0
-    scores = []
-    for clause in _CLAUSE.split((text or "").encode()):
-        own = clause.translate(ALNUM).split()
-        if not keys.isdisjoint(own):
-            scores.append(clause_score([w.decode() for w in own], lexicon))
+    scores = [clause_score([w.decode() for w in own], lexicon, threats) for own in clauses(text) if not keys.isdisjoint(own)]
     total = sum(scores)
     return total, max(scores, default=0.0), 100.0 * total / len(words)
 
@@ -163,11 +179,12 @@ def features(text: str | None, lexicon: dict[str, float], keys: frozenset[bytes]
 @dataclass(frozen=True)
 class ToxicityModel:
     lexicon: dict[str, float]
+    threats: dict[str, float]
     weights: tuple[float, ...]
     bias: float
 
     def keys(self) -> frozenset[bytes]:
-        return frozenset(w.encode() for w in (*self.lexicon, *(w for w, c in _CLASS.items() if c == THREAT)))
+        return frozenset(w.encode() for w in (*self.lexicon, *self.threats))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -185,6 +202,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.nda
     return w[:-1], float(w[-1])
 
 
+def _rising(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], float]:
+    """The same with no weight below zero: a text never scores less for a larger feature."""
+    used = list(range(x.shape[1]))
+    while True:
+        own, bias = _logistic(x[:, used], y)
+        if not len(used) or own.min() >= 0:
+            break
+        del used[int(own.argmin())]
+    weights = dict(zip(used, own.tolist(), strict=True))
+    return tuple(weights.get(i, 0.0) for i in range(x.shape[1])), bias
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, held_out_of: tuple[int, bool], id: str = "doc_id", text: str = "text", rows: int = TRAIN_ROWS) -> DataFrame:
     """``label, text`` of at most ``rows`` labelled documents outside the held-out fold.
 
@@ -193,8 +222,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, held_out_of: t
     """
     named = labels.select(F.col(id).cast("long").alias("i"), F.col(label).cast("int").alias("y")).where("i IS NOT NULL AND y IS NOT NULL")
     named = named.where(~held_out_of(F.col("i")))
-    chosen = named.groupBy("i").agg(F.max("y").alias("y")).orderBy(F.xxhash64("i"), "i").limit(rows)
-    chosen = cut(chosen, "training-ids")
+    chosen = cut(bounded_sample(cut(named.groupBy("i").agg(F.max("y").alias("y")), "labelled-ids"), "i", rows), "training-ids")
     texts = docs.select(F.col(f"`{id}`").cast("long").alias("i"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     return texts.join(F.broadcast(chosen), "i").select("y", "text")
 
@@ -208,43 +236,55 @@ HELD_OUT = fold(5, 0)
 
 
 def fit(train: DataFrame) -> ToxicityModel:
-    """Learn the lexicon from word counts, then the curve from clause scores."""
+    """Learn the lexicons from word counts, then the curve from clause scores."""
     train = cut(train, "toxicity-training")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bad, good, totals = Counter(), Counter(), [0, 0]
         for batch in batches:
             for y, t in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                (bad if y else good).update(set(words_of(t)))
+                own = bad if y else good
+                own.update({(w.decode(), False) for w in set(words_of(t))})
+                own.update({(w, True) for w in set().union(*(addressed([w.decode() for w in c]) for c in clauses(t)))})
                 totals[1 if y else 0] += 1
         words = list(bad.keys() | good.keys())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([None, *(w.decode() for w in words)], pa.string()), pa.array([totals[1], *(bad[w] for w in words)], pa.int64()), pa.array([totals[0], *(good[w] for w in words)], pa.int64())],
-            names=["word", "bad", "good"],
+            [
+                pa.array([None, *(w for w, _ in words)], pa.string()),
+                pa.array([False, *(a for _, a in words)], pa.bool_()),
+                pa.array([totals[1], *(bad[w] for w in words)], pa.int64()),
+                pa.array([totals[0], *(good[w] for w in words)], pa.int64()),
+            ],
+            names=["word", "addressed", "bad", "good"],
         )
 
-    counts = cut(train.mapInArrow(count, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "toxic-words")
+    counted = train.mapInArrow(count, "word string, addressed boolean, bad long, good long").groupBy("word", "addressed")
+    counts = cut(counted.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "toxic-words")
     total = counts.where("word IS NULL").first()
     if not total or not total["bad"] or not total["good"]:
         share = float(bool(total and total["bad"]))
-        return ToxicityModel({}, (0.0, 0.0, 0.0), 30.0 if share else -30.0)
+        return ToxicityModel({}, {}, (0.0, 0.0, 0.0), 30.0 if share else -30.0)
+    seen = counts.where("word IS NOT NULL AND bad > 0")
+    width = BOUND * math.sqrt(2 * math.log(max(seen.count(), 2)))
     b, g = F.col("bad") + 0.5, F.col("good") + 0.5
-    odds = F.log(b / (total["bad"] + 1)) - F.log(g / (total["good"] + 1)) - F.sqrt(1 / b + 1 / g)
-    top = counts.where(F.col("word").isNotNull() & (F.col("bad") >= MIN_TOXIC_ROWS)).withColumn("w", odds).where(F.col("w") >= MIN_LOG_ODDS)
-    lexicon = {r["word"]: float(r["w"]) for r in top.orderBy(F.desc("w"), "word").limit(LEXICON_WORDS).collect()}
-    model = ToxicityModel(lexicon, (0.0, 0.0, 0.0), 0.0)
+    odds = F.log(b / (total["bad"] + 1)) - F.log(g / (total["good"] + 1)) - width * F.sqrt(1 / b + 1 / g)
+    top = seen.withColumn("w", odds).where(F.col("w") >= MIN_LOG_ODDS)
+    found = top.orderBy(F.desc("w"), "word", "addressed").limit(2 * LEXICON_WORDS).collect()
+    lexicon = {r["word"]: float(r["w"]) for r in found if not r["addressed"]}
+    threats = {r["word"]: float(r["w"]) for r in found if r["addressed"] and r["word"] not in lexicon}
+    model = ToxicityModel(lexicon, threats, (0.0, 0.0, 0.0), 0.0)
     rows = _featured(train, model).select("y", "total", "most", "rate").toPandas()  # at most TRAIN_ROWS
     x = np.log1p(rows[["total", "most", "rate"]].to_numpy())
-    weights, bias = _logistic(x, rows["y"].to_numpy() > 0)
-    return ToxicityModel(lexicon, tuple(float(w) for w in weights), bias)
+    weights, bias = _rising(x, rows["y"].to_numpy() > 0)
+    return ToxicityModel(lexicon, threats, weights, bias)
 
 
 def _featured(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    lexicon, keys = model.lexicon, model.keys()
+    lexicon, threats, keys = model.lexicon, model.threats, model.keys()
 
     @F.pandas_udf("struct<total: double, most: double, rate: double>")
     def read(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([features(t, lexicon, keys) for t in texts], columns=["total", "most", "rate"], dtype=float)
+        return pd.DataFrame([features(t, lexicon, threats, keys) for t in texts], columns=["total", "most", "rate"], dtype=float)
 
     return docs.withColumn("_f", read("text")).select("*", "_f.*")
 
@@ -254,11 +294,12 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", sco
 
     Null and empty texts, and texts without a matched clause, get the curve's value at 0.
     """
-    lexicon, keys, weights, bias = model.lexicon, model.keys(), np.array(model.weights), model.bias
+    lexicon, threats, keys = model.lexicon, model.threats, model.keys()
+    weights, bias = np.array(model.weights), model.bias
 
     @F.pandas_udf("double")
     def probability(texts: pd.Series) -> pd.Series:
-        x = np.log1p(np.array([features(t, lexicon, keys) for t in texts]).reshape(-1, 3))
+        x = np.log1p(np.array([features(t, lexicon, threats, keys) for t in texts]).reshape(-1, 3))
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ weights + bias, -30, 30))))
 
     value = probability(F.col(f"`{text}`"))
@@ -266,7 +307,8 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", sco
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score under ``threshold``, unchanged."""
+    """The rows of ``docs`` that score under ``threshold``, unchanged. Null and empty texts stay
+    where the curve's value at 0 is under it; repeated rows all stay or all go."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     scored = with_toxicity(docs.select(whole, F.col(f"`{text}`").alias("text")), model, "text", "score")
     return scored.where(F.col("score") < threshold).select("row.*")

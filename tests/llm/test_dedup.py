@@ -3,8 +3,10 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from strideframe.llm import line_dedup, superkmer
 
 BLANKS = " \t\n\x0b\f\r"
@@ -168,3 +170,26 @@ def test_equal_rows_are_one_document(docs):
     want = [(1, 25, 0, own), (3, 75, 50, text), (3, 75, 50, text), (4, 25, 25, "")]
     assert got_windows(docs([*pairs, pairs[1]]).coalesce(1)) == want
     assert got_windows(docs(pairs).coalesce(1).unionByName(docs(pairs[1:2]).coalesce(1))) == want
+
+
+@pytest.mark.parametrize("names", [("_n", "_dropped", "_id"), ("n_lines", "n_dropped", "bitmap_id"), ("bitmap_runs", "N_Lines", "hash")])
+def test_line_dedup_under_clashing_names(spark, names):
+    long = "one long line that many documents share in common"
+    rows = [(i, f"{long}\nown {i}", "a", "b", "c") for i in range(6)] + [(None, None, "a", "b", "c"), (9, "", "a", "b", "c")]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names)}")
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, "")
+    assert stage.columns == docs.columns
+    left = sorted((tuple(r) for r in stage.collect()), key=repr)
+    want = [(i, f"{long}\nown {i}" if i == 5 else f"own {i}", "a", "b", "c") for i in range(6)] + [(None, None, "a", "b", "c"), (9, "", "a", "b", "c")]
+    assert left == sorted(want, key=repr)
+    counted = line_dedup.apply_bitmaps(docs)
+    assert {c.lower() for c in counted.columns} == {"doc_id", "text", "n_lines", "n_dropped", *(n.lower() for n in names)}
+    assert {r.doc_id: r.n_dropped for r in counted.collect()} == {**dict.fromkeys(range(5), 1), 5: 0, None: 0, 9: 0}
+
+
+def test_the_stage_lets_n_chars_follow_and_keeps_its_type(spark):
+    long = "one long line that many documents share in common"
+    docs = spark.createDataFrame([(i, f"{long}\nown {i}", 56) for i in range(6)], "doc_id long, text string, n_chars int")
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, "")
+    assert stage.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+    assert sorted(r.n_chars for r in stage.collect()) == [5] * 5 + [56]

@@ -17,8 +17,8 @@ def area(label, score):
 
 
 LEXICON = {"idiot": 2.0, "scum": 3.0}
-
-
+THREATS = {"kill": 1.5, "burn": 1.0, "beat": 1.0, "shoot": 2.0}
+KEYS = toxicity.ToxicityModel(LEXICON, THREATS, (), 0.0).keys()
 @pytest.mark.parametrize(
     ("clause", "score"),
     [
@@ -29,27 +29,28 @@ LEXICON = {"idiot": 2.0, "scum": 3.0}
         ("idiot scum", 2.0 + 3.0 * 1.5),
         ("nothing here", 0.0),
         ("kill time", 0.0),
-        ("kill you", 0.0),
-        ("you will kill", 0.25 + 0.5),
+        ("kill you", 1.5),
+        ("you will kill", 0.0),
         ("not now but later and then an idiot", 2.0),
     ],
 )
 def test_grammar(clause, score):
-    assert toxicity.clause_score(clause.split(), LEXICON) == pytest.approx(score)
+    assert toxicity.clause_score(clause.split(), LEXICON, THREATS) == pytest.approx(score)
 
 
 @pytest.mark.parametrize(
     ("text", "score"),
     [
-        ("I will kill you", 0.25 + 0.5),
-        ("you I will kill", 0.25 + 0.5),
-        ("we burn them all", 0.25 + 0.5),
-        ("you will kill them", 0.25 + 0.5),
-        ("I will kill and burn all of you", 0.25 + 0.5),
-        ("I will kill time before we see you", 0.0),
-        ("I will never kill you", 0.25 * 0.3 + 0.5),
-        ("he said I kill you", (0.25 * 0.5) + 0.5),
-        ("I won't kill you", 0.25 * 0.3 + 0.5),
+        ("I will kill you", 1.5),
+        ("burn them", 1.0),
+        ("you I will kill", 0.0),
+        ("we burn them all", 1.0),
+        ("you will kill them", 1.5),
+        ("I will kill and burn all of you", 1.0),
+        ("I will kill time before the show and see you", 0.0),
+        ("I will never kill you", 1.5 * 0.3),
+        ("he said I kill you", 1.5 * 0.5),
+        ("I won't kill you", 1.5 * 0.3),
         ("you aren't an idiot", 2.0 * 0.3 + 0.5),
         ("You AREN’T an idiot", 2.0 * 0.3 + 0.5),
         ("this isn't the idiot", 2.0 * 0.3),
@@ -57,16 +58,80 @@ def test_grammar(clause, score):
         ("model t idiot", 2.0),
     ],
 )
-def test_threats_in_both_orders_and_contracted_negation(text, score):
-    keys = toxicity.ToxicityModel(LEXICON, (), 0.0).keys()
-    assert toxicity.features(text, LEXICON, keys)[0] == pytest.approx(score)
+def test_threats_before_their_target_and_contracted_negation(text, score):
+    assert toxicity.features(text, LEXICON, THREATS, KEYS)[0] == pytest.approx(score)
+
+
+def slow_score(words):
+    """What the grammar says, word by word, by looking back each time."""
+    classes = {"you": "target", "them": "target", "not": "negation", "said": "report"}
+    kinds = ["insult" if w in LEXICON else "threat" if w in THREATS else classes.get(w, "other") for w in words]
+
+    def damped(i):
+        near = any(k == "negation" for k in kinds[max(i - 3, 0) : i])
+        return (0.3 if near else 1.0) * (0.5 if "report" in kinds[:i] else 1.0)
+
+    total = 0.0
+    for i, (w, k) in enumerate(zip(words, kinds, strict=True)):
+        if k == "insult":
+            again = 1.5 if "insult" in kinds[:i] else 1.0
+            total += LEXICON[w] * again * damped(i) + (0.5 if "target" in kinds[max(i - 4, 0) : i] else 0.0)
+        if k == "target":
+            for j in range(i - 1, max(i - 5, -1), -1):
+                if kinds[j] == "target":
+                    break
+                if kinds[j] == "threat":
+                    total += THREATS[words[j]] * damped(j)
+                    break
+    return total
+
+
+def test_grammar_against_a_slow_scorer():
+    rng = np.random.default_rng(3)
+    words = ["idiot", "scum", "kill", "burn", "you", "them", "not", "said", "the", "a", "of"]
+    for _ in range(3_000):
+        clause = [words[i] for i in rng.integers(0, len(words), rng.integers(1, 12))]
+        assert toxicity.clause_score(clause, LEXICON, THREATS) == pytest.approx(slow_score(clause)), clause
+
+
+HARMLESS = [
+    "The striker beat the keeper. They beat the record. You beat eggs.",
+    "You can beat the deadline if you plan.",
+    "We shoot photographs of people at the zoo.",
+    "Kill the process and start the server again.",
+    "Let us kill time until the train comes.",
+    "Burn the disc at low speed.",
+    "She will shoot the last scene in May.",
+    "They burn wood in winter.",
+    "He beat the eggs and the sugar.",
+    "You should kill the lights before the film.",
+]
+
+
+def test_threats_are_learned_where_labels_support_them(spark):
+    rng = np.random.default_rng(9)
+    filler = ["the", "garden", "house", "tree", "river", "stone", "light", "cloud", "road", "bread"]
+
+    def plain():
+        return " ".join(rng.choice(filler, 12))
+
+    rows = []
+    for i in range(240):
+        verb = ["kill", "shoot", "burn", "beat"][i % 4]
+        rows.append((1, f"{plain()}. I will {verb} {['you', 'them'][i // 4 % 2]}. {plain()}") if i < 60 else (0, f"{plain()}. {HARMLESS[i % 10]}"))
+    model = toxicity.fit(spark.createDataFrame(rows, "y int, text string"))
+    # "beat the deadline if you" is as good as "beat you"
+    assert {"kill", "shoot", "burn"} <= set(model.threats) and "beat" not in model.threats and not set(model.threats) & set(model.lexicon)
+    texts = spark.createDataFrame(list(enumerate([*HARMLESS, "kill you", "kill time", "I will burn them"])), "i int, text string")
+    score = {r.text: r.toxicity for r in toxicity.with_toxicity(texts, model).collect()}
+    assert max(score[t] for t in HARMLESS) < 0.5 < min(score["kill you"], score["I will burn them"])
+    assert score["kill you"] > score["kill time"]
 
 
 def test_clauses_are_read_apart():
-    keys = toxicity.ToxicityModel(LEXICON, (), 0.0).keys()
-    total, most, rate = toxicity.features("You idiot. Not you; SCUM!", LEXICON, keys)
+    total, most, rate = toxicity.features("You idiot. Not you; SCUM!", LEXICON, {}, KEYS)
     assert (total, most) == (pytest.approx(2.5 + 3.0), 3.0) and rate == pytest.approx(110.0)
-    assert toxicity.features(None, LEXICON, keys) == toxicity.features("fine", LEXICON, keys) == (0.0, 0.0, 0.0)
+    assert toxicity.features(None, LEXICON, {}, KEYS) == toxicity.features("fine", LEXICON, {}, KEYS) == (0.0, 0.0, 0.0)
 
 
 def test_composition_is_the_product_of_its_machines():
@@ -113,7 +178,7 @@ def test_shapes():
 
 
 def test_scoring_odd_rows(odd, spark):
-    toxic = toxicity.ToxicityModel(LEXICON, (1.0, 1.0, 0.0), -3.0)
+    toxic = toxicity.ToxicityModel(LEXICON, {}, (1.0, 1.0, 0.0), -3.0)
     scored = toxicity.with_toxicity(odd, toxic, score="key")
     assert scored.count() == odd.count() and scored.columns.count("key") == 1 and scored.where("key is null").count() == 0
     assert toxicity.drop_toxic(odd, toxic).columns == odd.columns

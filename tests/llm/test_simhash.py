@@ -138,8 +138,9 @@ def test_keep_one_keeps_columns_and_the_smallest_id(odd):
     left = simhash.keep_one(odd)
     assert left.columns == odd.columns
     ids = sorted((r.doc_id for r in left.collect()), key=repr)
-    # 0 stands for all texts without words, 4 for its copy; rows without an id all stay
-    assert [i for i in ids if i is not None] == [0, 3, 4, 6, 7, 8]
+    # 0 stands for all texts without words, 4 for its copy; the unlike text under id 4 is no
+    # copy of anything; rows without an id all stay
+    assert [i for i in ids if i is not None] == [0, 3, 4, 4, 6, 7, 8]
     assert ids.count(None) == 2
 
 
@@ -150,6 +151,13 @@ def test_keep_one_keeps_the_row_of_an_id_that_is_no_copy(docs):
     assert sorted((r.doc_id, r.text) for r in left.collect()) == [(3, copied), *pairs]
 
 
+def test_keep_one_of_equal_rows_and_under_clashing_names(spark, docs):
+    own = " ".join(f"w{i}" for i in range(40))
+    rows = docs([(1, own), (1, own), (2, own)]).withColumnRenamed("key", "hash_of_text").withColumnRenamed("fp", "row_of_text")
+    left = simhash.keep_one(rows)
+    assert left.columns == rows.columns and [r.doc_id for r in left.collect()] == [1]
+
+
 def test_empty_table(docs):
     assert simhash.near_duplicates(docs([])).collect() == []
     assert simhash.keep_one(docs([])).collect() == []
