@@ -18,30 +18,35 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under 0.5; the model is learned outside the held-out fold."""
+    """Documents that score under 0.5; the model is learned outside the held-out fold.
+
+    Null and empty texts score as texts without a toxic clause; equal rows stay or go together;
+    without labels, or with labels of one kind, all or none stay."""
     train = toxicity.training_rows(docs, table(spark, sf_dir, "labels"), "toxic", toxicity.HELD_OUT)
     return toxicity.drop_toxic(docs, toxicity.fit(train))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the long lines that many share; ``n_chars`` follows the text."""
-    left = line_dedup.apply_bitmaps(docs)
-    length = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", length).select(*docs.columns)
+    """All documents, without the long lines that many share; ``n_chars`` follows the text
+    where there is such a column. Null and empty texts, null ids and equal rows stay."""
+    return line_dedup.without_repeated_lines(docs)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near-duplicates."""
+    """The smallest id of each group of near-duplicates; of equal rows one. Texts without words are
+    one group; rows without an id all stay."""
     return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words benchmark windows cover less than a twentieth."""
+    """Documents of whose words benchmark windows cover less than a twentieth. Null and empty texts
+    stay, equal rows stay or go together, and an empty benchmark drops nothing."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 4,096 tokens."""
+    """The pieces of all documents in sequences of at most 4,096 tokens; null and empty texts have
+    the end id only, and each row is a document."""
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
