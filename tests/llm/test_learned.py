@@ -110,7 +110,7 @@ HARMLESS = [
 
 def test_threats_are_learned_where_labels_support_them(spark):
     rng = np.random.default_rng(9)
-    filler = ["the", "garden", "house", "tree", "river", "stone", "light", "cloud", "road", "bread"]
+    filler = ["i", "will", "the", "garden", "house", "tree", "river", "stone", "light", "cloud", "road", "bread"]
 
     def plain():
         return " ".join(rng.choice(filler, 12))
