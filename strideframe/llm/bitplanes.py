@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strideframe.llm.common import cut, slices
-from strideframe.llm.tokens import BySpace, encoder
+from strideframe.llm.tokens import ENCODED_BYTES, BySpace, encoder
 
 BLOCK_IDS = 65_536
 #: A shard ends with the document that brings it to so many ids.
@@ -111,7 +111,7 @@ def write_tokens(
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(id_type), longs, pa.int32(), longs, longs, pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=_COLUMNS)
 
-        for batch in slices(batches):
+        for batch in slices(batches, limit=ENCODED_BYTES):
             id_type = batch.column("id").type
             flat, counts = encode(batch.column("text"))
             ends = np.cumsum(counts)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.llm.common import slices
-from strideframe.llm.tokens import ByWord, encoder
+from strideframe.llm.tokens import ENCODED_BYTES, ByWord, encoder
 
 WINDOW = 4096
 END_ID = 2
@@ -141,7 +141,7 @@ def pack(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text"
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=_NAMES)
 
         ids_type = None
-        for batch in slices(batches):
+        for batch in slices(batches, limit=ENCODED_BYTES):
             ids_type = batch.column("id").type
             flat, counts = encode(batch.column("text"))
             ends = np.cumsum(counts)

@@ -10,18 +10,17 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import CharDelimiterSplit
 
+#: Text bytes that are encoded at a time: the more, the fewer chunks are looked up twice.
+ENCODED_BYTES = 16 * 1024 * 1024
 #: Distinct chunks whose ids a worker keeps from batch to batch.
 KEPT_CHUNKS = 400_000
-#: Pieces that go to the library in one call.
-PIECES_AT_ONCE = 2_000
 _loaded: dict[str, object] = {}
 
 
@@ -46,22 +45,27 @@ _BLANK = _byte_signs()[32]
 _SIGNS = str.maketrans(dict(enumerate(_byte_signs())))
 _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+#: No plain chunk holds it.
+_APART = "\x01"
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of all runs that begin at ``starts``, one run after the other."""
     upto = np.cumsum(sizes)
-    return np.repeat(starts - (upto - sizes), sizes) + np.arange(int(upto[-1]) if len(upto) else 0)
+    at = np.repeat((starts - (upto - sizes)).astype(np.int32), sizes)
+    at += np.arange(len(at), dtype=np.int32)
+    return at
 
 
 class ByWord:
     """Words between white space, lower-cased; every digit is a piece."""
 
     #: Chunks of ASCII and Latin-1 letters; what Unicode rules do to them is plain.
-    plain = re.compile(rf"[\x21-\x7e{_LETTER}]+").fullmatch
+    plain = rf"^[\x21-\x7e{_LETTER}]+$"
     #: Chunks that are one piece.
-    word = re.compile(rf"[{_LETTER}]+").fullmatch
-    pieces = re.compile(rf"{_CONTRACTIONS}|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+").findall
+    word = rf"^[{_LETTER}]+$"
+    #: Pieces of plain chunks that ``_APART`` stands between.
+    pieces = re.compile(rf"{_CONTRACTIONS}|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9{_APART}]+|{_APART}").findall
 
     @staticmethod
     def normal(chunk: str) -> str:
@@ -79,9 +83,9 @@ class BySpace:
     """A blank and the word after it; case is kept."""
 
     #: A line end between two of them is a piece of its own.
-    plain = re.compile(rf" ?[\x21-\x7e{_LETTER}]+(?:\n[\x21-\x7e{_LETTER}]+)*").fullmatch
-    word = re.compile(rf" ?[{_LETTER}]+").fullmatch
-    pieces = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTER}]+| ?[0-9]+| ?[^ \n{_LETTER}0-9]+|\n").findall
+    plain = rf"^ ?[\x21-\x7e{_LETTER}]+(?:\n[\x21-\x7e{_LETTER}]+)*$"
+    word = rf"^ ?[{_LETTER}]+$"
+    pieces = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTER}]+| ?[0-9]+| ?[^ \n{_LETTER}0-9{_APART}]+|\n|{_APART}").findall
 
     @staticmethod
     def normal(chunk: str) -> str:
@@ -106,75 +110,99 @@ class ChunkEncoder:
 
     def __init__(self, path: str, rule: type = ByWord):
         self.tokenizer, self.rule = load(path), rule
-        self.splitter = Tokenizer(self.tokenizer.model)
-        self.splitter.pre_tokenizer = CharDelimiterSplit(" ")
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, int] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.known.clear()
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
+        self.starts = np.zeros(0, np.int32)
+        self.sizes = np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
 
+    def _forget(self) -> None:
+        """Keep at most half of the chunks, those in most use."""
+        least, keep = 2, self.uses >= 2
+        while keep.sum() > KEPT_CHUNKS // 2:
+            least *= 2
+            keep = self.uses >= least
+        at = np.flatnonzero(keep)
+        starts, sizes, pool, uses = self.starts[at], self.sizes[at], self.pool, self.uses[at]
+        place = np.cumsum(keep) - 1
+        known = {c: int(place[i]) for c, i in self.known.items() if keep[i]}
+        self._reset()
+        self.known.update(known)
+        self.starts, self.sizes, self.uses = (np.cumsum(sizes) - sizes).astype(np.int32), sizes, uses // 2
+        self.pool = pool[_runs(starts, sizes)]
+
+    def _add(self, new: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Note the ids of new chunks."""
+        base = len(self.sizes)
+        self.starts = np.concatenate([self.starts, (len(self.pool) + np.cumsum(sizes) - sizes).astype(np.int32)])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.int32)])
+        self.pool = np.concatenate([self.pool, ids])
+        self.known.update(zip(new, range(base, base + len(new)), strict=True))
+
     def _piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces, one after the other, and how many each has."""
-        flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for at in range(0, len(pieces), PIECES_AT_ONCE):
-            some = pieces[at : at + PIECES_AT_ONCE]
-            # no sign of a byte is a blank
-            signs = " ".join([p.replace(" ", _BLANK) if p.isascii() and p != "\n" else p.encode().decode("latin-1").translate(_SIGNS) for p in some])
-            out = self.splitter.encode(signs, add_special_tokens=False)
-            flat.append(np.array(out.ids, dtype=np.uint32))
-            sizes.append(np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(some)))
-        return np.concatenate(flat), np.concatenate(sizes)
+        signs = [p.replace(" ", _BLANK) if p.isascii() and p != "\n" else p.encode().decode("latin-1").translate(_SIGNS) for p in pieces]
+        tokens = [self.model.tokenize(p) for p in signs]
+        sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        return np.fromiter((t.id for own in tokens for t in own), dtype=np.uint32, count=int(sizes.sum())), sizes
 
     def _learn(self, new: list[str]) -> None:
-        rule, special = self.rule, any(s in chunk for s in self.special for chunk in new)
-        places: dict[str, int] = {}
-        others: list[list[int]] = []
-        own: list[int] = []
-        counts: list[int] = []
-        for chunk in new:
-            if rule.word(chunk):
-                own.append(places.setdefault(rule.normal(chunk), len(places)))
-                counts.append(1)
-            elif rule.plain(chunk) and not (special and any(s in chunk for s in self.special)):
-                pieces = rule.pieces(rule.normal(chunk))
-                own += [places.setdefault(p, len(places)) for p in pieces]
-                counts.append(len(pieces))
-            else:
-                # numbered from -1 down: they stand behind the pieces
-                others.append(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-                own.append(-len(others))
-                counts.append(1)
-        flat, sizes = self._piece_ids(list(places))
-        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(others), dtype=np.uint32)])
-        sizes = np.concatenate([sizes, np.fromiter(map(len, others), dtype=np.int64, count=len(others))])
-        at = np.array(own, dtype=np.int64)
-        at = np.where(at < 0, len(places) - 1 - at, at)
-        upto = np.cumsum(sizes[at])
-        flat = flat[_runs((np.cumsum(sizes) - sizes)[at], sizes[at])]
-        ends = np.concatenate([[0], upto])[np.cumsum(np.array(counts, dtype=np.int64))]
-        begins = np.concatenate([[0], ends])[:-1]
-        self.starts = np.concatenate([self.starts, len(self.pool) + begins])
-        self.sizes = np.concatenate([self.sizes, ends - begins])
-        self.pool = np.concatenate([self.pool, flat])
-        base = len(self.sizes) - len(new)
-        self.known.update(zip(new, range(base, base + len(new)), strict=True))
+        """Note the ids of new chunks. A piece is a chunk of its own, and is noted as one, so
+        that no other chunk that holds it sends it to the library again."""
+        rule, known = self.rule, self.known
+        column = pa.array(new, pa.string())
+        word, plain = (pc.match_substring_regex(column, x).to_numpy(zero_copy_only=False) for x in (rule.word, rule.plain))
+        for mark in self.special:
+            plain &= ~pc.match_substring(column, mark).to_numpy(zero_copy_only=False)
+        words = list(compress(new, word))
+        mixed = list(compress(new, plain & ~word))
+        others = list(compress(new, ~(plain | word)))
+
+        lowered = [rule.normal(w) for w in words]
+        flat = rule.pieces(_APART.join(map(rule.normal, mixed)))
+        fresh = [p for p in dict.fromkeys(chain(lowered, flat)) if p not in known and p != _APART]
+        self._add(fresh, *self._piece_ids(fresh))
+        whole = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in others]
+        self._add(others, np.fromiter(chain.from_iterable(whole), dtype=np.uint32), np.fromiter(map(len, whole), dtype=np.int64, count=len(whole)))
+
+        # words that are not their own piece, then the chunks of several pieces
+        turned = [(w, p) for w, p in zip(words, lowered, strict=True) if w != p]
+        self._compose([w for w, _ in turned], [p for _, p in turned], np.ones(len(turned), np.int64))
+        if mixed:
+            ends = np.flatnonzero(np.fromiter(map(_APART.__eq__, flat), dtype=bool, count=len(flat)))
+            counts = np.diff(np.concatenate([[-1], ends, [len(flat)]])) - 1
+            self._compose(mixed, [p for p in flat if p != _APART], counts)
+
+    def _compose(self, chunks: list[str], pieces: list[str], counts: np.ndarray) -> None:
+        """Note the chunks that are made of so many pieces each, but for those that are known
+        by now, as they are pieces themselves."""
+        at = np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        keep = np.fromiter((c not in self.known for c in chunks), dtype=bool, count=len(chunks))
+        at, counts = at[np.repeat(keep, counts)], counts[keep]
+        sizes = self.sizes[at]
+        upto = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+        self._add(list(compress(chunks, keep)), self.pool[_runs(self.starts[at], sizes)], np.diff(upto, prepend=0))
 
     def _places(self, chunks: list[str]) -> np.ndarray:
         """Where the ids of each chunk are noted."""
-        new = list(dict.fromkeys(c for c in chunks if c not in self.known))
+        new = [c for c in chunks if c not in self.known]
         if new:
-            self._learn(new)
-        return np.fromiter((self.known[c] for c in chunks), dtype=np.int64, count=len(chunks))
+            self._learn(list(dict.fromkeys(new)))
+        return np.fromiter(map(self.known.__getitem__, chunks), dtype=np.int32, count=len(chunks))
 
     def encode(self, texts: pa.Array | list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (null as empty), one after the other, and how many each has."""
-        if len(self.known) > KEPT_CHUNKS or len(self.pool) > 50 * KEPT_CHUNKS:
+        if len(self.pool) > 50 * KEPT_CHUNKS:
             self._reset()
+        elif len(self.known) > KEPT_CHUNKS:
+            self._forget()
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         texts = pc.fill_null(texts, "")
         alone = np.zeros(len(texts), dtype=bool)
@@ -187,7 +215,7 @@ class ChunkEncoder:
         blank = self.rule.blank
         vocabulary = coded.dictionary.to_pylist()
         places = self._places([blank + w for w in vocabulary])
-        chunk = places[coded.indices.to_numpy(zero_copy_only=False)] if len(places) else np.zeros(0, np.int64)
+        chunk = places[coded.indices.to_numpy(zero_copy_only=False)] if len(places) else np.zeros(0, np.int32)
         if blank:
             firsts = (ends - counts)[counts > 0]
             chunk[firsts] = self._places([w.as_py() for w in coded.take(pa.array(firsts))])
@@ -196,6 +224,7 @@ class ChunkEncoder:
             text = texts[i].as_py()
             chunk[ends[i] - 1] = self._places([text])[0]
             del self.known[text]
+        self.uses += np.bincount(chunk, minlength=len(self.uses)).astype(np.int32)
         sizes = self.sizes[chunk]
         upto = np.cumsum(sizes)
         flat = self.pool[_runs(self.starts[chunk], sizes)]
