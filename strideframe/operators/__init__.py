@@ -1,4 +1,4 @@
-from strideframe.operators.cleaning import align_time, clean_readings, rejected_readings
+from strideframe.operators.cleaning import align_time, clean_readings, rejected_readings, split_malformed
 from strideframe.operators.features import engineer_features
 from strideframe.operators.fusion import first_per_key, fuse_sensors, rename_axes
 from strideframe.operators.learning import (
@@ -44,9 +44,11 @@ from strideframe.operators.summaries import (
 )
 from strideframe.operators.windows import (
     assign_windows,
+    channel_windows,
     collect_windows,
     stack_channels,
     summarize_windows,
+    tag_streams,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strideframe.functions import parse_reading, snap_to_grid
+from strideframe.schemas import READING_SCHEMA
+from strideframe.sources.readings import CORRUPT_LINE, LINE
 
 
 def clean_readings(
@@ -30,6 +35,47 @@ def rejected_readings(
     return df.where(_is_bad(parsed, col, label)).withColumn("reason", reason)
 
 
+def split_malformed(
+    marked: DataFrame,
+    schema: T.StructType = READING_SCHEMA,
+    terminated: str = "z",
+    required: Sequence[str] = ("subject_id", "activity_label", "timestamp"),
+    terminator: str = ";",
+) -> tuple[DataFrame, DataFrame]:
+    """Clean rows and rejects of ``read_marked``; together they are all lines read.
+
+    A line is a reject if a cell with text does not parse, a required cell is missing, or
+    there are more cells than columns. Each reject has the line's text, the columns that
+    broke, in order, and their reasons: ``line, broken, reasons``. Cells that a short line
+    lacks, and empty cells that are not required, are null readings and no rejects.
+    """
+    names = schema.names
+    # the text of the cells, looked at for lines that the reader marked
+    texts = F.from_csv(CORRUPT_LINE, ", ".join(f"_{i} string" for i in range(len(names) + 1)))
+    cell = {n: F.when(F.col(CORRUPT_LINE).isNotNull(), F.trim(texts[f"_{i}"])) for i, n in enumerate(names)}
+    parsed = parse_reading(terminated, terminator)
+    marks = []
+    for n in names:
+        value = parsed if n == terminated else F.col(n)
+        written = F.col(n) if n == terminated else cell[n]
+        wrong = F.when(F.coalesce(F.length(written), F.lit(0)) > 0, value.isNull())
+        reason = F.when(wrong, "not a number")
+        if n in required:
+            absent = F.col(n).isNull() | (F.trim(F.col(n).cast("string")) == "")
+            reason = F.when(wrong, "not a number").when(absent, "missing")
+        marks.append(F.struct(F.lit(n).alias("column"), reason.alias("reason")))
+    extra = F.when(texts[f"_{len(names)}"].isNotNull(), "too many cells")
+    marks.append(F.struct(F.lit("line").alias("column"), extra.alias("reason")))
+    found = marked.withColumn("_marks", F.filter(F.array(*marks), lambda m: m["reason"].isNotNull()))
+    rejects = found.where(F.size("_marks") > 0).select(
+        LINE,
+        F.array_join(F.col("_marks.column"), ",").alias("broken"),
+        F.array_join(F.col("_marks.reason"), ",").alias("reasons"),
+    )
+    clean = found.where(F.size("_marks") == 0).withColumn(terminated, parsed).select(*names)
+    return clean, rejects
+
+
 def _is_bad(parsed: Column, col: str, label: str) -> Column:
     return (F.col(col).isNotNull() & parsed.isNull()) | F.col(label).isNull()
 

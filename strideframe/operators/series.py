@@ -71,15 +71,16 @@ def hot_groups(
 ) -> HotGroups | None:
     """Count rows per group and keep the groups above ``max_rows``, if there are any.
 
-    The count reads the key columns only and combines before it shuffles; it is always
-    taken. Give it a scan or a written table, as what is behind ``df`` runs once more
-    for it. There are at most rows / max_rows hot groups.
+    The count is one job over the key columns, combined before it shuffles, and it is always
+    taken; only where a group is hot is it taken again, to be written. Give it a scan or a
+    written table, and give its result to all operators over the same keys. There are at
+    most rows / max_rows hot groups.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows)
+    if counts.isEmpty():
+        return None
     table = materialize(counts.withColumn("_series", F.monotonically_increasing_id()), "hot-groups")
     total = table.agg(F.count(F.lit(1)).alias("groups"), F.sum("_rows").alias("rows")).first()
-    if not total["groups"]:
-        return None
     return HotGroups(tuple(keys), table, total["groups"], total["rows"], part_rows)
 
 

@@ -13,12 +13,14 @@ from strideframe.operators.series import HotGroups, number_rows
 from strideframe.schemas import ACTIVITIES, META_COLUMNS, feature_columns
 from strideframe.sources.storage import materialize
 
-#: Groups up to this size are looked at whole by the exact box summary.
-WHOLE_GROUP_ROWS = 100_000
 #: Sketch accuracy of ``percentile_approx``: ranks are off by at most n / SKETCH.
 SKETCH = 10_000
-#: Half width of the rank bracket around a quartile, ten times the sketch's error.
+#: Half width of the narrowest rank bracket around a quartile, ten times the sketch's error,
+#: and how much wider each next one is; the last one is the whole group.
 BRACKET = 10 / SKETCH
+WIDENING = 4
+#: Ranks that a bracket should reach to either side of its quartile.
+REACH_RANKS = 4
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -126,6 +128,8 @@ def box_summary(
     by: str = "activity_label",
     method: str = "exact",
     hot: HotGroups | None | str = "auto",
+    bracket: float = BRACKET,
+    reach: int = REACH_RANKS,
 ) -> DataFrame:
     """What a box plot shows, per group and column.
 
@@ -136,12 +140,15 @@ def box_summary(
 
     ``method="exact"`` narrows each quartile to a bracket of ranks with a sketch,
     and counts exactly inside the brackets, so rows are never sorted or shuffled
-    as a whole. ``"approx"`` takes the sketch's quartiles as they are.
+    as a whole. A bracket that turns out not to hold its quartile is widened and counted
+    again, until all are found. ``"approx"`` takes the sketch's quartiles as they are.
+    ``df`` runs once: the values are written, and read for each pass.
     """
     rows = df.where(F.col(by).isNotNull()).select(
         F.col(by).alias("_by"),
         *[nan_to_null(F.col(c).cast("double")).alias(f"_v{i}") for i, c in enumerate(cols)],
     )
+    rows = materialize(rows, "box-values")
     if method == "approx":
         wide = rows.groupBy("_by").agg(
             *[
@@ -150,7 +157,7 @@ def box_summary(
             ],
         )
     elif method == "exact":
-        wide = _exact_quartiles(rows, len(cols), hot)
+        wide = _exact_quartiles(rows, len(cols), hot, bracket, reach)
     else:
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
 
@@ -190,25 +197,63 @@ def box_summary(
     return boxes.select(F.col("_by").alias(by), F.inline(F.array(*structs))).where(F.col("count") > 0)
 
 
-def _exact_quartiles(rows: DataFrame, n_cols: int, hot: HotGroups | None | str) -> DataFrame:
+def _exact_quartiles(rows: DataFrame, n_cols: int, hot: HotGroups | None | str, bracket: float, reach: int) -> DataFrame:
     """Exact quartiles as arrays ``_q0, _q1, ...`` per ``_by``."""
-    # A sketch may come out differently when it is computed again, so the brackets
-    # are written down before anything is counted against them.
-    cuts = sorted({min(max(q + d, 0.0), 1.0) for q in QUARTILES for d in (-BRACKET, BRACKET)})
+    widths = [bracket]
+    while widths[-1] < 1:
+        widths.append(min(widths[-1] * WIDENING, 1.0))
+    ranks = sorted({min(max(q + d, 0.0), 1.0) for q in QUARTILES for w in widths for d in (-w, w)})
+    place = {r: k for k, r in enumerate(ranks)}
+    # A sketch may come out differently when it is computed again, so it is written down
+    # before anything is counted against it.
     sketched = rows.groupBy("_by").agg(
         *[F.count(f"_v{i}").alias(f"_n{i}") for i in range(n_cols)],
-        *[F.percentile_approx(f"_v{i}", cuts, SKETCH).alias(f"_c{i}") for i in range(n_cols)],
+        *[F.percentile_approx(f"_v{i}", ranks, SKETCH).alias(f"_c{i}") for i in range(n_cols)],
         *[F.min(f"_v{i}").alias(f"_l{i}") for i in range(n_cols)],
         *[F.max(f"_v{i}").alias(f"_h{i}") for i in range(n_cols)],
     )
-    brackets = materialize(
-        sketched.select("_by", *[_brackets(i) for i in range(n_cols)]), "box-brackets"
+    per_column = [F.struct(F.lit(i).alias("_col"), *[F.col(f"_{x}{i}").alias(f"_{x}") for x in "nclh"]) for i in range(n_cols)]
+    ladder = materialize(sketched.select("_by", F.inline(F.array(*per_column))).where("_n > 0"), "box-ladder")
+
+    def at_level(level: Column) -> Column:
+        """The three brackets of a level; the last level's reach from end to end."""
+        levels = []
+        for w in widths[:-1]:
+            cuts = [(F.col("_c")[place[max(q - w, 0.0)]], F.col("_c")[place[min(q + w, 1.0)]]) for q in QUARTILES]
+            levels.append(F.array(*[F.struct(lo.alias("lo"), hi.alias("hi")) for lo, hi in cuts]))
+        levels.append(F.array(*[F.struct(F.col("_l").alias("lo"), F.col("_h").alias("hi"))] * len(QUARTILES)))
+        return F.array(*levels)[level]
+
+    # the narrowest bracket that reaches some ranks to either side
+    first = F.lit(len(widths) - 1)
+    for k in range(len(widths) - 2, -1, -1):
+        first = F.when(F.col("_n") * widths[k] >= reach, k).otherwise(first)
+    tried = ladder.withColumn("_level", first)
+    found = []
+    for _ in widths:
+        brackets = materialize(tried.select("_by", "_col", "_n", "_level", at_level(F.col("_level")).alias("_b")), "box-brackets")
+        placed = _ranked_cells(rows, brackets, n_cols, hot)
+        answers = materialize(brackets.drop("_b").join(placed, ["_by", "_col"]), "box-quartiles")
+        missed = F.exists("_q", lambda q: q.isNull())
+        found.append(answers.where(~missed).select("_by", "_col", "_q"))
+        again = answers.where(missed).select("_by", "_col", (F.col("_level") + 1).alias("_level"))
+        if again.isEmpty():
+            break
+        tried = ladder.join(again, ["_by", "_col"])
+    quartiles = found[0]
+    for f in found[1:]:
+        quartiles = quartiles.unionByName(f)
+    return quartiles.groupBy("_by").agg(
+        *[F.max(F.when(F.col("_col") == i, F.col("_q"))).alias(f"_q{i}") for i in range(n_cols)]
     )
 
+
+def _ranked_cells(rows: DataFrame, brackets: DataFrame, n_cols: int, hot: HotGroups | None | str) -> DataFrame:
+    """``_by, _col, _q``: the quartiles as counted against ``brackets``, null where one is missed."""
     # Values inside a bracket keep themselves as cell; all values between two
     # brackets fall into one null cell that sorts before the next bracket.
-    joined = rows.join(brackets, "_by")
-    cells = joined.select(
+    wide = brackets.groupBy("_by").agg(*[F.max(F.when(F.col("_col") == i, F.col("_b"))).alias(f"_b{i}") for i in range(n_cols)])
+    cells = rows.join(wide, "_by").select(
         "_by",
         F.inline(
             F.array(
@@ -226,8 +271,7 @@ def _exact_quartiles(rows: DataFrame, n_cols: int, hot: HotGroups | None | str)
     running = number_rows(
         histogram, ["_by", "_col"], ["_zone", "_cell"], position="_before", weight="_rows", hot=hot
     )
-    totals = histogram.groupBy("_by", "_col").agg(F.sum("_rows").alias("_n"))
-    placed = running.join(totals, ["_by", "_col"])
+    placed = running.join(brackets.select("_by", "_col", "_n"), ["_by", "_col"])
 
     def rank(q: float) -> Column:
         return (F.col("_n") - 1) * F.lit(q)
@@ -245,23 +289,9 @@ def _exact_quartiles(rows: DataFrame, n_cols: int, hot: HotGroups | None | str)
 
     def quartile(j: int, q: float) -> Column:
         lo, hi = F.col(f"_at{j}_lo"), F.col(f"_at{j}_hi")
-        value = lo + (hi - lo) * (rank(q) - F.floor(rank(q)))
-        missed = lo.isNull() | hi.isNull()
-        return F.when(missed, F.raise_error(F.lit("a quartile lies outside its bracket"))).otherwise(value)
-
-    quartiles = found.select(
-        "_by", "_col", F.array(*[quartile(j, q) for j, q in enumerate(QUARTILES)]).alias("_q")
-    )
-    return quartiles.groupBy("_by").agg(
-        *[F.max(F.when(F.col("_col") == i, F.col("_q"))).alias(f"_q{i}") for i in range(n_cols)]
-    )
-
+        return lo + (hi - lo) * (rank(q) - F.floor(rank(q)))
 
-def _brackets(i: int) -> Column:
-    cuts = F.col(f"_c{i}")
-    narrow = F.array(*[F.struct(cuts[2 * j].alias("lo"), cuts[2 * j + 1].alias("hi")) for j in range(len(QUARTILES))])
-    whole = F.array(F.struct(F.col(f"_l{i}").alias("lo"), F.col(f"_h{i}").alias("hi")))
-    return F.when(F.col(f"_n{i}") <= WHOLE_GROUP_ROWS, whole).otherwise(narrow).alias(f"_b{i}")
+    return found.select("_by", "_col", F.array(*[quartile(j, q) for j, q in enumerate(QUARTILES)]).alias("_q"))
 
 
 def _zone_and_cell(v: Column, brackets: Column) -> list[Column]:
@@ -271,5 +301,5 @@ def _zone_and_cell(v: Column, brackets: Column) -> list[Column]:
         b = F.get(brackets, F.lit(j))
         hit = F.coalesce(v.between(b.getField("lo"), b.getField("hi")), F.lit(False))
         inside = hit if inside is None else inside | hit
-    zone = F.when(v.isNotNull(), passed[0] + passed[1] + passed[2])
+    zone = F.when(v.isNotNull() & brackets.isNotNull(), passed[0] + passed[1] + passed[2])
     return [zone.alias("_zone"), F.when(inside, v).alias("_cell")]

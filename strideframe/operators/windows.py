@@ -1,17 +1,21 @@
 """Sliding windows by row count over each series.
 
 Window ``i`` of a series covers its rows ``i*step .. i*step+size-1``; only full
-windows exist. When ``step`` divides ``size`` the rows can first be reduced to panes of
-``step`` rows, and each window is put together from ``size/step`` panes, so no
-row is copied. Otherwise each row is copied into the windows it belongs to. A
-window never has more than ``size`` rows, so no group is hot after numbering.
+windows exist. Statistics are put together from panes of gcd(size, step) rows, each with
+its mean and squared deviations. Panes lie in blocks as long as a window. Running moments
+from a block's first pane on, and from its last pane back, are kept for every pane; a
+window is what is left of the block it begins in and the beginning of the next one, two
+moments to merge. So no row or pane is copied, whatever size and step are.
+A window never has more than ``size`` rows, so no group is hot after numbering.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strideframe.functions import decode, nan_to_null
@@ -20,9 +24,6 @@ from strideframe.schemas import CLASS_INDEX, SERIES_KEYS, WINDOW_KEYS
 
 WINDOW_SIZE = 200
 WINDOW_STEP = 100
-#: Up to this many windows per row, copying the row into its windows is at least
-#: as fast as reducing panes first: both combine before they shuffle.
-PANES_FROM = 4
 
 
 def _check(size: int, step: int) -> None:
@@ -73,23 +74,19 @@ def summarize_windows(
     order_by: Sequence[str] = ("timestamp",),
     size: int = WINDOW_SIZE,
     step: int = WINDOW_STEP,
-    method: str = "auto",
+    method: str = "pane",
     out_type: str = "float",
     hot: HotGroups | None | str = "auto",
 ) -> DataFrame:
     """Mean and population standard deviation of ``cols`` in every full window.
 
     Values are taken as 32-bit floats and accumulated as doubles. A null or NaN
-    reading makes both statistics of its column and window null.
+    reading makes both statistics of its column and window null. ``method="explode"``
+    copies each row into its windows instead of merging panes, with the same result.
     """
     _check(size, step)
-    per_window = size / step
-    if method == "auto":
-        method = "pane" if size % step == 0 and per_window > PANES_FROM else "explode"
     if method not in ("pane", "explode"):
-        raise ValueError(f"method must be 'auto', 'pane' or 'explode', not {method!r}")
-    if method == "pane" and size % step:
-        raise ValueError("panes need a step that divides the size")
+        raise ValueError(f"method must be 'pane' or 'explode', not {method!r}")
     needed = list(dict.fromkeys([*keys, *order_by, *cols]))
     numbered = number_rows(df.select(*needed), keys, order_by, nulls_last=True, hot=hot)
 
@@ -97,32 +94,15 @@ def summarize_windows(
     # expressions from single function calls would take longer than small runs.
     values = [f"nvl(cast(cast(`{c}` AS float) AS double), double('NaN')) AS `{c}`" for c in cols]
     group = [f"`{k}`" for k in keys]
-    rows = F.count(F.lit(1)).alias("_rows")
-
-    def agg(template: str, name: str):
-        return [F.expr(f"{template.format(f'`{c}`', mean=f'`{c}_mean`', var=f'`{c}_var`')} AS `{c}_{name}`") for c in cols]
-
     if method == "pane":
-        panes = (
-            numbered.selectExpr(*group, f"pos div {step} AS _pane", *values)
-            .groupBy(*keys, "_pane")
-            .agg(rows, *agg("avg({})", "mean"), *agg("var_pop({})", "var"))
-            .where(F.col("_rows") == step)
-        )
-        # All panes are of one size, so the variance of a window is the mean of
-        # its panes' variances plus the variance of its panes' means.
-        stats = (
-            panes.withColumn("window_index", _explode_panes(size // step))
-            .groupBy(*keys, "window_index")
-            .agg(rows, *agg("avg({mean})", "mean"), *agg("sqrt(avg({var}) + var_pop({mean}))", "std"))
-            .where(F.col("_rows") == size // step)
-        )
+        stats = _merged_panes(numbered, cols, keys, values, size, step)
     else:
+        moments = [F.expr(f"{f}(`{c}`) AS `{c}_{s}`") for c in cols for f, s in (("avg", "mean"), ("stddev_pop", "std"))]
         stats = (
             numbered.withColumn("window_index", _explode_windows(size, step))
             .selectExpr(*group, "window_index", *values)
             .groupBy(*keys, "window_index")
-            .agg(rows, *agg("avg({})", "mean"), *agg("stddev_pop({})", "std"))
+            .agg(F.count(F.lit(1)).alias("_rows"), *moments)
             .where(F.col("_rows") == size)
         )
 
@@ -134,6 +114,58 @@ def summarize_windows(
     return stats.selectExpr(*group, "cast(window_index AS int) AS window_index", *out)
 
 
+def _merged_panes(numbered: DataFrame, cols: Sequence[str], keys: Sequence[str], values: list[str], size: int, step: int) -> DataFrame:
+    """``keys, window_index, <c>_mean, <c>_std`` of all full windows, from merged panes."""
+    pane = math.gcd(size, step)
+    k, hop = size // pane, step // pane
+    group = [f"`{c}`" for c in keys]
+
+    def each(template: str) -> list[str]:
+        return [template.format(v=f"`{c}`", m=f"`{c}_m`", q=f"`{c}_q`", c=c) for c in cols]
+
+    panes = numbered.selectExpr(*group, f"pos div {pane} AS _pane", *values)
+    panes = panes.groupBy(*keys, "_pane").agg(
+        F.count(F.lit(1)).alias("_rows"), *map(F.expr, each("avg({v}) AS {m}")), *map(F.expr, each(f"var_pop({{v}}) * {pane} AS {{q}}"))
+    )
+    full = panes.where(F.col("_rows") == pane).selectExpr(*group, "_pane", f"_pane div {k} AS _block", *each("{m}"), *each("{q}"))
+
+    # all panes have one size, so the moments of a run of them are plain means and variances
+    block = W.partitionBy(*keys, "_block")
+    ahead = block.orderBy("_pane").rowsBetween(W.unboundedPreceding, W.currentRow)
+    back = block.orderBy(F.desc("_pane")).rowsBetween(W.unboundedPreceding, W.currentRow)
+
+    def run(w, side: str) -> list:
+        out = [F.count(F.lit(1)).over(w).alias(f"_{side}")]
+        for c in cols:
+            m, q = F.col(f"`{c}_m`"), F.col(f"`{c}_q`")
+            out += [F.avg(m).over(w).alias(f"{c}_{side}m"), (F.sum(q).over(w) + F.var_pop(m).over(w) * F.count(F.lit(1)).over(w) * pane).alias(f"{c}_{side}q")]
+        return out
+
+    both = full.select(*keys, "_pane", *run(ahead, "a"), *run(back, "b"))
+    # a pane ends at most one window and begins at most one
+    ends = F.when((F.col("_pane") >= k - 1) & ((F.col("_pane") - (k - 1)) % hop == 0), ((F.col("_pane") - (k - 1)) / hop).cast("long"))
+    begins = F.when((F.col("_pane") % hop == 0) & (F.col("_pane") % k != 0), (F.col("_pane") / hop).cast("long"))
+
+    def part(side: str, is_end: bool, index):
+        sides = [F.struct(F.col(f"`{c}_{side}m`").alias("m"), F.col(f"`{c}_{side}q`").alias("q")).alias(f"s{i}") for i, c in enumerate(cols)]
+        return F.struct(index.alias("window_index"), F.lit(is_end).alias("is_end"), F.col(f"_{side}").alias("n"), *sides)
+
+    parts = both.select(*keys, F.explode(F.array(part("a", True, ends), part("b", False, begins))).alias("_part")).select(*keys, "_part.*").where("window_index IS NOT NULL")
+    grouped = parts.groupBy(*keys, "window_index").agg(
+        F.sum("n").alias("_n"),
+        F.max("is_end").alias("_ended"),
+        *[F.sum(F.col(f"s{i}.m") * F.col("n")).alias(f"_t{i}") for i in range(len(cols))],
+        *[F.sum(f"s{i}.q").alias(f"_q{i}") for i in range(len(cols))],
+        # the two parts' means lie apart by their difference
+        *[F.when(F.count(F.lit(1)) == 2, (F.max(f"s{i}.m") - F.min(f"s{i}.m")) * F.sqrt(F.min("n").cast("double")) * F.sqrt(F.max("n").cast("double"))).otherwise(F.lit(0.0)).alias(f"_d{i}") for i in range(len(cols))],
+    )
+    out = []
+    for i, c in enumerate(cols):
+        out.append(f"_t{i} / _n AS `{c}_mean`")
+        out.append(f"sqrt((_q{i} + _d{i} * _d{i} / _n * {pane}) / (_n * {pane})) AS `{c}_std`")
+    return grouped.where(F.col("_ended") & (F.col("_n") == k)).selectExpr(*group, "window_index", *out)
+
+
 def collect_windows(
     df: DataFrame,
     cols: Sequence[str] = ("x", "y", "z"),
@@ -186,6 +218,47 @@ def collect_windows(
     return windows.select(*keys, F.col("window_index").cast("int").alias("window_index"), features)
 
 
+def channel_windows(
+    df: DataFrame,
+    stream: str,
+    channels: Sequence[tuple[object, str]],
+    keys: Sequence[str] = SERIES_KEYS,
+    order_by: Sequence[str] = ("timestamp",),
+    size: int = WINDOW_SIZE,
+    step: int = WINDOW_STEP,
+    label: str | None = "activity_label",
+    class_index: dict | None = None,
+    hot: HotGroups | None | str = "auto",
+) -> DataFrame:
+    """Raw windows of several streams side by side, from one table tagged by ``stream``.
+
+    ``channels`` names a stream and an axis for each channel. A window counts where all of
+    their streams have it. Every stream is numbered once, with all its axes; its windows
+    then meet in one grouping of at most one row per stream, so the whole takes two
+    shuffles and no join. ``label`` is the fixed class index of that column.
+    """
+    names = list(dict.fromkeys(s for s, _ in channels))
+    axes = list(dict.fromkeys(a for _, a in channels))
+    rows = df.where(F.col(stream).isin(names)).select(*dict.fromkeys([*keys, stream, *order_by, *axes]))
+    windows = collect_windows(rows, axes, [*keys, stream], order_by, size, step, features="_rows", hot=hot)
+    met = windows.groupBy(*keys, "window_index").agg(F.map_from_entries(F.collect_list(F.struct(stream, "_rows"))).alias("_streams"))
+    met = met.where(F.size("_streams") == len(names))
+    arrays = [_axis(F.col("_streams")[F.lit(s)], axes.index(a)) for s, a in channels]
+    out = [*keys, "window_index", F.array(*arrays).alias("channels")]
+    if label is not None:
+        out.append(decode(label, class_index or CLASS_INDEX).alias("label"))
+    return met.select(*out)
+
+
+def tag_streams(streams: dict, axes: Sequence[str] = ("x", "y", "z"), keys: Sequence[str] = SERIES_KEYS, order_by: Sequence[str] = ("timestamp",), stream: str = "stream") -> DataFrame:
+    """One table of the readings of several streams, tagged by their names."""
+    tagged = [df.select(*dict.fromkeys([*keys, *order_by, *axes]), F.lit(name).alias(stream)) for name, df in streams.items()]
+    whole = tagged[0]
+    for t in tagged[1:]:
+        whole = whole.unionByName(t)
+    return whole
+
+
 def _axis(rows, a: int):
     return F.transform(rows, lambda row: row[a])
 

@@ -1,5 +1,6 @@
 from strideframe.sources.readings import (
     ANONYMOUS_S3A,
+    read_marked,
     read_readings,
     read_stream,
     read_streams,
@@ -19,6 +20,7 @@ __all__ = [
     "ANONYMOUS_S3A",
     "materialize",
     "preview",
+    "read_marked",
     "read_or_compute",
     "read_readings",
     "read_stream",

@@ -13,6 +13,9 @@ ANONYMOUS_S3A = {
     "spark.hadoop.fs.s3a.aws.credentials.provider": "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider",
 }
 
+#: Columns of a line's text, and of the text of lines that do not fit their schema.
+LINE, CORRUPT_LINE = "line", "corrupt_line"
+
 #: Layout of a raw folder: <root>/<device>/<sensor>/data_<subject>_<sensor>_<device>.txt
 _FILE_PATTERN = r"/([^/]+)/([^/]+)/data_(\d+)_[^/]*\.txt$"
 
@@ -36,6 +39,23 @@ def read_readings(
     return _reader(spark, schema, ignore_missing).csv(path)
 
 
+def read_marked(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = READING_SCHEMA,
+    ignore_missing: bool = False,
+) -> DataFrame:
+    """Readings with the text of every line in ``LINE``, and again in ``CORRUPT_LINE`` if it does
+    not fit the schema: a typed cell does not parse, or the number of cells is another.
+
+    Cells that do parse keep their values. Lines of blanks only are not read.
+    """
+    marked = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, T.StructField(CORRUPT_LINE, T.StringType())])
+    lines = spark.read.option("ignoreMissingFiles", ignore_missing).text(path).where("trim(value) != ''")
+    cells = F.from_csv("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_LINE})
+    return lines.select(F.col("value").alias(LINE), cells.alias("cells")).select(LINE, "cells.*")
+
+
 def read_streams(spark: SparkSession, root: str, ignore_missing: bool = False) -> DataFrame:
     """All devices and sensors below ``root`` in one scan.
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strideframe import sources
-from strideframe.operators import clean_readings, rejected_readings
+from strideframe.operators import clean_readings, rejected_readings, split_malformed
 
 LINES = [
     "1600,A,1000000040,0.50,1.25,-2.00;",
@@ -90,3 +90,28 @@ def test_intermediate_tables_lie_in_the_shared_folder(spark):
 
 def test_preview(spark):
     assert sources.preview(spark.range(10), 3).count() == 3
+
+
+def test_every_broken_line_is_one_reject(spark, tmp_path):
+    lines = {
+        "1600,A,10,0.5,1.5,2.0;": None,
+        "S1,A,10,0.5,1.5,2.0;": ("subject_id", "not a number"),
+        ",A,10,0.5,1.5,2.0;": ("subject_id", "missing"),
+        "1600,,10,0.5,1.5,2.0;": ("activity_label", "missing"),
+        "1600,A,1o,0.5,1.5,2.0;": ("timestamp", "not a number"),
+        "1600,A,10,half,1.5,2.0;": ("x", "not a number"),
+        "1600,A,10,0.5,1,5,2.0;": ("line", "too many cells"),
+        "1600,A,10,0.5,-,2.0;": ("y", "not a number"),
+        "1600,A,10,0.5,1.5,two;": ("z", "not a number"),
+        "x,,t,?,?,?;": ("subject_id,activity_label,timestamp,x,y,z", "not a number,missing" + ",not a number" * 4),
+        "1600,A,10": None,
+        "1600,A,10,,,": None,
+        "1600,A,10,0.5, 1.5 ,2.0": None,
+    }
+    (tmp_path / "a.txt").write_text("\n".join(lines) + "\n\n   \n")
+    clean, rejects = split_malformed(sources.read_marked(spark, str(tmp_path)))
+    got = {r.line: (r.broken, r.reasons) for r in rejects.collect()}
+    assert got == {k: v for k, v in lines.items() if v}
+    assert clean.columns == ["subject_id", "activity_label", "timestamp", "x", "y", "z"]
+    assert sorted(((r.x, r.y, r.z) for r in clean.collect()), key=repr) == [(0.5, 1.5, 2.0), (0.5, 1.5, 2.0), (None, None, None), (None, None, None)]
+    assert [clean.select("subject_id").count() + rejects.select("broken").count(), clean.schema["z"].dataType.simpleString()] == [len(lines), "float"]

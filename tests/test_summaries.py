@@ -42,28 +42,40 @@ def brute_box(values):
     )
 
 
-@pytest.mark.parametrize("whole", [100_000, 40])
-def test_box_summary_is_exact(spark, df, pdf, monkeypatch, whole):
-    """With a small limit even these groups are narrowed to brackets."""
-    monkeypatch.setattr(summaries, "WHOLE_GROUP_ROWS", whole)
-    monkeypatch.setattr(summaries, "BRACKET", summaries.BRACKET if whole > 1000 else 0.03)
-    got = ops.box_summary(df, ["x", "y", "z"]).collect()
-    assert len(got) == 9
-    for r in got:
-        want = brute_box(pdf.loc[pdf.activity_label == r.activity_label, r.column].to_numpy())
-        have = (r["count"], r.q1, r.median, r.q3, r.whisker_low, r.whisker_high, r.outliers)
-        assert np.allclose(have, want, rtol=1e-12, atol=1e-12), (r, want)
+BRACKETS = [(summaries.BRACKET, summaries.REACH_RANKS), (0.02, 4), (1e-5, 0), (1.0, 0)]
+
+
+@pytest.mark.parametrize("bracket, reach", BRACKETS)
+def test_box_summary_is_exact(spark, df, pdf, bracket, reach):
+    """Whatever the first brackets are: too narrow ones are widened until they hold."""
+    got = {(r.activity_label, r.column): tuple(r)[2:] for r in ops.box_summary(df, ["x", "y", "z"], bracket=bracket, reach=reach).collect()}
+    for label, g in pdf.dropna(subset=["activity_label"]).groupby("activity_label"):
+        for c in "xyz":
+            want = brute_box(g[c].to_numpy())
+            assert got[label, c][0] == want[0] and got[label, c][-1] == want[-1]
+            assert np.allclose(got[label, c][1:-1], want[1:-1], rtol=1e-12), (label, c)
+
+
+def test_a_missed_bracket_is_counted_again(spark, df, pdf, monkeypatch):
+    rounds, real = [], summaries._ranked_cells
+    monkeypatch.setattr(summaries, "_ranked_cells", lambda *a: rounds.append(1) or real(*a))
+    r = ops.box_summary(df, ["z"], bracket=1e-5, reach=0).where("activity_label = 'A'").first()
+    assert len(rounds) > 1
+    assert np.allclose((r.q1, r.median, r.q3), brute_box(pdf.loc[pdf.activity_label == "A", "z"].to_numpy())[1:4], rtol=1e-12)
+    rounds.clear()
+    ops.box_summary(df, ["z"]).collect()
+    assert len(rounds) == 1
 
 
-def test_box_summary_with_split_cells(spark, df, pdf, monkeypatch):
+def test_box_summary_over_split_groups(spark, df, pdf, monkeypatch):
     calls = []
 
-    def forced(frame, keys, **_):
+    def forced(frame, keys):
         calls.append(keys)
         return ops.hot_groups(frame, keys, max_rows=300, part_rows=100)
 
     monkeypatch.setattr(summaries, "number_rows", lambda f, keys, *a, hot, **k: ops.number_rows(f, keys, *a, hot=forced(f, keys), **k))
-    r = ops.box_summary(df, ["z"]).where("activity_label = 'A'").first()
+    r = ops.box_summary(df, ["z"], bracket=1.0).where("activity_label = 'A'").first()
     want = brute_box(pdf.loc[pdf.activity_label == "A", "z"].to_numpy())
     assert calls and np.allclose((r.q1, r.median, r.q3), want[1:4], rtol=1e-12)
 

@@ -5,11 +5,14 @@ from pyspark.sql import functions as F
 
 from strideframe.operators import (
     assign_windows,
+    channel_windows,
     collect_windows,
     hot_groups,
     stack_channels,
     summarize_windows,
+    tag_streams,
 )
+from strideframe.sources import materialize
 from tests.conftest import rows
 
 SIZES = {0: 0, 1: 0, 199: 0, 200: 1, 299: 1, 300: 2, 450: 3}
@@ -52,7 +55,7 @@ def expected(pdf, cols, size, step):
 
 @pytest.mark.parametrize(
     "size, step, method",
-    [(200, 100, "auto"), (50, 25, "pane"), (50, 20, "auto"), (20, 30, "auto"), (7, 7, "pane"), (1, 1, "auto"), (50, 5, "auto"), (50, 5, "explode")],
+    [(200, 100, "pane"), (50, 25, "pane"), (50, 20, "pane"), (20, 30, "pane"), (7, 7, "pane"), (1, 1, "pane"), (50, 5, "pane"), (200, 7, "pane"), (30, 50, "pane"), (50, 5, "explode"), (50, 20, "explode")],
 )
 def test_summaries_match_brute_force(spark, readings, size, step, method):
     got = summarize_windows(readings, ["x", "y"], size=size, step=step, method=method).toPandas()
@@ -87,15 +90,22 @@ def test_a_missing_reading_voids_its_windows(spark, readings, method, hole):
     assert got[1].x_mean is not None
 
 
-def test_pane_needs_a_dividing_step(spark, readings):
-    with pytest.raises(ValueError):
-        summarize_windows(readings, ["x"], size=50, step=20, method="pane")
+def test_wrong_arguments(spark, readings):
     with pytest.raises(ValueError):
         summarize_windows(readings, ["x"], size=0)
     with pytest.raises(ValueError):
         summarize_windows(readings, ["x"], method="other")
 
 
+@pytest.mark.parametrize("size, step", [(200, 7), (50, 20)])
+def test_panes_copy_no_row(spark, readings, size, step):
+    """Nothing multiplies rows but the two ends of each window, after panes are made."""
+    table = materialize(readings, "readings")
+    plan = summarize_windows(table, ["x"], size=size, step=step, hot=None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "sequence(" not in plan
+    assert plan.count("Exchange") == 1
+
+
 @pytest.mark.parametrize("size, step", [(200, 100), (50, 20), (20, 30), (60, 10)])
 def test_split_series_give_the_same_windows(spark, readings, size, step):
     hot = hot_groups(readings, ["subject_id", "activity_label"], max_rows=250, part_rows=60)
@@ -164,6 +174,18 @@ def test_channels(spark, readings):
     assert r.label == 0
 
 
+def test_tagged_streams_give_the_same_channels(spark, readings):
+    other = readings.where("subject_id <> 300").withColumn("x", F.col("x") * 2)
+    frames = [collect_windows(d, size=50, step=25) for d in (readings, other)]
+    joined = stack_channels(frames)
+    tagged = tag_streams({"wa": readings, "wg": other})
+    one = channel_windows(tagged, "stream", [(s, c) for s in ("wa", "wg") for c in "xyz"], size=50, step=25)
+    assert rows(one.select(*joined.columns)) == rows(joined)
+    written = materialize(tagged, "streams")
+    plan = channel_windows(written, "stream", [("wa", "x"), ("wg", "x")], size=50, step=25, hot=None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 3 and "Join" not in plan
+
+
 def test_channels_keep_common_windows_only(spark, readings):
     first = collect_windows(readings, size=50, step=25)
     second = collect_windows(readings.where("subject_id <> 300"), size=50, step=25)

@@ -61,9 +61,33 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensor_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Clicks as the first sensor, views as the second."""
+    """Clicks and purchases as the first sensor, all other events as the second."""
     events = event_readings(spark, sf_dir)
-    return events.where("activity_label = 'click'"), events.where("activity_label = 'view'")
+    first = F.col("activity_label").isin("click", "purchase")
+    return events.where(first), events.where(~first)
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading lines of whole numbers, some broken by their order's number modulo 13: a cell
+    of each column, two cells, a cell too many, a missing key or cells at the end."""
+    kind = F.col("l_orderkey") % 13
+
+    def cell(value: str, broken: dict):
+        out = F.col(value).cast("string")
+        for k, text in broken.items():
+            out = F.when(kind == k, F.lit(text)).otherwise(out)
+        return out
+
+    cells = [
+        cell("l_suppkey", {0: "S-1", 8: ""}),
+        cell("l_returnflag", {1: ""}),
+        cell("l_orderkey", {2: "12h"}),
+        cell("l_linenumber", {3: "x?", 6: "1.2.3"}),
+        cell("l_partkey", {4: "--"}),
+    ]
+    last = F.when(kind.isin(5, 6), F.lit("err;")).otherwise(F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(";")))
+    line = F.concat_ws(",", *cells, last, F.when(kind == 7, F.lit("7")))
+    return table(spark, sf_dir, "lineitem").select(F.when(kind == 9, F.concat_ws(",", *cells[:4])).otherwise(line).alias("value"))
 
 
 def device_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -145,9 +145,9 @@ def snapped(sql: str, grid: int) -> str:
 SIX_HOURS = 21_600_000_000
 FUSED = f"""{EVENTS},
 wa AS (SELECT subject_id, {snapped('"timestamp"', SIX_HOURS)} AS "timestamp", activity_label,
-              x AS wa_x, y AS wa_y, z AS wa_z FROM ev WHERE activity_label = 'click'),
+              x AS wa_x, y AS wa_y, z AS wa_z FROM ev WHERE activity_label IN ('click', 'purchase')),
 wg AS (SELECT subject_id, {snapped('"timestamp"', SIX_HOURS)} AS "timestamp",
-              x AS wg_x, y AS wg_y, z AS wg_z FROM ev WHERE activity_label = 'view'),
+              x AS wg_x, y AS wg_y, z AS wg_z FROM ev WHERE activity_label NOT IN ('click', 'purchase')),
 fused AS (SELECT subject_id, "timestamp", activity_label, wa_x, wa_y, wa_z, wg_x, wg_y, wg_z
           FROM wa JOIN wg USING (subject_id, "timestamp"))"""
 
@@ -159,23 +159,51 @@ wg1 AS (SELECT * FROM wg QUALIFY row_number() OVER (
 SELECT subject_id, "timestamp", activity_label, wa_x, wa_y, wa_z, wg_x, wg_y, wg_z
 FROM wa1 JOIN wg1 USING (subject_id, "timestamp")"""
 
+def _triple_features(p: str) -> str:
+    """All features of one sensor's axes, over ``l``."""
+    rate = {a: f"CASE WHEN dt IS NULL OR dt = 0 THEN 0.0::DOUBLE ELSE {p}_{a}_d{a} / dt END" for a in "xyz"}
+    out = {f"{p}_{a}_d{a}": f"{p}_{a}_d{a}" for a in "xyz"} | {f"{p}_{a}_a{a}": rate[a] for a in "xyz"}
+    out[f"{p}_x_magnitude"] = f"sqrt({p}_x * {p}_x + {p}_y * {p}_y + {p}_z * {p}_z)"
+    out |= {f"{p}_{a}_{p}_{b}": f"{p}_{a} * {p}_{b}" for a, b in ("xy", "xz", "yz")}
+    out[f"{p}_x_jerk"] = "sqrt(" + " + ".join(f"power({rate[a]}, 2)" for a in "xyz") + ")"
+    return ",\n  ".join(f"round({sql}, 6) + 0.0 AS {name}" for name, sql in out.items())
+
+
+_CHANGES = ",\n    ".join(f"coalesce({p}_{a} - lag({p}_{a}) OVER s, 0.0::DOUBLE) AS {p}_{a}_d{a}" for p in ("wa", "wg") for a in "xyz")
 FUSED_FEATURES = f"""WITH {FUSED},
 l AS (
   SELECT *, row_number() OVER s AS rn,
     ("timestamp" - lag("timestamp") OVER s) / 1e6::DOUBLE AS dt,
-    coalesce(wa_x - lag(wa_x) OVER s, 0.0::DOUBLE) AS wa_x_dx,
-    coalesce(wg_y - lag(wg_y) OVER s, 0.0::DOUBLE) AS wg_y_dy
+    {_CHANGES}
   FROM fused WINDOW s AS (PARTITION BY subject_id, activity_label ORDER BY "timestamp", wa_z, wg_z)
 )
 SELECT subject_id, "timestamp", subject_id || '-' || activity_label || '-' || rn AS seq_id,
-  round(wa_x_dx, 6) + 0.0 AS wa_x_dx,
-  round(sqrt(wa_x * wa_x + wa_y * wa_y + wa_z * wa_z), 6) + 0.0 AS wa_x_magnitude,
-  round(wa_x * wa_y, 6) + 0.0 AS wa_x_wa_y,
-  round(wg_y_dy, 6) + 0.0 AS wg_y_dy,
-  round(CASE WHEN dt IS NULL OR dt = 0 THEN 0.0::DOUBLE ELSE wg_y_dy / dt END, 6) + 0.0 AS wg_y_ay,
-  round(sqrt(wg_x * wg_x + wg_y * wg_y + wg_z * wg_z), 6) + 0.0 AS wg_x_magnitude
+  {_triple_features("wa")},
+  {_triple_features("wg")}
 FROM l"""
 
+BROKEN = """
+told AS (
+  SELECT *, l_orderkey % 13 AS kind FROM lineitem
+),
+cells AS (
+  SELECT kind, CASE kind WHEN 0 THEN 'S-1' WHEN 8 THEN '' ELSE CAST(l_suppkey AS VARCHAR) END AS c0,
+    CASE kind WHEN 1 THEN '' ELSE l_returnflag END AS c1,
+    CASE kind WHEN 2 THEN '12h' ELSE CAST(l_orderkey AS VARCHAR) END AS c2,
+    CASE kind WHEN 3 THEN 'x?' WHEN 6 THEN '1.2.3' ELSE CAST(l_linenumber AS VARCHAR) END AS c3,
+    CASE kind WHEN 4 THEN '--' ELSE CAST(l_partkey AS VARCHAR) END AS c4,
+    CASE WHEN kind IN (5, 6) THEN 'err;' ELSE CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || ';' END AS c5
+  FROM told
+),
+lines AS (
+  SELECT kind, CASE kind WHEN 9 THEN concat_ws(',', c0, c1, c2, c3) WHEN 7 THEN concat_ws(',', c0, c1, c2, c3, c4, c5, '7')
+    ELSE concat_ws(',', c0, c1, c2, c3, c4, c5) END AS line,
+    CASE kind WHEN 0 THEN 'subject_id' WHEN 8 THEN 'subject_id' WHEN 1 THEN 'activity_label' WHEN 2 THEN 'timestamp' WHEN 3 THEN 'x'
+      WHEN 4 THEN 'y' WHEN 5 THEN 'z' WHEN 6 THEN 'x,z' WHEN 7 THEN 'line' ELSE 'none' END AS broken,
+    CASE kind WHEN 8 THEN 'missing' WHEN 1 THEN 'missing' WHEN 6 THEN 'not a number,not a number' WHEN 7 THEN 'too many cells' ELSE 'not a number' END AS reasons
+  FROM cells
+)"""
+
 EVENT_NAME = (
     "CASE event_type WHEN 'click' THEN 'Clicking' WHEN 'view' THEN 'Viewing' "
     "WHEN 'purchase' THEN 'Buying' ELSE event_type END"
@@ -300,10 +328,14 @@ SELECT subject_id, activity_label, l_orderkey, l_linenumber, l_partkey, window_i
     "window_summary_panes": summary(50, 25),
     "window_summary_dense": summary(50, 5),
     "window_summary_uneven": summary(50, 20),
+    "window_summary_coprime": summary(50, 7),
     "window_summary_gaps": summary(20, 30),
     "window_summary_hot": summary(50, 25),
     "feature_window_summary": f"WITH {FEATURES}, {numbered('feat')}, {assigned(50, 25)}\n"
-    + window_stats({"x_dx": "dx", "y_dy": "dy", "x_magnitude": "magnitude", "x_z": "x * z"}),
+    + window_stats(
+        {"x_dx": "dx", "y_dy": "dy", "z_dz": "dz", "x_magnitude": "magnitude", "x_y": "x * y", "x_z": "x * z", "y_z": "y * z",
+         "x_ax": "ax", "y_ay": "ay", "z_az": "az", "x_jerk": "jerk"}
+    ),
     "raw_windows": RAW_WINDOWS,
     "raw_windows_first_n": RAW_WINDOWS_FIRST_N,
     "channel_tensor": CHANNELS,
@@ -312,6 +344,12 @@ SELECT event_id, activity_label, CAST(v AS DOUBLE) AS z FROM parsed WHERE v IS N
     "rejected_readings": f"""WITH {DIRTY}
 SELECT event_id, activity_label, CASE WHEN activity_label IS NULL THEN 'no label' ELSE 'bad number' END AS reason
 FROM parsed WHERE v IS NULL OR activity_label IS NULL""",
+    "malformed_lines": f"WITH {BROKEN} SELECT line, broken, reasons FROM lines WHERE broken <> 'none'",
+    "malformed_clean": f"""WITH {BROKEN}
+SELECT CAST(c0 AS BIGINT) AS subject_id, c1 AS activity_label, CAST(c2 AS BIGINT) AS "timestamp", CAST(c3 AS DOUBLE) AS x,
+  CASE WHEN kind <> 9 THEN CAST(CAST(c4 AS FLOAT) AS DOUBLE) END AS y, CASE WHEN kind <> 9 THEN CAST(replace(c5, ';', '') AS DOUBLE) END AS z
+FROM cells WHERE kind > 8""",
+    "malformed_counts": f'WITH {BROKEN} SELECT broken, count(*) AS "lines" FROM lines GROUP BY broken',
     "aligned_time": f"""WITH {EVENTS} SELECT event_id, {snapped('"timestamp"', 50)} AS "timestamp" FROM ev""",
     "scan_readings": f"""WITH {SERIES}
 SELECT subject_id, activity_label, "timestamp", CAST(CAST(x AS FLOAT) AS DOUBLE) AS x,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strideframe import operators as ops
 from strideframe.functions import decode, rounded
 from strideframe.schemas import READING_SCHEMA, SERIES_KEYS
-from strideframe.sources import materialize, read_or_compute, read_readings, write_readings
+from strideframe.sources import materialize, read_marked, read_or_compute, read_readings, write_readings
 from strideframe.sources.storage import new_table_path
 from workload import adapters as a
 
@@ -103,7 +103,7 @@ def _window_report(df: DataFrame, cols) -> DataFrame:
     )
 
 
-def _windows(spark, sf_dir, size, step, method="auto", hot="auto"):
+def _windows(spark, sf_dir, size, step, method="pane", hot="auto"):
     return _window_report(
         ops.summarize_windows(
             a.lineitem_readings(spark, sf_dir),
@@ -139,6 +139,11 @@ def window_summary_uneven(spark, sf_dir):
     return _windows(spark, sf_dir, 50, 20)
 
 
+def window_summary_coprime(spark, sf_dir):
+    """Size and step without a common divisor: panes of one row."""
+    return _windows(spark, sf_dir, 50, 7)
+
+
 def window_summary_gaps(spark, sf_dir):
     return _windows(spark, sf_dir, 20, 30)
 
@@ -149,7 +154,7 @@ def window_summary_hot(spark, sf_dir):
 
 def feature_window_summary(spark, sf_dir):
     """Windows over the engineered features, the input of the classifiers."""
-    cols = ["x_dx", "y_dy", "x_magnitude", "x_z"]
+    cols = ["x_dx", "y_dy", "z_dz", "x_magnitude", "x_y", "x_z", "y_z", "x_ax", "y_ay", "z_az", "x_jerk"]
     return _window_report(
         ops.summarize_windows(
             _features(spark, sf_dir), cols, order_by=a.LINEITEM_ORDER, size=50, step=25, out_type="double"
@@ -185,14 +190,10 @@ def _raw_windows(spark, sf_dir, **how):
 
 
 def channel_tensor(spark, sf_dir):
-    readings = a.lineitem_readings(spark, sf_dir)
-    sides = {s: readings.where(F.col("side") == s) for s in ("O", "F")}
-    frames = [
-        ops.collect_windows(sides[s], cols, order_by=a.LINEITEM_ORDER, size=80, step=40)
-        for s in ("O", "F")
-        for cols in (("x", "y", "z"), ("t", "x", "z"))
-    ]
-    stacked = ops.stack_channels(frames, class_index={"A": 0, "N": 1, "R": 2})
+    channels = [(s, c) for s in ("O", "F") for c in ("x", "y", "z", "t", "x", "z")]
+    stacked = ops.channel_windows(
+        a.lineitem_readings(spark, sf_dir), "side", channels, order_by=a.LINEITEM_ORDER, size=80, step=40, class_index={"A": 0, "N": 1, "R": 2}
+    )
     return stacked.select(
         *SERIES_KEYS,
         F.col("window_index").cast("long").alias("window_index"),
@@ -223,6 +224,31 @@ def rejected_readings(spark, sf_dir):
     return ops.rejected_readings(a.dirty_events(spark, sf_dir)).select("event_id", "activity_label", "reason")
 
 
+def _marked(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    path = new_table_path(spark, "broken-text")
+    a.broken_lines(spark, sf_dir).write.text(path)
+    return ops.split_malformed(read_marked(spark, path))
+
+
+def malformed_lines(spark, sf_dir):
+    """Every broken line of written text, with the columns that broke."""
+    return _marked(spark, sf_dir)[1]
+
+
+def malformed_clean(spark, sf_dir):
+    """The other lines of the same text, parsed."""
+    clean, _ = _marked(spark, sf_dir)
+    return clean.select(
+        F.col("subject_id").cast("long").alias("subject_id"), "activity_label", "timestamp", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")]
+    )
+
+
+def malformed_counts(spark, sf_dir):
+    """Lines by the columns that broke; with the clean ones they are all lines."""
+    clean, rejects = _marked(spark, sf_dir)
+    return rejects.select("broken").unionByName(clean.select(F.lit("none").alias("broken"))).groupBy("broken").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def aligned_time(spark, sf_dir):
     return ops.align_time(a.event_readings(spark, sf_dir), grid=50).select("event_id", "timestamp")
 
@@ -281,20 +307,12 @@ def fuse_sensors_untimed(spark, sf_dir):
 def fused_features(spark, sf_dir):
     """Two sensors fused, features of both."""
     wide = ops.engineer_features(
-        _fused(spark, sf_dir),
+        materialize(_fused(spark, sf_dir), "fused"),
         [("wa_x", "wa_y", "wa_z"), ("wg_x", "wg_y", "wg_z")],
         order_by=("timestamp", "wa_z", "wg_z"),
         ticks_per_second=a.TICKS_PER_SECOND,
     )
-    return wide.select(
-        "subject_id",
-        "timestamp",
-        "seq_id",
-        *[
-            rounded(c).alias(c)
-            for c in ("wa_x_dx", "wa_x_magnitude", "wa_x_wa_y", "wg_y_dy", "wg_y_ay", "wg_x_magnitude")
-        ],
-    )
+    return wide.select("subject_id", "timestamp", "seq_id", *[rounded(c).alias(c) for c in wide.columns[wide.columns.index("seq_id") + 1 :]])
 
 
 def overview(spark, sf_dir):
@@ -495,6 +513,7 @@ ALL: dict[str, Query] = {
         window_summary_panes,
         window_summary_dense,
         window_summary_uneven,
+        window_summary_coprime,
         window_summary_gaps,
         window_summary_hot,
         feature_window_summary,
@@ -503,6 +522,9 @@ ALL: dict[str, Query] = {
         channel_tensor,
         clean_readings,
         rejected_readings,
+        malformed_lines,
+        malformed_clean,
+        malformed_counts,
         aligned_time,
         scan_readings,
         feature_table,
