@@ -11,12 +11,15 @@ from strideframe.operators.learning import (
     fit_label_index,
     label_index_table,
     sequence_fit,
+    split_tree,
     stack_fit,
     vector_stages,
+    with_label_index,
 )
 from strideframe.operators.scoring import (
     accuracy,
     accuracy_by,
+    accuracy_cross_check,
     classification_report,
     confusion_matrix,
     confusion_pct,
@@ -38,8 +41,10 @@ from strideframe.operators.summaries import (
     corr_matrix,
     counts_by,
     describe_long,
+    distinct_sketches,
     overview,
     subject_counts,
+    united_distinct,
     with_activity_name,
 )
 from strideframe.operators.windows import (

@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from strideframe.functions import decode
 from strideframe.operators.scoring import accuracy
+from strideframe.operators.series import number_rows
 from strideframe.operators.splitting import split_rows
 from strideframe.schemas import WINDOW_KEYS, WINDOW_META_COLUMNS, feature_columns
+from strideframe.sources.storage import table_exists
 
 
 def fit_label_index(df: DataFrame, label: str = "activity_label", out: str = "label") -> StringIndexerModel:
@@ -37,11 +39,17 @@ def fit_label_index(df: DataFrame, label: str = "activity_label", out: str = "la
     return StringIndexer(inputCol=label, outputCol=out, handleInvalid="keep").fit(df)
 
 
-def label_index_table(df: DataFrame, label: str = "activity_label") -> DataFrame:
-    """The same index as a DataFrame: (label, index), without a fitted model."""
-    model = fit_label_index(df, label)
-    rows = [(name, float(i)) for i, name in enumerate(model.labels)]
-    return df.sparkSession.createDataFrame(rows, f"{label} string, label double")
+def label_index_table(df: DataFrame, label: str = "activity_label", out: str = "label") -> DataFrame:
+    """The same index as a DataFrame: (label, index), numbered where the counts are. Rows
+    without a label have no index."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg((-F.count(F.lit(1))).alias("_less"))
+    placed = number_rows(counts, [], ["_less", label], "_place", hot=None)  # one row for each class
+    return placed.select(label, F.col("_place").cast("double").alias(out))
+
+
+def with_label_index(df: DataFrame, index: DataFrame, label: str = "activity_label", out: str = "label") -> DataFrame:
+    """``df`` with the class index of each row; null where the index lacks the label."""
+    return df.join(index.select(label, out), label, "left").select(*df.columns, out)
 
 
 def vector_stages(feature_cols: Sequence[str], prefix: str) -> list:
@@ -65,8 +73,25 @@ def build_base_pipeline(
     return Pipeline(stages=[indexer, *vector_stages(feature_cols, prefix), forest])
 
 
+def split_tree(
+    df: DataFrame, feature_cols: Sequence[str], label: str = "label", depth: int = 1, bins: int = 32, forest: bool = False, seed: int = 42
+) -> PipelineModel:
+    """A single tree: by itself, or as a forest of one that sees all rows and all features.
+
+    Splits fall between values; with at most ``bins`` distinct values in a column every
+    cut between two of them is tried.
+    """
+    how = {"featuresCol": "split_features", "labelCol": label, "maxDepth": depth, "maxBins": bins, "seed": seed}
+    if forest:
+        tree = RandomForestClassifier(numTrees=1, bootstrap=False, featureSubsetStrategy="all", **how)
+    else:
+        tree = DecisionTreeClassifier(**how)
+    features = VectorAssembler(inputCols=list(feature_cols), outputCol="split_features", handleInvalid="skip")
+    return Pipeline(stages=[features, tree]).fit(df)
+
+
 def _meta_assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=["watch_prob", "phone_prob"], outputCol="meta_features")
+    return VectorAssembler(inputCols=["from_watch", "from_phone"], outputCol="both_devices")
 
 
 @dataclass(frozen=True)
@@ -109,8 +134,8 @@ class StackedModel:
 
 
 def _base_probabilities(watch_model, phone_model, watch, phone, on) -> DataFrame:
-    left = watch_model.transform(watch).select(*on, "label", F.col("probability").alias("watch_prob"))
-    right = phone_model.transform(phone).select(*on, F.col("probability").alias("phone_prob"))
+    left = watch_model.transform(watch).select(*on, "label", F.col("probability").alias("from_watch"))
+    right = phone_model.transform(phone).select(*on, F.col("probability").alias("from_phone"))
     return left.join(right, list(on), "inner")
 
 
@@ -153,7 +178,7 @@ def stack_fit(
         split_rows(phone, split, "val", subject),
         on,
     )
-    meta = DecisionTreeClassifier(featuresCol="meta_features", labelCol="label", seed=seed)
+    meta = DecisionTreeClassifier(featuresCol="both_devices", labelCol="label", seed=seed)
     return StackedModel(watch_model, phone_model, meta.fit(_meta_assembler().transform(validation)), tuple(on))
 
 
@@ -183,6 +208,9 @@ class SequenceCandidate:
     iterations: int = 100
 
 
+_HISTORY = "tried int, components int, hidden array<int>, iterations int, accuracy double, chosen boolean"
+
+
 @dataclass(frozen=True)
 class SequenceModel:
     model: PipelineModel
@@ -193,13 +221,24 @@ class SequenceModel:
     def transform(self, df: DataFrame, channels: str = "channels") -> DataFrame:
         return self.model.transform(channel_vectors(df, channels))
 
+    def save(self, path: str) -> None:
+        """The model at ``path``, and beside it the table of all candidates and their scores."""
+        self.model.write().overwrite().save(path)
+        rows = [(i, c.components, list(c.hidden), c.iterations, score, c == self.candidate) for i, (c, score) in enumerate(self.history)]
+        SparkSession.active().createDataFrame(rows, _HISTORY).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}-history")
+
     @classmethod
     def load(cls, path: str) -> SequenceModel:
-        """A saved model; its candidate and validation history are in the run's tables."""
-        model = PipelineModel.load(path)
+        """A saved model with its candidate and its validation history, if one lies beside it."""
+        spark, model, beside = SparkSession.active(), PipelineModel.load(path), f"{path.rstrip('/')}-history"
         layers = model.stages[-1].getLayers()
         candidate = SequenceCandidate(layers[0], tuple(layers[1:-1]), model.stages[-1].getMaxIter())
-        return cls(model, candidate, float("nan"))
+        if not table_exists(spark, beside):
+            return cls(model, candidate, float("nan"))
+        rows = spark.read.schema(_HISTORY).parquet(beside).orderBy("tried").collect()  # one row for each candidate
+        history = [(SequenceCandidate(r["components"], tuple(r["hidden"]), r["iterations"]), r["accuracy"]) for r in rows]
+        chosen = next(h for h, r in zip(history, rows, strict=True) if r["chosen"])
+        return cls(model, *chosen, history)
 
 
 def sequence_fit(
@@ -214,7 +253,8 @@ def sequence_fit(
 ) -> SequenceModel:
     """Train every candidate on raw windows, keep the best on the validation rows.
 
-    The best model so far is saved to ``save_to`` as soon as it is found.
+    The best model so far is saved to ``save_to`` as soon as it is found, with the history
+    of all candidates so far.
     """
     train = channel_vectors(train, channels).select("raw", label).persist()
     val = channel_vectors(val, channels).select("raw", label).persist()
@@ -240,8 +280,8 @@ def sequence_fit(
             history.append((c, score))
             if best is None or score > best[2]:
                 best = (model, c, score)
-                if save_to:
-                    model.write().overwrite().save(save_to)
+            if save_to:
+                SequenceModel(*best, history).save(save_to)
         seen.unpersist()
         return SequenceModel(*best, history)
     finally:

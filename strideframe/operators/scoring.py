@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,6 +20,15 @@ def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction"
     return df.agg(F.avg(_correct(label, prediction)).alias("accuracy"), F.count(F.lit(1)).alias("rows"))
 
 
+def accuracy_cross_check(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """``accuracy`` with the library evaluator's own figure beside it; both are shares of the
+    rows that have a label and a prediction."""
+    whole = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    told = whole.select(F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction"))
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
+    return accuracy(whole, label, prediction).withColumn("evaluator_accuracy", F.lit(evaluator.evaluate(told)))
+
+
 def accuracy_by(
     df: DataFrame, by: str = "activity_label", label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:

@@ -15,6 +15,8 @@ from strideframe.sources.storage import materialize
 
 #: Sketch accuracy of ``percentile_approx``: ranks are off by at most n / SKETCH.
 SKETCH = 10_000
+#: Base-2 logarithm of the places in a distinct-count sketch.
+SKETCH_LG_K = 14
 #: Half width of the narrowest rank bracket around a quartile, ten times the sketch's error,
 #: and how much wider each next one is; the last one is the whole group.
 BRACKET = 10 / SKETCH
@@ -42,6 +44,20 @@ def overview(
     )
 
 
+def distinct_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """One HyperLogLog sketch of each column per group of ``by``: ``by, <c>_sketch``.
+
+    Sketches are small binary values to be stored. However rows are cut into parts, the union
+    of the parts' sketches is the same. The standard error of an estimate is about 0.8 / sqrt(2 ** lg_k).
+    """
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), lg_k).alias(f"{c}_sketch") for c in cols])
+
+
+def united_distinct(sketches: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Distinct counts estimated from the union of stored sketches: ``by, <c>``."""
+    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")).alias(c) for c in cols])
+
+
 def counts_by(df: DataFrame, by: str, count: str = "rows") -> DataFrame:
     """Rows per value of ``by``, in order."""
     return df.groupBy(by).agg(F.count(F.lit(1)).alias(count)).orderBy(by)

@@ -16,7 +16,7 @@ from strideframe import operators as ops
 from strideframe.functions import decode
 from strideframe.plans.exploration import explore_device, explore_fused
 from strideframe.schemas import CLASS_INDEX, STREAMS, WINDOW_META_COLUMNS, axes, feature_columns
-from strideframe.sources import materialize, read_stream, read_table, table_exists, write_table
+from strideframe.sources import materialize, read_marked, read_table, table_exists, write_table
 
 log = logging.getLogger(__name__)
 
@@ -60,51 +60,67 @@ def _timed(step: str):
     log.info("%s: done in %.1f s", step, time.monotonic() - start)
 
 
-def _stored(spark: SparkSession, cfg: PipelineConfig, name: str, table: DataFrame) -> DataFrame:
-    """Write a result below ``cfg.work`` and read it back."""
-    write_table(table, cfg.at(name))
-    return read_table(spark, cfg.at(name), table.schema)
-
-
-def _report(spark: SparkSession, cfg: PipelineConfig, out: dict[str, DataFrame], names: Sequence[str]) -> None:
-    """Write the named tables below ``reports``; ``out`` goes on from what is written."""
-    for name in names:
-        out[name] = _stored(spark, cfg, f"reports/{name}", out[name])
-
-
-def _counters(tables: dict[str, DataFrame], names: Sequence[str]) -> DataFrame:
-    """How many rows each of the named tables has: (table, rows)."""
-    counts = [tables[n].agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows")) for n in names]
-    return reduce(DataFrame.unionByName, counts)
-
-
-def clean_stream(spark: SparkSession, cfg: PipelineConfig, device: str, sensor: str):
-    """(clean, rejects) of one stream."""
-    return ops.clean_readings(read_stream(spark, cfg.raw, device, sensor))
-
-
-def rejects(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """The rejected rows of all streams."""
-    parts = [
-        ops.rejected_readings(read_stream(spark, cfg.raw, *stream)).select(
-            F.lit(stream[0]).alias("device"), F.lit(stream[1]).alias("sensor"), "*"
-        )
-        for stream in STREAMS
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def fused_device(spark: SparkSession, cfg: PipelineConfig, device: str) -> DataFrame:
+class Run:
+    """The tables of one run, each written below ``cfg.work`` and read back, and its manifest:
+    the step that wrote a table, its rows as observed while it was written, and the seconds."""
+
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig):
+        self.spark, self.cfg = spark, cfg
+        self.tables: dict[str, DataFrame] = {}
+        self.manifest: list[tuple[str, str, int | None, float]] = []
+        self._marked: dict[tuple[str, str], DataFrame] = {}
+
+    def put(self, step: str, name: str, table: DataFrame, at: str | None = None) -> DataFrame:
+        start = time.monotonic()
+        rows = write_table(table, self.cfg.at(at or name))
+        self.manifest.append((step, name, rows, time.monotonic() - start))
+        self.tables[name] = read_table(self.spark, self.cfg.at(at or name), table.schema)
+        return self.tables[name]
+
+    def keep(self, step: str, name: str) -> DataFrame:
+        """A table that an earlier run wrote; its rows were observed then."""
+        self.manifest.append((step, name, None, 0.0))
+        self.tables[name] = read_table(self.spark, self.cfg.at(name))
+        return self.tables[name]
+
+    def marked(self, device: str, sensor: str) -> DataFrame:
+        """The marked lines of a stream; its text is read once in a run."""
+        if (device, sensor) not in self._marked:
+            self._marked[device, sensor] = materialize(_marked(self.spark, self.cfg, device, sensor), "marked-lines")
+        return self._marked[device, sensor]
+
+    def rejects(self) -> DataFrame:
+        """The broken lines of all streams, with the columns that broke and why."""
+        parts = [ops.split_malformed(self.marked(*s))[1].select(F.lit(s[0]).alias("device"), F.lit(s[1]).alias("sensor"), "*") for s in STREAMS]
+        return reduce(DataFrame.unionByName, parts)
+
+    def finish(self, reports: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write the reports and the manifest; returns all tables."""
+        for name, table in reports.items():
+            self.put("reports", name, table, f"reports/{name}")
+        rows = [(i, *r) for i, r in enumerate(self.manifest)]
+        manifest = self.spark.createDataFrame(rows, "place int, step string, table string, rows long, seconds double")
+        write_table(manifest, self.cfg.at("reports/manifest"))
+        self.tables["manifest"] = read_table(self.spark, self.cfg.at("reports/manifest"))
+        return self.tables
+
+
+def _marked(spark: SparkSession, cfg: PipelineConfig, device: str, sensor: str) -> DataFrame:
+    return read_marked(spark, f"{cfg.raw.rstrip('/')}/{device}/{sensor}/*.txt")
+
+
+def fused_device(spark: SparkSession, cfg: PipelineConfig, device: str, run: Run | None = None) -> DataFrame:
     """Cleaned, aligned and joined sensors of one device."""
     accel, gyro = (
-        ops.align_time(clean_stream(spark, cfg, device, sensor)[0], cfg.grid) for sensor in ("accel", "gyro")
+        ops.align_time(ops.split_malformed(run.marked(device, sensor) if run else _marked(spark, cfg, device, sensor))[0], cfg.grid)
+        for sensor in ("accel", "gyro")
     )
     return ops.fuse_sensors(accel, gyro, DEVICES[device], dedupe=cfg.dedupe)
 
 
-def device_features(spark: SparkSession, cfg: PipelineConfig, device: str) -> DataFrame:
+def device_features(spark: SparkSession, cfg: PipelineConfig, device: str, run: Run | None = None) -> DataFrame:
     # The join is written down: series are counted on it before they are numbered.
-    fused = materialize(fused_device(spark, cfg, device), f"{device}-fused")
+    fused = materialize(fused_device(spark, cfg, device, run), f"{device}-fused")
     return ops.engineer_features(
         fused,
         [axes(p) for p in DEVICES[device]],
@@ -118,34 +134,30 @@ def run_pipeline(
 ) -> dict[str, DataFrame]:
     """Features, windows, split, stacked model and its scores, step by step.
 
-    Every step's table is written below ``cfg.work``. ``skip_features`` keeps the
-    feature tables if both are there. A failing step ends the run.
+    Every step's table is written below ``cfg.work``, and ``manifest`` has a row for each.
+    ``skip_features`` keeps the feature tables if both are there. A failing step ends the run.
     """
-    out: dict[str, DataFrame] = {}
-    paths = {d: cfg.at(f"{d}_features") for d in DEVICES}
+    run, reports = Run(spark, cfg), {}
+    features, windows = {}, {}
     with _timed("features"):
-        if not (skip_features and all(table_exists(spark, p) for p in paths.values())):
-            for device, path in paths.items():
-                write_table(device_features(spark, cfg, device), path)
-        for device, path in paths.items():
-            out[f"{device}_features"] = read_table(spark, path)
-        out["rejects"] = _stored(spark, cfg, "rejects", rejects(spark, cfg))
+        skip = skip_features and all(table_exists(spark, cfg.at(f"{d}_features")) for d in DEVICES)
+        for device in DEVICES:
+            name = f"{device}_features"
+            features[device] = run.keep("features", name) if skip else run.put("features", name, device_features(spark, cfg, device, run))
+        run.put("features", "rejects", run.rejects())
 
     with _timed("windows"):
         for device, prefixes in DEVICES.items():
-            features = out[f"{device}_features"]
-            windows = ops.summarize_windows(
-                features,
-                feature_columns(features),
+            summary = ops.summarize_windows(
+                features[device],
+                feature_columns(features[device]),
                 order_by=("timestamp", *[a for p in prefixes for a in axes(p)]),
                 size=cfg.size,
                 step=cfg.step,
             )
-            write_table(windows, cfg.at(f"{device}_windows"))
-            out[f"{device}_windows"] = read_table(spark, cfg.at(f"{device}_windows"))
-        watch, phone = out["watch_windows"], out["phone_windows"]
-        write_table(ops.subject_split(watch, fractions=cfg.fractions), cfg.at("split"))
-        split = out["split"] = read_table(spark, cfg.at("split"))
+            windows[device] = run.put("windows", f"{device}_windows", summary)
+        watch, phone = windows["watch"], windows["phone"]
+        split = run.put("windows", "split", ops.subject_split(watch, fractions=cfg.fractions))
 
     with _timed("training"):
         model = ops.stack_fit(watch, phone, split, trees=cfg.trees, seed=cfg.seed)
@@ -153,108 +165,68 @@ def run_pipeline(
 
     with _timed("scoring"):
         for device, fitted in (("watch", model.watch), ("phone", model.phone)):
-            scored = fitted.transform(ops.split_rows(out[f"{device}_windows"], split, "val"))
-            write_table(
-                scored.select("activity_label", "label", "prediction"), cfg.at(f"{device}_validation")
-            )
-            validation = read_table(spark, cfg.at(f"{device}_validation"))
-            out[f"{device}_accuracy"] = ops.accuracy(validation)
-            out[f"{device}_accuracy_by_activity"] = ops.with_activity_name(ops.accuracy_by(validation))
-            out[f"{device}_importance"] = ops.feature_importance(
-                fitted, feature_columns(out[f"{device}_windows"], WINDOW_META_COLUMNS)
-            )
+            scored = fitted.transform(ops.split_rows(windows[device], split, "val"))
+            validation = run.put("scoring", f"{device}_validation", scored.select("activity_label", "label", "prediction"))
+            reports[f"{device}_accuracy"] = ops.accuracy_cross_check(validation)
+            reports[f"{device}_accuracy_by_activity"] = ops.with_activity_name(ops.accuracy_by(validation))
+            reports[f"{device}_importance"] = ops.feature_importance(fitted, feature_columns(windows[device], WINDOW_META_COLUMNS))
         test = model.transform(*[ops.split_rows(d, split, "test") for d in (watch, phone)])
-        write_table(
-            test.select(*model.on, "label", "prediction", "probability", "activity", "predicted_activity"),
-            cfg.at("predictions"),
-        )
-        out["predictions"] = read_table(spark, cfg.at("predictions"))
-        out["stacked_accuracy"] = ops.accuracy(out["predictions"])
-        out["stacked_accuracy_by_activity"] = ops.accuracy_by(out["predictions"], "activity")
+        predictions = run.put("scoring", "predictions", test.select(*model.on, "label", "prediction", "probability", "activity", "predicted_activity"))
+        reports["stacked_accuracy"] = ops.accuracy_cross_check(predictions)
+        reports["stacked_accuracy_by_activity"] = ops.accuracy_by(predictions, "activity")
 
     if eda:
-        with _timed("exploration"):
-            for device, prefixes in DEVICES.items():
-                for name, table in explore_device(out[f"{device}_features"], *prefixes).items():
-                    out[f"{device}_{name}"] = table
-    counted = [n for n in out if n.endswith(("_features", "_windows", "rejects", "predictions"))]
-    out["split_sizes"] = ops.split_sizes(split)
-    out["counters"] = _counters(out, counted)
-    _report(spark, cfg, out, [n for n in out if n not in (*counted, "split")])
-    return out
+        for device, prefixes in DEVICES.items():
+            reports |= {f"{device}_{name}": table for name, table in explore_device(features[device], *prefixes).items()}
+    reports["split_sizes"] = ops.split_sizes(split)
+    with _timed("reports"):
+        return run.finish(reports)
 
 
 def run_sequence(spark: SparkSession, cfg: PipelineConfig, eda: bool = False) -> dict[str, DataFrame]:
     """Raw windows of all four sensors, joined to channels, and a classifier on them.
 
-    Rejected readings, counters and reports are written next to the other tables.
+    Rejected lines, the manifest and reports are written next to the other tables.
     """
-    out: dict[str, DataFrame] = {}
+    run, reports = Run(spark, cfg), {}
     with _timed("raw windows"):
+        windows = []
         for (device, sensor), prefix in STREAMS.items():
-            clean, _ = clean_stream(spark, cfg, device, sensor)
-            windows = ops.collect_windows(
-                clean,
+            cut = ops.collect_windows(
+                ops.split_malformed(run.marked(device, sensor))[0],
                 order_by=("timestamp", "x", "y", "z"),
                 size=cfg.size,
                 step=cfg.step,
                 max_rows=cfg.max_rows,
             )
-            path = cfg.at(f"windowed/{device}_{sensor}")
-            write_table(windows, path)
-            out[f"{prefix}_windows"] = read_table(spark, path)
-        out["rejects"] = _stored(spark, cfg, "rejects", rejects(spark, cfg))
-        channels = ops.stack_channels([out[f"{p}_windows"] for p in STREAMS.values()])
-        write_table(channels, cfg.at("channels"))
-        out["channels"] = read_table(spark, cfg.at("channels"))
+            windows.append(run.put("raw windows", f"{prefix}_windows", cut, f"windowed/{device}_{sensor}"))
+        run.put("raw windows", "rejects", run.rejects())
+        channels = run.put("raw windows", "channels", ops.stack_channels(windows))
 
     with _timed("sequence training"):
-        everyone = (
-            out["channels"]
-            if cfg.subjects is None
-            else spark.createDataFrame([(int(s),) for s in cfg.subjects], "subject_id int")
-        )
-        chosen = {"counts": cfg.counts} if cfg.counts else {"fractions": cfg.fractions}
-        write_table(ops.subject_split(everyone, **chosen), cfg.at("sequence_split"))
-        split = out["split"] = read_table(spark, cfg.at("sequence_split"))
-        parts = {name: ops.split_rows(out["channels"], split, name) for name in ("train", "val", "test")}
+        everyone = channels if cfg.subjects is None else spark.createDataFrame([(int(s),) for s in cfg.subjects], "subject_id int")
+        split = run.put("sequence training", "split", ops.subject_split(everyone, fractions=cfg.fractions, counts=cfg.counts), "sequence_split")
+        parts = {name: ops.split_rows(channels, split, name) for name in ("train", "val", "test")}
         best = ops.sequence_fit(
-            parts["train"],
-            parts["val"],
-            len(CLASS_INDEX),
-            cfg.candidates,
-            seed=cfg.seed,
-            save_to=cfg.at("sequence_model"),
+            parts["train"], parts["val"], len(CLASS_INDEX), cfg.candidates, seed=cfg.seed, save_to=cfg.at("sequence_model")
         )
 
     with _timed("sequence scoring"):
         names = {float(i): code for code, i in CLASS_INDEX.items()}
-        scored = best.transform(parts["test"]).select(
-            "subject_id",
-            "activity_label",
-            "window_index",
-            "label",
-            "prediction",
-            decode("prediction", names).alias("predicted_activity"),
-        )
-        write_table(scored, cfg.at("sequence_predictions"))
-        predictions = out["predictions"] = read_table(spark, cfg.at("sequence_predictions"))
+        keys = ("subject_id", "activity_label", "window_index", "label", "prediction")
+        scored = best.transform(parts["test"]).select(*keys, decode("prediction", names).alias("predicted_activity"))
+        predictions = run.put("sequence scoring", "predictions", scored, "sequence_predictions")
         confusion = ops.confusion_matrix(predictions, label="activity_label", prediction="predicted_activity")
-        out["accuracy"] = ops.accuracy(predictions)
-        out["confusion"] = confusion
-        out["confusion_pct"] = ops.confusion_pct(confusion)
-        out["report"] = ops.classification_report(confusion)
+        reports["accuracy"] = ops.accuracy_cross_check(predictions)
+        reports["confusion"] = confusion
+        reports["confusion_pct"] = ops.confusion_pct(confusion)
+        reports["report"] = ops.classification_report(confusion)
         rows = [(c.components, str(list(c.hidden)), c.iterations, float(a)) for c, a in best.history]
-        out["history"] = spark.createDataFrame(
-            rows, "components int, hidden string, iterations int, validation_accuracy double"
-        )
+        reports["history"] = spark.createDataFrame(rows, "components int, hidden string, iterations int, validation_accuracy double")
     if eda:
-        with _timed("exploration"):
-            for device in DEVICES:
-                for name, table in explore_fused(fused_device(spark, cfg, device)).items():
-                    out[f"{device}_{name}"] = table
-    counted = [n for n in out if n.endswith(("_windows", "channels", "rejects", "predictions"))]
-    out["split_sizes"] = ops.split_sizes(split)
-    out["counters"] = _counters(out, counted)
-    _report(spark, cfg, out, [n for n in out if n not in (*counted, "split")])
-    return out
+        for device in DEVICES:
+            fused = materialize(fused_device(spark, cfg, device, run), f"{device}-fused")
+            reports |= {f"{device}_{name}": table for name, table in explore_fused(fused).items()}
+    reports["split_sizes"] = ops.split_sizes(split)
+    with _timed("reports"):
+        return run.finish(reports)

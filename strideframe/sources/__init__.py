@@ -1,5 +1,8 @@
 from strideframe.sources.readings import (
     ANONYMOUS_S3A,
+    FILE_PATTERN,
+    FOLDER_PATTERN,
+    object_manifest,
     read_marked,
     read_readings,
     read_stream,
@@ -18,7 +21,10 @@ from strideframe.sources.storage import (
 
 __all__ = [
     "ANONYMOUS_S3A",
+    "FILE_PATTERN",
+    "FOLDER_PATTERN",
     "materialize",
+    "object_manifest",
     "preview",
     "read_marked",
     "read_or_compute",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strideframe.schemas import READING_SCHEMA
+from strideframe.schemas import READING_SCHEMA, STREAMS
 
 #: Hadoop settings for a public bucket, to be given when the session is built.
 ANONYMOUS_S3A = {
@@ -17,7 +17,9 @@ ANONYMOUS_S3A = {
 LINE, CORRUPT_LINE = "line", "corrupt_line"
 
 #: Layout of a raw folder: <root>/<device>/<sensor>/data_<subject>_<sensor>_<device>.txt
-_FILE_PATTERN = r"/([^/]+)/([^/]+)/data_(\d+)_[^/]*\.txt$"
+FILE_PATTERN = r"/([^/]+)/([^/]+)/data_(\d+)_[^/]*\.txt$"
+#: The same where a writer made each object a folder of parts, by partition columns.
+FOLDER_PATTERN = r"/device=([^/]+)/sensor=([^/]+)/object=data_(\d+)_[^/]*/[^/]*\.txt$"
 
 
 def _reader(spark: SparkSession, schema: T.StructType, ignore_missing: bool) -> DataFrameReader:
@@ -56,21 +58,44 @@ def read_marked(
     return lines.select(F.col("value").alias(LINE), cells.alias("cells")).select(LINE, "cells.*")
 
 
-def read_streams(spark: SparkSession, root: str, ignore_missing: bool = False) -> DataFrame:
+def _keys_of(file: Column, pattern: str) -> list[Column]:
+    return [
+        F.regexp_extract(file, pattern, 1).alias("device"),
+        F.regexp_extract(file, pattern, 2).alias("sensor"),
+        F.regexp_extract(file, pattern, 3).try_cast("int").alias("file_subject"),
+    ]
+
+
+def read_streams(spark: SparkSession, root: str, ignore_missing: bool = False, pattern: str = FILE_PATTERN) -> DataFrame:
     """All devices and sensors below ``root`` in one scan.
 
-    ``device``, ``sensor`` and ``file_subject`` come from each file's path. A file that
-    vanishes between listing and reading is an error, or skipped with ``ignore_missing``.
+    ``device``, ``sensor`` and ``file_subject`` come from each file's path, by the groups of
+    ``pattern``. A file that vanishes between listing and reading is an error, or skipped
+    with ``ignore_missing``.
     """
     reader = _reader(spark, READING_SCHEMA, ignore_missing).option("recursiveFileLookup", True)
     rows = reader.option("pathGlobFilter", "*.txt").csv(root)
-    file = F.col("_metadata.file_path")
-    return rows.select(
-        F.regexp_extract(file, _FILE_PATTERN, 1).alias("device"),
-        F.regexp_extract(file, _FILE_PATTERN, 2).alias("sensor"),
-        F.regexp_extract(file, _FILE_PATTERN, 3).try_cast("int").alias("file_subject"),
-        *READING_SCHEMA.names,
-    )
+    return rows.select(*_keys_of(F.col("_metadata.file_path"), pattern), *READING_SCHEMA.names)
+
+
+def object_manifest(spark: SparkSession, root: str, subjects: DataFrame, subject: str = "subject_id", pattern: str = FILE_PATTERN) -> DataFrame:
+    """What should lie below ``root``, and what does: ``file_subject, device, sensor, files,
+    bytes, status``.
+
+    Each of ``subjects`` should have an object for every stream. ``status`` is present, missing,
+    or unexpected (another subject, or a path that names no stream). Files are listed with
+    their sizes and not opened.
+    """
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.txt").load(root)
+    found = listed.select(*_keys_of(F.col("path"), pattern), "length").groupBy("file_subject", "device", "sensor")
+    found = found.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    streams = F.array(*[F.struct(F.lit(d).alias("device"), F.lit(s).alias("sensor")) for d, s in STREAMS])
+    wanted = subjects.select(F.col(subject).cast("int").alias("file_subject")).distinct().select("file_subject", F.inline(streams)).withColumn("_wanted", F.lit(True))
+    keys = ["file_subject", "device", "sensor"]
+    met = wanted.join(found, keys, "full")
+    status = F.when(F.col("files").isNull(), "missing").when(F.col("_wanted").isNull(), "unexpected").otherwise("present")
+    zero = F.lit(0).cast("long")
+    return met.select(*keys, F.coalesce("files", zero).alias("files"), F.coalesce("bytes", zero).alias("bytes"), status.alias("status"))
 
 
 def read_stream(

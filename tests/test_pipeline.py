@@ -31,7 +31,7 @@ def cfg(tmp_path_factory):
         for s in SUBJECTS:
             lines = [line(s, c, device, sensor, i) for c in CODES for i in range(READINGS)]
             if (device, sensor, s) == ("watch", "accel", 1600):
-                lines.append(f"{s},A,5,1.0,1.0,broken;")
+                lines += [f"{s},A,5,1.0,1.0,broken;", f"{s},A,noon,1.0,1.0,1.0;", f",A,5,1.0,1.0,1.0;"]
             (folder / f"data_{s}_{sensor}_{device}.txt").write_text("\n".join(lines) + "\n")
     return PipelineConfig(
         raw=str(root),
@@ -55,7 +55,17 @@ def test_feature_tables(tables):
         f = tables[f"{device}_features"]
         assert len(f.columns) == 32
         assert f.count() == len(SUBJECTS) * len(CODES) * READINGS
-    assert tables["rejects"].count() == 1
+    found = {(r.device, r.sensor, r.broken, r.reasons) for r in tables["rejects"].collect()}
+    assert found == {("watch", "accel", c, why) for c, why in (("z", "not a number"), ("timestamp", "not a number"), ("subject_id", "missing"))}
+
+
+def test_manifest_tells_what_was_written(tables):
+    rows = {r.table: r for r in tables["manifest"].collect()}
+    assert [r.place for r in sorted(rows.values(), key=lambda r: r.place)] == list(range(len(rows)))
+    assert set(rows) == set(tables) - {"manifest"}
+    for name in ("watch_features", "phone_windows", "rejects", "predictions", "split", "watch_boxes"):
+        assert rows[name].rows == tables[name].count() and rows[name].seconds > 0
+    assert (rows["rejects"].step, rows["watch_boxes"].step) == ("features", "reports")
 
 
 def test_window_tables(tables):
@@ -71,7 +81,9 @@ def test_scores(tables):
     assert {r.activity for r in tables["stacked_accuracy_by_activity"].collect()} == set(CODES)
     assert "Walking" in {r.activity_name for r in tables["watch_accuracy_by_activity"].collect()}
     assert tables["phone_importance"].count() == 56
-    assert 0 <= tables["phone_accuracy"].first()["accuracy"] <= 1
+    for name in ("watch_accuracy", "phone_accuracy", "stacked_accuracy"):
+        r = tables[name].first()
+        assert 0 <= r.accuracy <= 1 and r.accuracy == pytest.approx(r.evaluator_accuracy)
 
 
 def test_exploration(tables):
@@ -87,6 +99,7 @@ def test_features_can_be_skipped(spark, cfg, tables):
     accuracy = tables["stacked_accuracy"].first()
     again = run_pipeline(spark, cfg, skip_features=True)
     assert again["watch_features"].inputFiles() == before
+    assert {r.table for r in again["manifest"].where("rows IS NULL").collect()} == {"watch_features", "phone_features"}
     assert again["stacked_accuracy"].first() == accuracy
 
 

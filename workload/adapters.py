@@ -90,6 +90,28 @@ def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.when(kind == 9, F.concat_ws(",", *cells[:4])).otherwise(line).alias("value"))
 
 
+def write_raw_streams(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Lines of all orders as raw text of two devices with two sensors each, below ``root``.
+
+    Odd lines are the watch's, even ones the phone's. Both sensors of a device see every
+    line of it; in every 17th order the accelerometer's last cell is no number.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("subject"),
+        F.translate("l_returnflag", "NR", "BC").alias("code"),
+        (F.col("l_orderkey") * 1_000 + F.col("l_linenumber") * 50).alias("time"),
+        F.when(F.col("l_linenumber") % 2 == 1, "watch").otherwise("phone").alias("device"),
+        (F.col("l_orderkey") % 17 == 3).alias("broken"),
+        *[F.col(c).cast("int").cast("string").alias(c) for c in ("l_quantity", "l_linenumber", "l_partkey", "l_orderkey")],
+    )
+    for device in ("watch", "phone"):
+        own = lines.where(F.col("device") == device)
+        last = F.when(F.col("broken"), "err;").otherwise(F.concat("l_linenumber", F.lit(";")))
+        for sensor, late, cells in (("accel", 0, ["l_quantity", "l_partkey", last]), ("gyro", 7, ["l_partkey", "l_orderkey", F.concat("l_quantity", F.lit(";"))])):
+            keys = [F.col("subject").cast("string"), F.col("code"), (F.col("time") + late).cast("string")]
+            own.select(F.concat_ws(",", *keys, *cells)).write.mode("overwrite").text(f"{root}/{device}/{sensor}")
+
+
 def device_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Embeddings halved into two devices of 32 features each.
 

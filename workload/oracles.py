@@ -311,6 +311,34 @@ idx AS (
   FROM events GROUP BY event_type
 )"""
 
+TEST_VECTORS = """WITH ranked AS (
+  SELECT s, row_number() OVER (ORDER BY s) - 1 AS r, count(*) OVER () AS n FROM (SELECT DISTINCT vec_id % 51 AS s FROM embeddings)
+),
+test AS (SELECT vec_id FROM embeddings JOIN ranked ON vec_id % 51 = s WHERE r >= floor(n * 0.8::DOUBLE))
+"""
+
+OBJECTS = """
+told AS (
+  SELECT *, subject_id * 4 + CASE device WHEN 'watch' THEN 0 ELSE 2 END + CASE sensor WHEN 'accel' THEN 0 ELSE 1 END AS n FROM (
+    SELECT l_suppkey % 51 AS subject_id, CASE l_linestatus WHEN 'O' THEN 'watch' ELSE 'phone' END AS device,
+      CASE WHEN l_linenumber % 2 = 1 THEN 'accel' ELSE 'gyro' END AS sensor FROM lineitem
+  )
+)"""
+
+RAW_LINES = """
+told AS (
+  SELECT l_suppkey AS subject, l_returnflag AS code, CASE WHEN l_linenumber % 2 = 1 THEN 'watch' ELSE 'phone' END AS device,
+    l_orderkey % 17 = 3 AS broken, l_orderkey * 1000 + l_linenumber * 50 AS t FROM lineitem
+),
+fused AS (
+  SELECT a.device, a.subject, a.code FROM told a JOIN told g ON a.device = g.device AND a.subject = g.subject AND a.t = g.t WHERE NOT a.broken
+)"""
+
+
+def _full_windows(source: str, size: int, step: int) -> str:
+    return f"SELECT device, subject, code, (count(*) - {size}) // {step} + 1 AS n FROM {source} GROUP BY 1, 2, 3 HAVING count(*) >= {size}"
+
+
 ALL: dict[str, str] = {
     "motion_features": MOTION,
     "motion_features_hot": MOTION,
@@ -413,4 +441,60 @@ SELECT l_orderkey, l_linenumber, l_partkey,
   round((y - (SELECT avg(y) FROM lr)) / (SELECT stddev_samp(y) FROM lr), 6) + 0.0 AS y,
   round((z - (SELECT avg(z) FROM lr)) / (SELECT stddev_samp(z) FROM lr), 6) + 0.0 AS z
 FROM lr""",
+    "labelled_rows": f"""WITH {LABEL_INDEX}
+SELECT event_id, label FROM events JOIN idx ON event_type = activity_label""",
+    "accuracy_cross_check": f"""WITH {SCORED}
+SELECT round(avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) + 0.0 AS accuracy,
+  round(avg(CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) + 0.0 AS evaluator_accuracy, count(*) AS "rows" FROM scored""",
+    "tree_split": """WITH t AS (
+  SELECT CAST(trunc(l_quantity) AS INTEGER) AS quantity, CASE WHEN l_extendedprice > 25000 THEN 1 ELSE 0 END AS y FROM lineitem
+),
+q AS (SELECT quantity, count(*) AS n, sum(y) AS ones FROM t GROUP BY quantity),
+cuts AS (
+  SELECT quantity, sum(n) OVER w AS ln, sum(ones) OVER w AS l1, sum(n) OVER () AS an, sum(ones) OVER () AS a1
+  FROM q WINDOW w AS (ORDER BY quantity)
+),
+gini AS (
+  SELECT *, ln * (1 - (l1 / ln::DOUBLE) ** 2 - ((ln - l1) / ln::DOUBLE) ** 2)
+    + (an - ln) * (1 - ((a1 - l1) / (an - ln)::DOUBLE) ** 2 - (((an - ln) - (a1 - l1)) / (an - ln)::DOUBLE) ** 2) AS impurity
+  FROM cuts WHERE ln < an
+),
+best AS (SELECT * FROM gini ORDER BY impurity, quantity LIMIT 1)
+SELECT q.quantity, q.n AS "rows",
+  CASE WHEN q.quantity <= best.quantity THEN CASE WHEN 2 * l1 > ln THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+       ELSE CASE WHEN 2 * (a1 - l1) > an - ln THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS tree_prediction,
+  CASE WHEN q.quantity <= best.quantity THEN CASE WHEN 2 * l1 > ln THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+       ELSE CASE WHEN 2 * (a1 - l1) > an - ln THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS forest_prediction
+FROM q, best""",
+    "model_reload": TEST_VECTORS + 'SELECT count(*) AS windows, count(*) AS "equal" FROM test',
+    "sequence_reload": TEST_VECTORS + 'SELECT count(*) AS windows, count(*) AS "equal", CAST(2 AS BIGINT) AS candidates FROM test',
+    "distinct_sketches": """SELECT 'subject_id' AS "column", count(DISTINCT l_suppkey) AS distinct_values, true AS unions_agree, true AS within_error FROM lineitem
+UNION ALL SELECT 'l_orderkey', count(DISTINCT l_orderkey), true, true FROM lineitem""",
+    "object_manifest": f"""WITH {OBJECTS},
+wanted AS (
+  SELECT subject_id, device, sensor FROM (SELECT DISTINCT subject_id FROM told), (SELECT unnest(['watch', 'phone']) AS device), (SELECT unnest(['accel', 'gyro']) AS sensor)
+)
+SELECT w.subject_id, w.device, w.sensor, o.n IS NOT NULL AS present, CASE WHEN o.n IS NULL THEN 'missing' ELSE 'present' END AS status
+FROM wanted w LEFT JOIN (SELECT subject_id, device, sensor, any_value(n) AS n FROM told WHERE n % 11 <> 5 GROUP BY 1, 2, 3) o USING (subject_id, device, sensor)""",
+    "stream_keys": f"""WITH {OBJECTS}
+SELECT subject_id, device, sensor, count(*) AS "rows", CAST(0 AS BIGINT) AS misplaced FROM told WHERE n % 11 <> 5 GROUP BY 1, 2, 3""",
+    "activity_run": f"""WITH {RAW_LINES},
+win AS ({_full_windows("fused", 20, 10)})
+SELECT device || '_features' AS "table", count(*) AS "rows" FROM fused GROUP BY device
+UNION ALL SELECT device || '_windows', CAST(sum(n) AS BIGINT) FROM win GROUP BY device
+UNION ALL SELECT 'rejects', count(*) FROM told WHERE broken
+UNION ALL SELECT 'split', count(DISTINCT subject) FROM win WHERE device = 'watch'
+UNION ALL SELECT device || '_boxes', 7 * count(DISTINCT code) FROM fused GROUP BY device
+UNION ALL SELECT device || '_correlation', CAST(100 AS BIGINT) FROM fused GROUP BY device""",
+    "sequence_run": f"""WITH {RAW_LINES},
+accel AS ({_full_windows("(SELECT * FROM told WHERE NOT broken)", 12, 6)}),
+gyro AS ({_full_windows("told", 12, 6)}),
+common AS (
+  SELECT subject, code, min(n) AS n FROM (SELECT * FROM accel UNION ALL SELECT * FROM gyro) GROUP BY 1, 2 HAVING count(*) = 4
+)
+SELECT left(device, 1) || 'a_windows' AS "table", CAST(sum(n) AS BIGINT) AS "rows" FROM accel GROUP BY device
+UNION ALL SELECT left(device, 1) || 'g_windows', CAST(sum(n) AS BIGINT) FROM gyro GROUP BY device
+UNION ALL SELECT 'rejects', count(*) FROM told WHERE broken
+UNION ALL SELECT 'channels', CAST(sum(n) AS BIGINT) FROM common
+UNION ALL SELECT 'split', count(DISTINCT subject) FROM common""",
 }

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strideframe import operators as ops
+from strideframe import sources
 from strideframe.functions import decode, rounded
+from strideframe.operators.summaries import SKETCH_LG_K
+from strideframe.plans import PipelineConfig, run_pipeline, run_sequence
 from strideframe.schemas import READING_SCHEMA, SERIES_KEYS
 from strideframe.sources import materialize, read_marked, read_or_compute, read_readings, write_readings
 from strideframe.sources.storage import new_table_path
@@ -497,6 +500,136 @@ def sequence_predictions(spark, sf_dir):
     return best.transform(parts["test"]).select("vec_id", "label", "prediction")
 
 
+def labelled_rows(spark, sf_dir):
+    """Every event with its class index, joined from the index's own table."""
+    events = a.event_readings(spark, sf_dir).select("event_id", "activity_label")
+    return ops.with_label_index(events, ops.label_index_table(events)).select("event_id", "label")
+
+
+def accuracy_cross_check(spark, sf_dir):
+    checked = ops.accuracy_cross_check(a.scored_vectors(spark, sf_dir))
+    return checked.select(rounded("accuracy").alias("accuracy"), rounded("evaluator_accuracy").alias("evaluator_accuracy"), "rows")
+
+
+def tree_split(spark, sf_dir):
+    """Dear lines by their quantity: what a tree of one split says for each quantity, by
+    itself and as a forest of one."""
+    lines = a.table(spark, sf_dir, "lineitem").select(
+        F.col("l_quantity").cast("int").alias("quantity"), (F.col("l_extendedprice") > 25_000).cast("double").alias("label")
+    )
+    lines = materialize(lines.where("quantity IS NOT NULL AND label IS NOT NULL"), "tree-rows")
+    tree, forest = (ops.split_tree(lines, ["quantity"], bins=64, forest=f) for f in (False, True))
+    judged = tree.transform(lines).select("split_features", "quantity", F.col("prediction").alias("tree_prediction"))
+    judged = forest.stages[-1].transform(judged).select("quantity", "tree_prediction", F.col("prediction").alias("forest_prediction"))
+    return judged.groupBy("quantity", "tree_prediction", "forest_prediction").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def model_reload(spark, sf_dir):
+    """Test windows scored by the stacked model and by the same model saved and loaded again:
+    how many, and how many of them have equal predictions and probabilities."""
+    model, scored, watch = _stacked(spark, sf_dir, trees=10)
+    path = new_table_path(spark, "stacked-model")
+    model.save(path)
+    loaded = ops.StackedModel.load(path)
+    split = materialize(ops.subject_split(watch), "split")
+    test = [ops.split_rows(materialize(d, "device"), split, "test") for d in a.device_vectors(spark, sf_dir)]
+    keys = list(model.on)
+    columns = ["prediction", "probability", "predicted_activity"]
+    both = scored.select(*keys, F.struct(*columns).alias("one")).join(loaded.transform(*test).select(*keys, F.struct(*columns).alias("two")), keys, "full")
+    return _agreement(both)
+
+
+def _agreement(both: DataFrame) -> DataFrame:
+    same = F.coalesce(F.to_json("one") == F.to_json("two"), F.lit(False))
+    return both.agg(F.count(F.lit(1)).alias("windows"), F.sum(same.cast("long")).alias("equal"))
+
+
+def sequence_reload(spark, sf_dir):
+    """The same for the sequence model, with the candidates of its stored history."""
+    data = materialize(a.vector_channels(spark, sf_dir), "channels")
+    split = materialize(ops.subject_split(data), "split")
+    parts = {name: ops.split_rows(data, split, name) for name in ("train", "val", "test")}
+    path = new_table_path(spark, "sequence-model")
+    candidates = [ops.SequenceCandidate(16, (8,), 15), ops.SequenceCandidate(8, (8,), 15)]
+    best = ops.sequence_fit(parts["train"], parts["val"], 4, candidates, save_to=path)
+    loaded = ops.SequenceModel.load(path)
+    if (loaded.history, loaded.candidate, loaded.validation_accuracy) != (best.history, best.candidate, best.validation_accuracy):
+        raise AssertionError("the stored history is another")
+    one, two = (m.transform(parts["test"]).select("vec_id", F.struct("prediction", "probability").alias(n)) for m, n in ((best, "one"), (loaded, "two")))
+    return _agreement(one.join(two, "vec_id", "full")).withColumn("candidates", F.lit(len(loaded.history)).cast("long"))
+
+
+def distinct_sketches(spark, sf_dir):
+    """Distinct suppliers and orders from sketches stored for each line status and united
+    later, held against the union of another cut of the same rows and against exact counts."""
+    readings = a.lineitem_readings(spark, sf_dir).select("side", "activity_label", "subject_id", "l_orderkey")
+    cols = ["subject_id", "l_orderkey"]
+    cuts = [materialize(ops.distinct_sketches(readings, cols, by=[by]), "distinct-sketches") for by in ("side", "activity_label")]
+    united, whole = (ops.united_distinct(c, cols) for c in cuts)
+    exact = readings.agg(*[F.count_distinct(c).alias(c) for c in cols])
+    rows = [
+        df.select(F.lit(i).alias("at"), F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("n")) for c in cols])))
+        for i, df in enumerate((united, whole, exact))
+    ]
+    told = rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("column").agg(*[F.max(F.when(F.col("at") == i, F.col("n"))).alias(n) for i, n in enumerate(("united", "whole", "exact"))])
+    # three standard errors of a sketch of this size
+    near = F.abs(F.col("united") - F.col("exact")) <= F.greatest(F.col("exact") * (3 * 0.8 / 2 ** (SKETCH_LG_K / 2)), F.lit(1))
+    return told.select("column", F.col("exact").alias("distinct_values"), (F.col("united") == F.col("whole")).alias("unions_agree"), near.alias("within_error"))
+
+
+def _objects(spark, sf_dir) -> str:
+    """Readings as objects of 51 subjects, each a folder of parts, some of them never written."""
+    subject = (F.col("l_suppkey") % 51).cast("int")
+    device = F.when(F.col("l_linestatus") == "O", "watch").otherwise("phone")
+    sensor = F.when(F.col("l_linenumber") % 2 == 1, "accel").otherwise("gyro")
+    cells = [subject, F.col("l_returnflag"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.lit("1.0;")]
+    rows = a.table(spark, sf_dir, "lineitem").select(
+        device.alias("device"),
+        sensor.alias("sensor"),
+        F.concat_ws("_", F.lit("data"), subject.cast("string"), sensor, F.concat(device, F.lit(".txt"))).alias("object"),
+        F.concat_ws(",", *[c.cast("string") for c in cells]).alias("value"),
+        (subject * 4 + F.when(device == "watch", 0).otherwise(2) + F.when(sensor == "accel", 0).otherwise(1)).alias("n"),
+    )
+    path = new_table_path(spark, "objects")
+    rows.where("n % 11 != 5").drop("n").repartition("device", "sensor", "object").write.partitionBy("device", "sensor", "object").text(path)
+    return path
+
+
+def object_manifest(spark, sf_dir):
+    """Every object that 51 subjects should have, and whether it is there."""
+    subjects = a.lineitem_readings(spark, sf_dir).select((F.col("subject_id") % 51).alias("subject_id"))
+    found = sources.object_manifest(spark, _objects(spark, sf_dir), subjects, pattern=sources.FOLDER_PATTERN)
+    return found.select(F.col("file_subject").cast("long").alias("subject_id"), "device", "sensor", (F.col("files") > 0).alias("present"), "status")
+
+
+def stream_keys(spark, sf_dir):
+    """Readings of each object by the keys in its path, and how many name another subject."""
+    rows = sources.read_streams(spark, _objects(spark, sf_dir), pattern=sources.FOLDER_PATTERN)
+    wrong = F.sum((~F.col("file_subject").eqNullSafe(F.col("subject_id"))).cast("long"))
+    return rows.groupBy(F.col("file_subject").cast("long").alias("subject_id"), "device", "sensor").agg(F.count(F.lit(1)).alias("rows"), wrong.alias("misplaced"))
+
+
+def _run_config(spark, sf_dir, **how) -> PipelineConfig:
+    root = new_table_path(spark, "raw-streams")
+    a.write_raw_streams(spark, sf_dir, root)
+    return PipelineConfig(raw=root, work=new_table_path(spark, "run"), ticks_per_second=1e3, **how)
+
+
+def activity_run(spark, sf_dir):
+    """The whole feature pipeline over raw text of all lines: rows that each step wrote, as
+    observed in its manifest."""
+    tables = run_pipeline(spark, _run_config(spark, sf_dir, size=20, step=10, trees=3), eda=True)
+    told = tables["manifest"].where(F.col("table").rlike("_features$|_windows$|^rejects$|^split$|_boxes$|_correlation$"))
+    return told.select("table", "rows")
+
+
+def sequence_run(spark, sf_dir):
+    """The same for the raw-window pipeline."""
+    how = {"size": 12, "step": 6, "candidates": (ops.SequenceCandidate(4, (8,), 5),)}
+    tables = run_sequence(spark, _run_config(spark, sf_dir, **how))
+    return tables["manifest"].where(F.col("table").rlike("_windows$|^rejects$|^split$|^channels$")).select("table", "rows")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 ALL: dict[str, Query] = {
@@ -564,5 +697,15 @@ ALL: dict[str, Query] = {
         stacked_accuracy_by_activity,
         feature_importance,
         sequence_predictions,
+        labelled_rows,
+        accuracy_cross_check,
+        tree_split,
+        model_reload,
+        sequence_reload,
+        distinct_sketches,
+        object_manifest,
+        stream_keys,
+        activity_run,
+        sequence_run,
     )
 }
