@@ -15,7 +15,6 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strideframe.functions import decode, nan_to_null
@@ -130,40 +129,42 @@ def _merged_panes(numbered: DataFrame, cols: Sequence[str], keys: Sequence[str],
     full = panes.where(F.col("_rows") == pane).selectExpr(*group, "_pane", f"_pane div {k} AS _block", *each("{m}"), *each("{q}"))
 
     # all panes have one size, so the moments of a run of them are plain means and variances
-    block = W.partitionBy(*keys, "_block")
-    ahead = block.orderBy("_pane").rowsBetween(W.unboundedPreceding, W.currentRow)
-    back = block.orderBy(F.desc("_pane")).rowsBetween(W.unboundedPreceding, W.currentRow)
-
-    def run(w, side: str) -> list:
-        out = [F.count(F.lit(1)).over(w).alias(f"_{side}")]
-        for c in cols:
-            m, q = F.col(f"`{c}_m`"), F.col(f"`{c}_q`")
-            out += [F.avg(m).over(w).alias(f"{c}_{side}m"), (F.sum(q).over(w) + F.var_pop(m).over(w) * F.count(F.lit(1)).over(w) * pane).alias(f"{c}_{side}q")]
-        return out
-
-    both = full.select(*keys, "_pane", *run(ahead, "a"), *run(back, "b"))
-    # a pane ends at most one window and begins at most one
-    ends = F.when((F.col("_pane") >= k - 1) & ((F.col("_pane") - (k - 1)) % hop == 0), ((F.col("_pane") - (k - 1)) / hop).cast("long"))
-    begins = F.when((F.col("_pane") % hop == 0) & (F.col("_pane") % k != 0), (F.col("_pane") / hop).cast("long"))
-
-    def part(side: str, is_end: bool, index):
-        sides = [F.struct(F.col(f"`{c}_{side}m`").alias("m"), F.col(f"`{c}_{side}q`").alias("q")).alias(f"s{i}") for i, c in enumerate(cols)]
-        return F.struct(index.alias("window_index"), F.lit(is_end).alias("is_end"), F.col(f"_{side}").alias("n"), *sides)
-
-    parts = both.select(*keys, F.explode(F.array(part("a", True, ends), part("b", False, begins))).alias("_part")).select(*keys, "_part.*").where("window_index IS NOT NULL")
-    grouped = parts.groupBy(*keys, "window_index").agg(
-        F.sum("n").alias("_n"),
-        F.max("is_end").alias("_ended"),
-        *[F.sum(F.col(f"s{i}.m") * F.col("n")).alias(f"_t{i}") for i in range(len(cols))],
-        *[F.sum(f"s{i}.q").alias(f"_q{i}") for i in range(len(cols))],
-        # the two parts' means lie apart by their difference
-        *[F.when(F.count(F.lit(1)) == 2, (F.max(f"s{i}.m") - F.min(f"s{i}.m")) * F.sqrt(F.min("n").cast("double")) * F.sqrt(F.max("n").cast("double"))).otherwise(F.lit(0.0)).alias(f"_d{i}") for i in range(len(cols))],
+    block = f"PARTITION BY {', '.join([*group, '_block'])}"
+    runs = {
+        "a": f"OVER ({block} ORDER BY _pane ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+        "b": f"OVER ({block} ORDER BY _pane DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+    }
+    both = full.selectExpr(
+        *group,
+        "_pane",
+        *[f"count(1) {w} AS _{r}" for r, w in runs.items()],
+        *[f"avg(`{c}_m`) {w} AS _m{r}{i}" for r, w in runs.items() for i, c in enumerate(cols)],
+        *[f"sum(`{c}_q`) {w} + var_pop(`{c}_m`) {w} * count(1) {w} * {pane} AS _q{r}{i}" for r, w in runs.items() for i, c in enumerate(cols)],
+    )
+
+    def part(run: str, is_end: bool, index: str) -> str:
+        """A run of panes as a part of the window that ends, or begins, with this pane."""
+        moments = ", ".join(f"'m{i}', _m{run}{i}, 'q{i}', _q{run}{i}" for i in range(len(cols)))
+        return f"named_struct('window_index', {index}, 'is_end', {str(is_end).lower()}, 'n', _{run}, {moments})"
+
+    # a pane ends at most one window and begins at most one; a window that is one block has no
+    # second part
+    ends = part("a", True, f"CASE WHEN _pane >= {k - 1} AND (_pane - {k - 1}) % {hop} = 0 THEN (_pane - {k - 1}) div {hop} END")
+    begins = part("b", False, f"CASE WHEN _pane % {hop} = 0 AND _pane % {k} != 0 THEN _pane div {hop} END")
+    parts = both.selectExpr(*group, f"inline(array({ends}, {begins}))").where("window_index IS NOT NULL")
+    each_column = range(len(cols))
+    merged = parts.groupBy(*keys, "window_index").agg(
+        F.expr("sum(n) AS _n"),
+        F.expr("max(is_end) AS _ended"),
+        *[F.expr(f"sum(m{i} * n) AS _t{i}") for i in each_column],
+        *[F.expr(f"sum(q{i}) AS _q{i}") for i in each_column],
+        # the parts' means lie apart by their difference, weighted by both parts' panes
+        *[F.expr(f"if(count(1) = 2, power(max(m{i}) - min(m{i}), 2) * min(n) * max(n), 0D) AS _d{i}") for i in each_column],
     )
     out = []
     for i, c in enumerate(cols):
-        out.append(f"_t{i} / _n AS `{c}_mean`")
-        out.append(f"sqrt((_q{i} + _d{i} * _d{i} / _n * {pane}) / (_n * {pane})) AS `{c}_std`")
-    return grouped.where(F.col("_ended") & (F.col("_n") == k)).selectExpr(*group, "window_index", *out)
+        out += [f"_t{i} / _n AS `{c}_mean`", f"sqrt((_q{i} + _d{i} / _n * {pane}) / (_n * {pane})) AS `{c}_std`"]
+    return merged.where(f"_ended AND _n = {k}").selectExpr(*group, "window_index", *out)
 
 
 def collect_windows(

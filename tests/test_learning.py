@@ -34,7 +34,7 @@ def test_index_goes_by_frequency_then_name(spark):
 
 def test_probabilities_have_a_place_for_unseen_labels(model, data):
     r = model.base_probabilities(*part(data, "val")).first()
-    assert len(r.watch_prob) == len(model.labels) + 1 == len(r.phone_prob)
+    assert len(r.from_watch) == len(model.labels) + 1 == len(r.from_phone)
 
 
 def test_stack_beats_its_bases_and_the_majority(model, data):
