@@ -16,7 +16,7 @@ from strideframe import operators as ops
 from strideframe.functions import decode
 from strideframe.plans.exploration import explore_device, explore_fused
 from strideframe.schemas import CLASS_INDEX, STREAMS, WINDOW_META_COLUMNS, axes, feature_columns
-from strideframe.sources import materialize, read_marked, read_table, table_exists, write_table
+from strideframe.sources import materialize, read_marked, read_table, rows_written, table_exists, write_table
 
 log = logging.getLogger(__name__)
 
@@ -62,7 +62,7 @@ def _timed(step: str):
 
 class Run:
     """The tables of one run, each written below ``cfg.work`` and read back, and its manifest:
-    the step that wrote a table, its rows as observed while it was written, and the seconds."""
+    the step that wrote a table, its rows by the footers of its files, and the seconds."""
 
     def __init__(self, spark: SparkSession, cfg: PipelineConfig):
         self.spark, self.cfg = spark, cfg
@@ -72,13 +72,14 @@ class Run:
 
     def put(self, step: str, name: str, table: DataFrame, at: str | None = None) -> DataFrame:
         start = time.monotonic()
-        rows = write_table(table, self.cfg.at(at or name))
+        write_table(table, self.cfg.at(at or name))
+        rows = rows_written(self.spark, self.cfg.at(at or name))
         self.manifest.append((step, name, rows, time.monotonic() - start))
         self.tables[name] = read_table(self.spark, self.cfg.at(at or name), table.schema)
         return self.tables[name]
 
     def keep(self, step: str, name: str) -> DataFrame:
-        """A table that an earlier run wrote; its rows were observed then."""
+        """A table that an earlier run wrote; its rows were noted then."""
         self.manifest.append((step, name, None, 0.0))
         self.tables[name] = read_table(self.spark, self.cfg.at(name))
         return self.tables[name]

@@ -14,6 +14,7 @@ from strideframe.sources.storage import (
     preview,
     read_or_compute,
     read_table,
+    rows_written,
     shared_dir,
     table_exists,
     write_table,
@@ -32,6 +33,7 @@ __all__ = [
     "read_stream",
     "read_streams",
     "read_table",
+    "rows_written",
     "shared_dir",
     "table_exists",
     "write_readings",
