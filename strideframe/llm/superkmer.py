@@ -253,8 +253,9 @@ def _send(batch: pa.RecordBatch, size: int, hot: np.ndarray, buckets: int) -> pa
         settled, settled_len = spans(np.flatnonzero(again), np.zeros(int(again.sum()), np.int64))
         first = np.flatnonzero(~again)
         moved, moved_len = spans(first, home[first])
-        # settled runs ride along in the bucket of their document
-        where = np.concatenate((doc[settled] % buckets, bucket[moved]))
+        # settled runs ride along in a bucket that their document's text names
+        ride = (_mix(text_hash[doc[settled]].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        where = np.concatenate((ride, bucket[moved]))
         kind = np.concatenate((np.zeros(len(settled), bool), np.ones(len(moved), bool)))
         all_at, all_len = np.concatenate((settled, moved)), np.concatenate((settled_len, moved_len))
         order = np.argsort(where, kind="stable")
@@ -381,7 +382,10 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", si
             yield bucket.runs()
 
     packets = base.mapInArrow(send, _PACKET)
-    return packets.repartition(math.ceil(buckets / BUCKETS_TOGETHER), "bucket").sortWithinPartitions("bucket").mapInArrow(meet, _RUNS)
+    # every partition gets as many buckets as any other, but for one
+    tasks = math.ceil(buckets / BUCKETS_TOGETHER)
+    dealt = packets.repartitionById(tasks, F.expr(f"cast(bucket % {tasks} AS int)"))
+    return dealt.sortWithinPartitions("bucket").mapInArrow(meet, _RUNS)
 
 
 def covered(runs: list[tuple[int, int]], n_words: int, size: int = WINDOW) -> np.ndarray:
