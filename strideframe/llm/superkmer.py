@@ -122,18 +122,29 @@ def _minimisers(words: Words, size: int) -> np.ndarray:
     return _sliding_min(_rolling(words.hashes, MINIMISER_WORDS), size - MINIMISER_WORDS + 1)
 
 
+def _may_repeat(hashes: np.ndarray) -> np.ndarray:
+    """Places of hashes that may occur twice: their leading bits are those of one that does."""
+    ordered = np.sort(hashes)
+    bits = max(len(hashes), 1).bit_length() + 3
+    shift = np.uint64(64 - bits)
+    marks = np.zeros(1 << bits, dtype=bool)
+    marks[ordered[1:][ordered[1:] == ordered[:-1]] >> shift] = True
+    return np.flatnonzero(marks[hashes >> shift])
+
+
 def _repeats(hashes: np.ndarray, places: np.ndarray, codes: np.ndarray, size: int) -> np.ndarray:
     """Which of the windows at ``places`` of ``codes`` equal an earlier one in the list.
 
     Sorted by hash, equal windows are neighbours; their words are compared, and where
     two windows only share a hash, that group is told apart by the words themselves.
     """
-    order = np.argsort(hashes, kind="stable")
+    some = _may_repeat(hashes)
+    order = some[np.argsort(hashes[some], kind="stable")]
     ordered = hashes[order]
     new = np.ones(len(order), dtype=bool)
     new[1:] = ordered[1:] != ordered[:-1]
     first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    out = np.zeros(len(order), dtype=bool)
+    out = np.zeros(len(hashes), dtype=bool)
     later, earlier = order[~new], first[~new]
     same = np.ones(len(later), dtype=bool)
     for k in range(size):
@@ -318,7 +329,10 @@ class _Bucket:
             codes = c["codes"]
             places = _gather(begin, c["n"].astype(np.int64))
             hashes = _rolling(known[codes], size)[places]
-            span = np.repeat(np.arange(len(begin)), c["n"])
+            # windows that stand alone need no order
+            some = _may_repeat(hashes)
+            hashes, places = hashes[some], places[some]
+            span = np.repeat(np.arange(len(begin)), c["n"])[some]
             start = c["start"][span] + (places - begin[span])
             keys = (start, c["hash"][span], c["id"][span], c["null"][span])
             order = np.lexsort(keys)
