@@ -39,6 +39,9 @@ BUCKET_BYTES = 8 * 1024 * 1024
 #: Buckets in one partition; they are worked on one after the other.
 BUCKETS_TOGETHER = 2
 LEVEL = 6
+#: Words that are hashed at a time, and the bytes up to which they are hashed together.
+HASH_WORDS = 1 << 16
+SHORT_WORD = 64
 #: Bits of the filter that tells which documents lose words, whatever their number.
 FILTER_BITS = 1 << 26
 
@@ -87,6 +90,31 @@ def _sliding_min(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(at[: len(at) - rest], at[rest:]) if rest else at
 
 
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of binary words, and where each begins and the last one ends."""
+    if not len(words):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    return np.frombuffer(words.buffers()[2], dtype=np.uint8), ends
+
+
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """A hash of each word: the sum of one for each byte at its place; long words by xxhash."""
+    data, ends = _bytes_of(words)
+    out = np.zeros(len(words), dtype=np.uint64)
+    for at in range(0, len(words), HASH_WORDS):
+        begin, n = ends[at : at + HASH_WORDS + 1][:-1], np.diff(ends[at : at + HASH_WORDS + 1])
+        short = np.flatnonzero((n > 0) & (n <= SHORT_WORD))
+        if len(short):
+            size = n[short]
+            place = _gather(np.zeros(len(size), np.int64), size)
+            own = _mix((place << 8 | data[_gather(begin[short], size)]).astype(np.uint64) * _ODD)
+            out[at + short] = _mix(np.add.reduceat(own, np.cumsum(size) - size) * _ODD + size.astype(np.uint64))
+        for i in np.flatnonzero(n > SHORT_WORD).tolist():
+            out[at + i] = xxhash.xxh64_intdigest(data[begin[i] : begin[i] + n[i]].tobytes())
+    return out
+
+
 class Words:
     """The words of some documents: exact codes, and a hash for each place."""
 
@@ -100,13 +128,28 @@ class Words:
         self.counts = np.diff(self.ends, prepend=0)
         coded = flat.filter(real).dictionary_encode()
         self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        self.vocabulary = [w.encode() for w in coded.dictionary.to_pylist()]
+        self.vocabulary = coded.dictionary.cast(pa.binary())
         self._hash()
 
     def _hash(self) -> None:
-        digest = xxhash.xxh64_intdigest
-        known = np.fromiter(map(digest, self.vocabulary), dtype=np.uint64, count=len(self.vocabulary))
-        self.hashes = known[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
+        self.hashes = _word_hashes(self.vocabulary)[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
+
+
+def _spaced(words: pa.Array) -> pa.Array:
+    """Each word with a space behind it."""
+    return pc.binary_join_element_wise(words, b"", b" ")
+
+
+def _joined_words(spaced: pa.Array) -> np.ndarray:
+    """The bytes of spaced words, one after the other."""
+    data, ends = _bytes_of(spaced)
+    return data[ends[0] : ends[-1]]
+
+
+def _split_words(joined: np.ndarray) -> pa.Array:
+    """The spaced words again, without a copy."""
+    ends = np.append(0, np.flatnonzero(joined == 32) + 1).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(joined)])
 
 
 def _windows(words: Words, size: int) -> np.ndarray:
@@ -269,6 +312,7 @@ def _send(batch: pa.RecordBatch, size: int, hot: np.ndarray, buckets: int) -> pa
         where = np.concatenate((ride, bucket[moved]))
         kind = np.concatenate((np.zeros(len(settled), bool), np.ones(len(moved), bool)))
         all_at, all_len = np.concatenate((settled, moved)), np.concatenate((settled_len, moved_len))
+        spaced = _spaced(words.vocabulary)
         order = np.argsort(where, kind="stable")
         edges = np.flatnonzero(np.diff(where[order], prepend=-1))
         for b, e in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
@@ -290,7 +334,7 @@ def _send(batch: pa.RecordBatch, size: int, hot: np.ndarray, buckets: int) -> pa
                     local & 255,
                     local >> 8 & 255,
                     local >> 16,
-                    np.frombuffer(b" ".join(words.vocabulary[c] for c in used[rank].tolist()), dtype=np.uint8),
+                    _joined_words(spaced.take(pa.array(used[rank]))),
                 ]
             )
             out.append((int(where[own[0]]), packed))
@@ -301,29 +345,35 @@ class _Bucket:
     """The packets of one bucket, told apart by exact words."""
 
     def __init__(self, size: int):
-        self.size, self.known, self.parts = size, {}, []
+        self.size, self.parts, self.words = size, [], []
 
     def add(self, data: bytes) -> None:
         ids, hashes, nulls, table, low, middle, high, words = _unpack(data)
-        known, own = self.known, words.tobytes().split()
-        here = np.fromiter((known.setdefault(w, len(known)) for w in own), dtype=np.int32, count=len(own))
-        codes = here[low + 256 * (middle + 256 * high.astype(np.int32))] if len(low) else np.zeros(0, np.int32)
+        codes = low + 256 * (middle + 256 * high.astype(np.int32))
+        self.words.append(_split_words(words))
         self.parts.append((ids, hashes, nulls, _from_planes(table).reshape(4, -1), codes))
 
+    def _common(self) -> tuple[list[np.ndarray], pa.Array]:
+        """The codes of each packet as codes of the bucket's words, and those words."""
+        coded = pa.concat_arrays(self.words).dictionary_encode()
+        common = coded.indices.to_numpy(zero_copy_only=False)
+        begin = np.cumsum([0, *map(len, self.words)])
+        return [common[codes + at] for (*_, codes), at in zip(self.parts, begin.tolist(), strict=False)], coded.dictionary
+
     def runs(self) -> pa.RecordBatch:
         """Runs of windows that are not the earliest of their kind."""
         size = self.size
         cols: dict[str, list[np.ndarray]] = {k: [] for k in ("id", "hash", "null", "start", "n", "codes")}
         done: list[tuple] = []
-        for ids, hashes, nulls, (d, start, n, travels), codes in self.parts:
+        known, vocabulary = self._common()
+        for (ids, hashes, nulls, (d, start, n, travels), _), codes in zip(self.parts, known, strict=True):
             go = travels == 1
             done.append((ids[d[~go]], hashes[d[~go]], nulls[d[~go]], start[~go], n[~go]))
             for k, v in zip(cols, (ids[d[go]], hashes[d[go]], nulls[d[go]], start[go], n[go], codes), strict=True):
                 cols[k].append(v)
         c = {k: np.concatenate(v) for k, v in cols.items()}
         if len(c["n"]):
-            digest = xxhash.xxh64_intdigest
-            known = np.fromiter(map(digest, self.known), dtype=np.uint64, count=len(self.known))
+            known = _word_hashes(vocabulary)
             length = c["n"].astype(np.int64) + size - 1
             begin = np.cumsum(length) - length
             codes = c["codes"]

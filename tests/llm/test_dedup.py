@@ -3,6 +3,8 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +195,14 @@ def test_the_stage_lets_n_chars_follow_and_keeps_its_type(spark):
     stage = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, "")
     assert stage.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
     assert sorted(r.n_chars for r in stage.collect()) == [5] * 5 + [56]
+
+
+def test_words_travel_whole_and_hash_alike_wherever_they_stand():
+    words = ["a", "ab", "ba", "é", "x" * 64, "x" * 65, "long" * 5_000, "a\u00a0b"]
+    some = pa.array([w.encode() for w in words], pa.binary())
+    assert superkmer._split_words(superkmer._joined_words(superkmer._spaced(some))).to_pylist() == [w.encode() + b" " for w in words]
+    hashes = superkmer._word_hashes(some)
+    assert len(set(hashes.tolist())) == len(words)
+    assert superkmer._word_hashes(some[2:]).tolist() == hashes[2:].tolist()
+    none = pa.array([], pa.binary())
+    assert len(superkmer._word_hashes(none)) == len(superkmer._joined_words(superkmer._spaced(none))) == len(superkmer._split_words(np.zeros(0, np.uint8))) == 0
