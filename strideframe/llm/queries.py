@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -57,9 +57,14 @@ def op4_ads_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads_ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-def raw_turns(conversations: DataFrame) -> DataFrame:
+#: Percent of turns that stand without a marker in raw transcripts.
+UNMARKED = 30
+
+
+def raw_turns(conversations: DataFrame, unmarked: int = UNMARKED) -> DataFrame:
     """Turns as they would stand in raw transcripts of six styles, one for each
-    conversation: with several kinds of markers, and with some turns unmarked."""
+    conversation: with several kinds of markers, and ``unmarked`` percent of them, by
+    hash, without one. Null texts are empty; null roles have no marker."""
     style = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(6))
     names = [
         F.create_map(*[F.lit(x) for pair in zip(transcripts.ROLES, own, strict=True) for x in pair])
@@ -73,15 +78,26 @@ def raw_turns(conversations: DataFrame) -> DataFrame:
         )
     ]
     prefix = F.coalesce(*[F.when(style == i, m[F.col("role")]) for i, m in enumerate(names)], F.lit(""))
+    left_off = F.pmod(F.crc32(F.concat_ws(":", F.lit("unmarked"), "conv_id", "turn")), F.lit(100)) < unmarked
+    prefix = F.when(left_off, F.lit("")).otherwise(prefix)
     return conversations.select("conv_id", "turn", "role", F.concat(prefix, F.coalesce("text", F.lit(""))).alias("raw"))
 
 
-def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = raw_turns(table(spark, sf_dir, "conversations"))
-    model = transcripts.fit(transcripts.labelled_lines(turns))
+def judged_transcript(conv_id) -> Column:
+    """The fifth of the conversations that no role is learned from."""
+    return F.pmod(F.crc32(conv_id.cast("string")), F.lit(5)) == 0
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str, unmarked: int = UNMARKED) -> DataFrame:
+    """The turns found in every raw transcript, by a model of four fifths of them. Rows with a
+    null id are transcripts of their own, equal ones one; an empty table gives no rows."""
+    turns = raw_turns(table(spark, sf_dir, "conversations"), unmarked)
+    known = turns.where(~judged_transcript(F.col("conv_id")))
+    model = transcripts.fit(transcripts.labelled_lines(known))
     own = F.array_sort(F.collect_list(F.struct("turn", "raw")))
-    whole = turns.groupBy("conv_id").agg(F.array_join(F.transform(own, lambda t: t["raw"]), "\n").alias("transcript"))
-    return transcripts.parse_transcripts(whole, model)
+    single = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "raw"))
+    whole = turns.groupBy("conv_id", single.alias("single")).agg(F.array_join(F.transform(own, lambda t: t["raw"]), "\n\n").alias("transcript"))
+    return transcripts.parse_transcripts(whole.select("conv_id", "transcript"), model)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

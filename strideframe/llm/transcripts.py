@@ -1,10 +1,11 @@
 """Chat formatting: roles of raw transcripts by a hidden Markov model.
 
 Every line of a transcript has a hidden role. What is seen of it is its speaker
-marker, if it has one, and a few features of the line; roles tend to stay until a
-marker comes. The most likely roles are found by Viterbi over the whole transcript;
-a new turn begins where the role changes or a marker stands, and turns are rendered
-in one canonical form.
+marker, if it has one, whether a blank line stands before it, and a few features of the
+line; roles tend to stay until a marker or a blank line comes. The most likely roles
+are found by Viterbi over the whole transcript; a new turn begins where the role
+changes or a marker names the role that was found, and turns are rendered in one
+canonical form.
 
 The probabilities are counted on lines with known roles; the counts are small tables
 that do not grow with the data.
@@ -33,7 +34,12 @@ _SPEAKER = {name: role for role, names in SPEAKERS.items() for name in names.spl
 _MARKER = re.compile(r"\s*(?:#{1,4}\s*|\[|<\|?|\*\*)?\s*([A-Za-z]{1,14})\s*(?:\|?>|\]|\*\*)?\s*(:|-(?=\s)|>(?=\s)|$)\s*")
 _WRAPPED = re.compile(r"\s*(?:#{1,4}\s*([A-Za-z]{1,14})\s*:?\s*$|\[([A-Za-z]{1,14})\]:?\s*|<\|([A-Za-z]{1,14})\|>\s*|\*\*([A-Za-z]{1,14}):?\*\*:?\s*)")
 MARKERS = (*ROLES, "none")
-KINDS = 8
+OPENS = 8
+KINDS = 16
+#: What a marker of the own role, and staying within a paragraph, count before any line is seen.
+PRIOR = 8.0
+#: What a marker of another role counts: it takes much to believe that a marker lies.
+WRONG = 0.001
 
 
 def marker(line: str) -> tuple[str, str]:
@@ -47,14 +53,49 @@ def marker(line: str) -> tuple[str, str]:
     return (role, line[m.end() :]) if role != "none" else ("none", line)
 
 
-def kind(text: str, first: bool) -> int:
-    """A line's features as one number: first of its transcript, a question, long."""
-    return 4 * first + 2 * text.rstrip().endswith("?") + (len(text) > 240)
+def kind(text: str, first: bool, opens: bool = False) -> int:
+    """A line's features as one number: behind a blank line, first of its transcript, a
+    question, long."""
+    return OPENS * opens + 4 * first + 2 * text.rstrip().endswith("?") + (len(text) > 240)
+
+
+def boundary(marked: bool, kind: int) -> int:
+    """Which table of moves leads to a line: 1 by a marker, 2 by a blank line alone, else 0."""
+    return 1 if marked else 2 if kind >= OPENS else 0
+
+
+@dataclass(frozen=True)
+class Line:
+    raw: str
+    marker: str
+    rest: str
+    kind: int
+    blanks: int
+
+
+def observe(transcript: str, first: bool = True, opens: bool = False) -> list[Line]:
+    """The lines that say something, each with the number of blank ones before it. Where blank
+    lines set marked lines apart, a marker inside a paragraph is text."""
+    out, blanks = [], 0
+    for line in transcript.split("\n"):
+        if line.strip():
+            m, rest = marker(line)
+            out.append((line, m, rest, blanks, blanks > 0 if out else opens))
+            blanks = 0
+        else:
+            blanks += 1
+    apart = opens or any(m != "none" and o for _, m, _, _, o in out)
+    lines = []
+    for i, (line, m, rest, before, o) in enumerate(out):
+        if i and apart and not o:
+            m, rest = "none", line
+        lines.append(Line(line, m, rest, kind(rest, first and not i, o), before))
+    return lines
 
 
 @dataclass(frozen=True)
 class RoleModel:
-    """Log probabilities: the first role, role to role without and with a marker, and
+    """Log probabilities: the first role, role to role by :func:`boundary`, and
     markers and line kinds by role."""
 
     start: list[float]
@@ -67,8 +108,8 @@ class RoleModel:
         n = range(len(ROLES))
         seen = [[self.marker[r][MARKERS.index(m)] + self.kind[r][k] for r in n] for m, k in lines]
         best, back = [self.start[r] + seen[0][r] for r in n] if seen else [], []
-        for (m, _), own in zip(lines[1:], seen[1:], strict=True):
-            move = self.move[m != "none"]
+        for (m, k), own in zip(lines[1:], seen[1:], strict=True):
+            move = self.move[boundary(m != "none", k)]
             came = [max(n, key=lambda p, r=r: best[p] + move[p][r]) for r in n]
             best = [best[came[r]] + move[came[r]][r] + own[r] for r in n]
             back.append(came)
@@ -79,16 +120,20 @@ class RoleModel:
 
 
 def parse(transcript: str | None, model: RoleModel) -> list[tuple[str, str]]:
-    """``(role, text)`` of the turns; none for a text without lines that say anything."""
-    marked = [marker(line) for line in (transcript or "").split("\n")]
-    seen = [(m, kind(rest, i == 0)) for i, (m, rest) in enumerate(marked)]
+    """``(role, text)`` of the turns; none for a text without lines that say anything.
+
+    A marker is cut where it names the role that was found, and stays as text elsewhere. A
+    marked turn without text is a turn with an empty text."""
+    lines = observe(transcript or "")
     turns: list[tuple[int, list[str]]] = []
-    for (m, rest), role in zip(marked, model.roles(seen), strict=True):
-        if not turns or m != "none" or role != turns[-1][0]:
+    for line, role in zip(lines, model.roles([(x.marker, x.kind) for x in lines]), strict=True):
+        named = line.marker == ROLES[role]
+        if not turns or named or role != turns[-1][0]:
             turns.append((role, []))
-        turns[-1][1].append(rest)
-    joined = [(ROLES[r], "\n".join(own).strip("\n ")) for r, own in turns]
-    return [t for t in joined if t[1]]
+        else:
+            turns[-1][1].extend([""] * line.blanks)
+        turns[-1][1].append(line.rest if named else line.raw)
+    return [(ROLES[r], "\n".join(own).strip("\n ")) for r, own in turns]
 
 
 def render(turns: list[tuple[str, str]]) -> str:
@@ -99,11 +144,14 @@ def render(turns: list[tuple[str, str]]) -> str:
 def fit(lines: DataFrame) -> RoleModel:
     """From ``role, before, marker, kind`` of lines with known roles: ``before`` is the
     role of the line before, null for a first line. Other roles are left out; every
-    count gets one more, so that an empty table gives even chances."""
+    count gets one more, :data:`PRIOR` where a marker names the role or a line goes on
+    within a paragraph, and :data:`WRONG` where a marker names another role."""
     known = lines.where(F.col("role").isin(*ROLES)).groupBy("role", "before", "marker", "kind").count().collect()
     start = [1.0] * 3
-    move = [[[1.0] * 3 for _ in ROLES] for _ in range(2)]
-    marks, kinds = [[1.0] * 4 for _ in ROLES], [[1.0] * KINDS for _ in ROLES]
+    move = [[[1.0] * 3 for _ in ROLES] for _ in range(3)]
+    marks, kinds = [[WRONG] * 3 + [1.0] for _ in ROLES], [[1.0] * KINDS for _ in ROLES]
+    for role in range(len(ROLES)):
+        marks[role][role] = move[0][role][role] = PRIOR
     for r in known:
         role = ROLES.index(r["role"])
         marks[role][MARKERS.index(r["marker"])] += r["count"]
@@ -111,7 +159,7 @@ def fit(lines: DataFrame) -> RoleModel:
         if r["before"] is None:
             start[role] += r["count"]
         elif r["before"] in ROLES:
-            move[r["marker"] != "none"][ROLES.index(r["before"])][role] += r["count"]
+            move[boundary(r["marker"] != "none", r["kind"])][ROLES.index(r["before"])][role] += r["count"]
 
     def logs(row: list[float]) -> list[float]:
         return [math.log(x / sum(row)) for x in row]
@@ -120,15 +168,16 @@ def fit(lines: DataFrame) -> RoleModel:
 
 
 def labelled_lines(turns: DataFrame, transcript_turn: str = "raw", role: str = "role", conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Lines for :func:`fit` from turns as they stand in a transcript, with their roles."""
+    """Lines for :func:`fit` from turns as they stand in a transcript, a blank line between
+    any two, with their roles. Null and empty turns have no lines; rows with null roles are
+    lines that :func:`fit` leaves out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for own, last, first, raw in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                for i, line in enumerate((raw or "").split("\n")):
-                    m, rest = marker(line)
-                    rows.append((own, own if i else last, m, kind(rest, first and i == 0)))
+                for i, line in enumerate(observe(raw or "", first, not first)):
+                    rows.append((own, own if i else last, line.marker, line.kind))
             cols = list(zip(*rows, strict=True)) or [()] * 4
             kinds = (pa.string(), pa.string(), pa.string(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["role", "before", "marker", "kind"])

@@ -222,13 +222,28 @@ def test_viterbi_against_all_paths(spark):
     assert model.roles([]) == []
 
 
-def test_transcripts_recover_roles(spark):
+@pytest.mark.parametrize(("unmarked", "share"), [(0, 0.98), (30, 0.9), (50, 0.8)])
+def test_transcripts_recover_roles(spark, unmarked, share):
     sf = "/root/testdata/sf0.01"
-    got = queries.op5_chat_formatting(spark, sf).toPandas()
-    want = spark.read.parquet(f"{sf}/conversations.parquet").toPandas()
-    both = want.merge(got, on=["conv_id", "turn"], suffixes=("", "_got"))
-    assert len(got) == len(want) == len(both)
-    assert (both.role == both.role_got).mean() > 0.98 and (both.text == both.text_got).mean() > 0.98
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    want = turns.where(queries.judged_transcript(F.col("conv_id"))).toPandas()
+    got = queries.op5_chat_formatting(spark, sf, unmarked).toPandas()
+    both = want.merge(got, on=["conv_id", "turn"], how="left", suffixes=("", "_got"))
+    right = ((both.role == both.role_got) & (both.text == both.text_got)).mean()
+    assert right >= share, right
+
+
+def test_markers_are_cut_where_roles_agree(spark):
+    turns = queries.raw_turns(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))
+    model = transcripts.fit(transcripts.labelled_lines(turns))
+    text = "User: what is it?\n\nAssistant: I add.\nAnswer: the sum is 4\n\nUser:\n\nAssistant: more\n\nwhy so?"
+    assert transcripts.parse(text, model) == [
+        ("user", "what is it?"),
+        ("assistant", "I add.\nAnswer: the sum is 4"),
+        ("user", ""),
+        ("assistant", "more"),
+        ("user", "why so?"),
+    ]
 
 
 def test_odd_transcripts(spark):
