@@ -36,8 +36,10 @@ _WRAPPED = re.compile(r"\s*(?:#{1,4}\s*([A-Za-z]{1,14})\s*:?\s*$|\[([A-Za-z]{1,1
 MARKERS = (*ROLES, "none")
 OPENS = 8
 KINDS = 16
-#: What a marker of the own role, and staying within a paragraph, count before any line is seen.
+#: What a marker of the own role counts before any line is seen, and what staying within a
+#: paragraph does: a role that was seen in single lines only keeps its other lines, too.
 PRIOR = 8.0
+STAY = 1_000.0
 #: What a marker of another role counts: it takes much to believe that a marker lies.
 WRONG = 0.001
 
@@ -144,14 +146,14 @@ def render(turns: list[tuple[str, str]]) -> str:
 def fit(lines: DataFrame) -> RoleModel:
     """From ``role, before, marker, kind`` of lines with known roles: ``before`` is the
     role of the line before, null for a first line. Other roles are left out; every
-    count gets one more, :data:`PRIOR` where a marker names the role or a line goes on
-    within a paragraph, and :data:`WRONG` where a marker names another role."""
+    count gets one more, but :data:`PRIOR` where a marker names the role, :data:`STAY` where
+    a line goes on within a paragraph, and :data:`WRONG` where a marker names another role."""
     known = lines.where(F.col("role").isin(*ROLES)).groupBy("role", "before", "marker", "kind").count().collect()
     start = [1.0] * 3
     move = [[[1.0] * 3 for _ in ROLES] for _ in range(3)]
     marks, kinds = [[WRONG] * 3 + [1.0] for _ in ROLES], [[1.0] * KINDS for _ in ROLES]
     for role in range(len(ROLES)):
-        marks[role][role] = move[0][role][role] = PRIOR
+        marks[role][role], move[0][role][role] = PRIOR, STAY
     for r in known:
         role = ROLES.index(r["role"])
         marks[role][MARKERS.index(r["marker"])] += r["count"]
