@@ -1,8 +1,8 @@
 """Line dedup: which lines of each document stay, as run-length bitmaps.
 
 Every long line becomes a row (hash of its key, document, position). Rows are
-range-partitioned by hash and sorted by document and position within it, so that the
-first occurrence of each key streams past first and decides for the rest; no text is
+range-partitioned by hash and sorted by document within it, largest id first, so that the
+document that keeps a key streams past first and decides for the rest; no text is
 shuffled for that. What comes back is one compressed bitmap for each document.
 
 A key that a third of all lines share would fill one range. A bounded heavy-hitters
@@ -60,7 +60,8 @@ def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     # at most HEAVY_KEYS rows of eight bytes
     side = F.broadcast(heavy)
 
-    order = W.partitionBy("h1", "h2").orderBy(F.col("id").desc_nulls_last(), "pos")
+    # by id alone: lines of one document share a rank
+    order = W.partitionBy("h1", "h2").orderBy(F.col("id").desc_nulls_last())
     rest = lines.join(side, "h1", "left_anti").repartitionByRange("h1", "h2")
     ranked = rest.withColumn("doc_rank", F.dense_rank().over(order))
     ranked = ranked.withColumn("n_docs", F.max("doc_rank").over(W.partitionBy("h1", "h2")))

@@ -72,6 +72,16 @@ def test_line_boundaries(docs):
     assert got_lines(twice) == [(i, 3, 2, "") for i in range(4)] + [(4, 3, 0, f"{key}\n\n{key}")]
 
 
+def test_a_key_repeated_in_one_document_counts_once(docs, monkeypatch):
+    key = "k" * 40
+    pairs = [(0, "\n".join([key] * 7)), (1, f"{key}\nown\n{key}"), *((i, "l" * 50) for i in range(2, 6)), (6, "\n".join(["l" * 50] * 3))]
+    pairs += random_lines(11, 30)[7:]
+    nothing = line_dedup.heavy_keys
+    for names in (nothing, lambda lines: nothing(lines).where("false")):
+        monkeypatch.setattr(line_dedup, "heavy_keys", names)
+        assert got_lines(docs(pairs)) == sorted(slow_lines(pairs), key=repr)
+
+
 def test_odd_rows_lose_nothing_and_keep_their_columns(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert got_lines(odd, min_length=0, min_docs=3) == sorted(slow_lines(rows, 0, 3), key=repr)
