@@ -12,6 +12,9 @@ from strideframe.functions import parse_reading, snap_to_grid
 from strideframe.schemas import READING_SCHEMA
 from strideframe.sources.readings import CORRUPT_LINE, LINE
 
+#: Column of what is wrong with a line: ``column, reason`` of each fault.
+MARKS = "_marks"
+
 
 def clean_readings(
     df: DataFrame, col: str = "z", label: str = "activity_label", terminator: str = ";"
@@ -35,23 +38,22 @@ def rejected_readings(
     return df.where(_is_bad(parsed, col, label)).withColumn("reason", reason)
 
 
-def split_malformed(
+def mark_malformed(
     marked: DataFrame,
     schema: T.StructType = READING_SCHEMA,
     terminated: str = "z",
     required: Sequence[str] = ("subject_id", "activity_label", "timestamp"),
     terminator: str = ";",
-) -> tuple[DataFrame, DataFrame]:
-    """Clean rows and rejects of ``read_marked``; together they are all lines read.
+) -> DataFrame:
+    """The lines of ``read_marked`` with what is wrong with each, by column, in ``MARKS``.
 
-    A line is a reject if a cell with text does not parse, a required cell is missing, or
-    there are more cells than columns. Each reject has the line's text, the columns that
-    broke, in order, and their reasons: ``line, broken, reasons``. Cells that a short line
-    lacks, and empty cells that are not required, are null readings and no rejects.
+    Write it down where both sides of ``split_malformed`` are read, or each judges all lines.
     """
     names = schema.names
-    # the text of the cells, looked at for lines that the reader marked
-    texts = F.from_csv(CORRUPT_LINE, ", ".join(f"_{i} string" for i in range(len(names) + 1)))
+    # the text of the cells, looked at for lines that the reader marked; generated, as are the marks,
+    # so that neither is evaluated again for each place that names it
+    parts = F.from_csv(CORRUPT_LINE, ", ".join(f"_{i} string" for i in range(len(names) + 1)))
+    texts = F.col("_texts")
     cell = {n: F.when(F.col(CORRUPT_LINE).isNotNull(), F.trim(texts[f"_{i}"])) for i, n in enumerate(names)}
     parsed = parse_reading(terminated, terminator)
     marks = []
@@ -66,13 +68,33 @@ def split_malformed(
         marks.append(F.struct(F.lit(n).alias("column"), reason.alias("reason")))
     extra = F.when(texts[f"_{len(names)}"].isNotNull(), "too many cells")
     marks.append(F.struct(F.lit("line").alias("column"), extra.alias("reason")))
-    found = marked.withColumn("_marks", F.filter(F.array(*marks), lambda m: m["reason"].isNotNull()))
-    rejects = found.where(F.size("_marks") > 0).select(
+    found = F.filter(F.array(*marks), lambda m: m["reason"].isNotNull())
+    return marked.select("*", F.explode(F.array(parts)).alias("_texts")).select(*marked.columns, F.explode(F.array(found)).alias(MARKS))
+
+
+def split_malformed(
+    marked: DataFrame,
+    schema: T.StructType = READING_SCHEMA,
+    terminated: str = "z",
+    required: Sequence[str] = ("subject_id", "activity_label", "timestamp"),
+    terminator: str = ";",
+) -> tuple[DataFrame, DataFrame]:
+    """Clean rows and rejects of ``read_marked``, or of ``mark_malformed`` by the same rules;
+    together they are all lines read.
+
+    A line is a reject if a cell with text does not parse, a required cell is missing, or
+    there are more cells than columns. Each reject has the line's text, the columns that
+    broke, in order, and their reasons: ``line, broken, reasons``. Cells that a short line
+    lacks, and empty cells that are not required, are null readings and no rejects.
+    """
+    found = marked if MARKS in marked.columns else mark_malformed(marked, schema, terminated, required, terminator)
+    rejects = found.where(F.size(MARKS) > 0).select(
         LINE,
-        F.array_join(F.col("_marks.column"), ",").alias("broken"),
-        F.array_join(F.col("_marks.reason"), ",").alias("reasons"),
+        F.array_join(F.col(f"{MARKS}.column"), ",").alias("broken"),
+        F.array_join(F.col(f"{MARKS}.reason"), ",").alias("reasons"),
     )
-    clean = found.where(F.size("_marks") == 0).withColumn(terminated, parsed).select(*names)
+    parsed = parse_reading(terminated, terminator)
+    clean = found.where(F.size(MARKS) == 0).withColumn(terminated, parsed).select(*schema.names)
     return clean, rejects
 
 

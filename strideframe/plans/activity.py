@@ -85,9 +85,10 @@ class Run:
         return self.tables[name]
 
     def marked(self, device: str, sensor: str) -> DataFrame:
-        """The marked lines of a stream; its text is read once in a run."""
+        """The marked lines of a stream; its text is read and judged once in a run."""
         if (device, sensor) not in self._marked:
-            self._marked[device, sensor] = materialize(_marked(self.spark, self.cfg, device, sensor), "marked-lines")
+            judged = ops.mark_malformed(_marked(self.spark, self.cfg, device, sensor))
+            self._marked[device, sensor] = materialize(judged, "marked-lines")
         return self._marked[device, sensor]
 
     def rejects(self) -> DataFrame:

@@ -77,6 +77,12 @@ def test_no_query_plans_a_cross_join(spark):
             assert "Python" not in p and "InPandas" not in p, name
 
 
+@pytest.mark.parametrize("name, parses", [("malformed_lines", 2), ("malformed_clean", 2), ("malformed_counts", 0)])
+def test_a_line_is_parsed_once_and_its_texts_once(spark, name, parses):
+    optimized = contract.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan()
+    assert optimized.toString().count("from_csv(") == parses
+
+
 def test_filters_reach_the_scan(spark):
     p = plan(a.sensor_pair(spark, SF)[0])
     assert "In(event_type, [click,purchase])" in p

@@ -227,10 +227,14 @@ def rejected_readings(spark, sf_dir):
     return ops.rejected_readings(a.dirty_events(spark, sf_dir)).select("event_id", "activity_label", "reason")
 
 
-def _marked(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _broken(spark, sf_dir) -> DataFrame:
     path = new_table_path(spark, "broken-text")
     a.broken_lines(spark, sf_dir).write.text(path)
-    return ops.split_malformed(read_marked(spark, path))
+    return read_marked(spark, path)
+
+
+def _marked(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return ops.split_malformed(_broken(spark, sf_dir))
 
 
 def malformed_lines(spark, sf_dir):
@@ -248,7 +252,8 @@ def malformed_clean(spark, sf_dir):
 
 def malformed_counts(spark, sf_dir):
     """Lines by the columns that broke; with the clean ones they are all lines."""
-    clean, rejects = _marked(spark, sf_dir)
+    # written, as both kinds of lines are read from it
+    clean, rejects = ops.split_malformed(materialize(ops.mark_malformed(_broken(spark, sf_dir)), "marked-lines"))
     return rejects.select("broken").unionByName(clean.select(F.lit("none").alias("broken"))).groupBy("broken").agg(F.count(F.lit(1)).alias("lines"))
 
 
