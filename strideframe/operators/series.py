@@ -28,6 +28,8 @@ from strideframe.sources.storage import materialize
 MAX_SERIES_ROWS = 5_000_000
 PART_ROWS = 1_000_000
 MAX_PARTS = 8_192
+#: Rows that one task numbers, as far as whole series allow; more rows take more tasks.
+TASK_ROWS = 200_000
 #: Rows of a hot series that one task sorts to find the first few.
 SHARE_ROWS = 1_000_000
 
@@ -76,18 +78,34 @@ def hot_groups(
     written table, and give its result to all operators over the same keys. There are at
     most rows / max_rows hot groups.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows)
-    if counts.isEmpty():
-        return None
-    table = materialize(counts.withColumn("_series", F.monotonically_increasing_id()), "hot-groups")
+    return _counted(df, keys, max_rows, part_rows)[0]
+
+
+def _counted(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_SERIES_ROWS, part_rows: int = PART_ROWS) -> tuple[HotGroups | None, int]:
+    """The hot groups, if there are any, and the rows of the whole table, by one count."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    most, rows = counts.agg(F.max("_rows"), F.sum("_rows")).first()
+    if most is None or most <= max_rows:
+        return None, rows or 0
+    hot = counts.where(F.col("_rows") > max_rows)
+    table = materialize(hot.withColumn("_series", F.monotonically_increasing_id()), "hot-groups")
     total = table.agg(F.count(F.lit(1)).alias("groups"), F.sum("_rows").alias("rows")).first()
-    return HotGroups(tuple(keys), table, total["groups"], total["rows"], part_rows)
+    return HotGroups(tuple(keys), table, total["groups"], total["rows"], part_rows), rows
 
 
 def resolve_hot(df: DataFrame, keys: Sequence[str], hot: HotGroups | None | str) -> HotGroups | None:
     return hot_groups(df, keys) if isinstance(hot, str) and hot == "auto" else hot
 
 
+def _spread(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Whole series in partitions of about ``TASK_ROWS`` rows, so that no task's sorts and windows
+    grow with the table; as Spark deals them where that is no more than its cores."""
+    parts = min(math.ceil(rows / TASK_ROWS), MAX_PARTS)
+    if not keys or parts <= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(parts, *keys)
+
+
 def ordering(order_by: Sequence[str], nulls_last: bool = False) -> list[Column]:
     return [F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc_nulls_first() for c in order_by]
 
@@ -110,7 +128,8 @@ def number_rows(
     ``lags``. ``length`` names a column for the size of the series. ``order_by``
     should include tie-breakers, or tied rows come in any order.
     """
-    hot = resolve_hot(df, keys, hot)
+    # the count that finds hot series also tells how many tasks the others need
+    hot, n_rows = _counted(df, keys) if isinstance(hot, str) and hot == "auto" else (hot, 0)
     columns = df.columns
     order = ordering(order_by, nulls_last)
     amount = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
@@ -128,7 +147,7 @@ def number_rows(
         group = W.partitionBy(*keys)
         size = [F.sum(amount).over(group).alias(length)] if length else []
         w = group.orderBy(*order)
-        return rows.select("*", place(w).alias(position), *previous(w), *size)
+        return _spread(rows, keys, n_rows).select("*", place(w).alias(position), *previous(w), *size)
 
     if hot is None:
         return whole_windows(df)

@@ -123,10 +123,14 @@ def _merged_panes(numbered: DataFrame, cols: Sequence[str], keys: Sequence[str],
         return [template.format(v=f"`{c}`", m=f"`{c}_m`", q=f"`{c}_q`", c=c) for c in cols]
 
     panes = numbered.selectExpr(*group, f"pos div {pane} AS _pane", *values)
-    panes = panes.groupBy(*keys, "_pane").agg(
-        F.count(F.lit(1)).alias("_rows"), *map(F.expr, each("avg({v}) AS {m}")), *map(F.expr, each(f"var_pop({{v}}) * {pane} AS {{q}}"))
-    )
-    full = panes.where(F.col("_rows") == pane).selectExpr(*group, "_pane", f"_pane div {k} AS _block", *each("{m}"), *each("{q}"))
+    if pane == 1:
+        # each row is a pane: nothing to group; what is no finite number deviates from itself by NaN
+        full = panes.selectExpr(*group, "_pane", f"_pane div {k} AS _block", *each("{v} AS {m}"), *each("{v} - {v} AS {q}"))
+    else:
+        panes = panes.groupBy(*keys, "_pane").agg(
+            F.count(F.lit(1)).alias("_rows"), *map(F.expr, each("avg({v}) AS {m}")), *map(F.expr, each(f"var_pop({{v}}) * {pane} AS {{q}}"))
+        )
+        full = panes.where(F.col("_rows") == pane).selectExpr(*group, "_pane", f"_pane div {k} AS _block", *each("{m}"), *each("{q}"))
 
     # all panes have one size, so the moments of a run of them are plain means and variances
     block = f"PARTITION BY {', '.join([*group, '_block'])}"

@@ -12,6 +12,7 @@ from strideframe.operators import (
     summarize_windows,
     tag_streams,
 )
+from strideframe.operators import series
 from strideframe.sources import materialize
 from tests.conftest import rows
 
@@ -97,6 +98,22 @@ def test_wrong_arguments(spark, readings):
         summarize_windows(readings, ["x"], method="other")
 
 
+def test_more_rows_take_more_tasks(spark, readings, monkeypatch):
+    args = {"cols": ["x", "y"], "size": 50, "step": 7}
+    want = rows(summarize_windows(readings, **args))
+    monkeypatch.setattr(series, "TASK_ROWS", 60)
+    got = summarize_windows(readings, **args)
+    n = -(-readings.count() // 60)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert n > spark.sparkContext.defaultParallelism and f", {n})" in plan and plan.count("hashpartitioning") == 1, plan[:3000]
+    assert rows(got) == want
+
+
+def test_panes_of_one_row_are_not_grouped(spark, readings):
+    plan = summarize_windows(readings, ["x"], size=50, step=7)._jdf.queryExecution().executedPlan().toString()
+    assert "_pane" not in "".join(x for x in plan.split("\n") if "Aggregate(" in x)
+
+
 @pytest.mark.parametrize("size, step", [(200, 7), (50, 20)])
 def test_panes_copy_no_row(spark, readings, size, step):
     """Nothing multiplies rows but the two ends of each window, after panes are made."""
