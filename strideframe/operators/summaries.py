@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations_with_replacement
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,9 @@ WIDENING = 4
 #: Ranks that a bracket should reach to either side of its quartile.
 REACH_RANKS = 4
 QUARTILES = (0.25, 0.5, 0.75)
+#: Correlations that one aggregation holds: with six moments each, and its keys, it stays below
+#: the 100 columns up to which Spark generates code.
+CORRELATIONS = 16
 
 
 def overview(
@@ -118,20 +121,33 @@ def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair: (col_a, col_b, corr), both triangles.
 
-    Each pair uses the rows where both values are present. One pass, no shuffle
-    beyond one partial row per task.
+    Each pair uses the rows where both values are present. One pass, no shuffle beyond one
+    partial row per task and column: a row is taken once for each of its columns, which is
+    set against all of them, as the moments of all pairs side by side are more columns than
+    Spark generates code for.
     """
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
+    places = range(len(cols))
     values = df.selectExpr(*[f"nullif(cast(`{c}` AS double), double('NaN')) AS _{i}" for i, c in enumerate(cols)])
-    one = values.agg(*[F.expr(f"corr(_{i}, _{j}) AS r_{i}_{j}") for i, j in pairs])
+    taken = values.selectExpr("*", f"posexplode(array({', '.join(f'_{i}' for i in places)})) AS (_a, _x)")
+    merged = [taken.groupBy("_a").agg(*[F.expr(f"corr(_x, _{j}) AS r_{j}") for j in part]) for part in _parts(places)]
+    told = [
+        m.selectExpr("_a", f"stack({len(part)}, {', '.join(f'{j}, r_{j}' for j in part)}) AS (_b, corr)")
+        for m, part in zip(merged, _parts(places), strict=True)
+    ]
+    # a single row, also where there are no rows; one of a pair's two numbers serves both triangles
+    found = reduce(DataFrame.unionByName, told).where("_a <= _b")
+    one = found.agg(F.expr(f"map_from_entries(collect_list(struct(_a * {len(cols)} + _b, corr))) AS r"))
     rows = [
-        f"{_text(cols[a])}, {_text(cols[b])}, r_{i}_{j}"
-        for i, j in pairs
-        for a, b in dict.fromkeys([(i, j), (j, i)])
+        f"{_text(cols[a])}, {_text(cols[b])}, try_element_at(r, {min(a, b) * len(cols) + max(a, b)})" for a in places for b in places
     ]
     return one.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (col_a, col_b, corr)")
 
 
+def _parts(places: range) -> list[range]:
+    """``places`` in parts whose correlations fit into generated code."""
+    return [places[k : k + CORRELATIONS] for k in range(0, len(places), CORRELATIONS)]
+
+
 def _text(name: str) -> str:
     """``name`` as a SQL string literal."""
     escaped = name.replace("\\", "\\\\").replace("'", "\\'")
@@ -269,17 +285,13 @@ def _ranked_cells(rows: DataFrame, brackets: DataFrame, n_cols: int, hot: HotGro
     # Values inside a bracket keep themselves as cell; all values between two
     # brackets fall into one null cell that sorts before the next bracket.
     wide = brackets.groupBy("_by").agg(*[F.max(F.when(F.col("_col") == i, F.col("_b"))).alias(f"_b{i}") for i in range(n_cols)])
-    cells = rows.join(wide, "_by").select(
+    # one value at a time is held against its brackets, after the join: all of a row's columns at
+    # once make a method that the JVM does not compile
+    values = rows.join(wide, "_by").select(
         "_by",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("_col"), *_zone_and_cell(F.col(f"_v{i}"), F.col(f"_b{i}")))
-                    for i in range(n_cols)
-                ]
-            )
-        ),
-    ).where(F.col("_zone").isNotNull())
+        F.inline(F.array(*[F.struct(F.lit(i).alias("_col"), F.col(f"_v{i}").alias("_v"), F.col(f"_b{i}").alias("_b")) for i in range(n_cols)])),
+    )
+    cells = values.select("_by", "_col", *_zone_and_cell(F.col("_v"), F.col("_b"))).where(F.col("_zone").isNotNull())
     histogram = materialize(
         cells.groupBy("_by", "_col", "_zone", "_cell").agg(F.count(F.lit(1)).alias("_rows")), "box-cells"
     )

@@ -135,3 +135,35 @@ def test_dictionary_in_a_table(spark, df):
     names = spark.createDataFrame([("A", "alpha")], "code string, name string")
     got = ops.with_activity_name(ops.counts_by(df, "activity_label"), "activity_label", names).collect()
     assert {r.activity_label: r.activity_name for r in got} == {"A": "alpha", "B": "B", "N": "N"}
+
+
+def test_many_correlations_run_as_generated_code(spark):
+    names = [f"c{i}" for i in range(18)]
+    wide = spark.range(60).select(*[F.when(F.col("id") % 7 != i % 7, F.sin(F.col("id") * (i + 1))).alias(c) for i, c in enumerate(names)])
+    matrix = ops.corr_matrix(wide, names)
+    got = {(r.col_a, r.col_b): r["corr"] for r in matrix.collect()}
+    want = wide.toPandas().corr(min_periods=2)
+    assert len(got) == 18 * 18
+    assert all(got[a, b] == got[b, a] and np.isclose(got[a, b], want.loc[a, b], atol=1e-9) for a in names for b in names)
+    steps = [x for x in matrix._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].split("\n") if "partial_corr" in x]
+    assert steps and all("*(" in x for x in steps), steps
+
+
+def test_correlations_of_no_rows_are_null(spark):
+    none = spark.createDataFrame([], "x double, y double")
+    assert {tuple(r) for r in ops.corr_matrix(none, ["x", "y"]).collect()} == {(a, b, None) for a in "xy" for b in "xy"}
+
+
+def test_boxes_judge_one_column_at_a_time(spark):
+    rows = spark.range(30).select(F.lit("A").alias("_by"), *[(F.col("id") * (i + 1)).cast("double").alias(f"_v{i}") for i in range(7)])
+    bracket = F.struct(F.lit(3.0).alias("lo"), F.lit(9.0).alias("hi"))
+    brackets = spark.range(7).select(F.lit("A").alias("_by"), F.col("id").cast("int").alias("_col"), F.lit(30).cast("long").alias("_n"), F.array(bracket, bracket, bracket).alias("_b"))
+    plans = []
+    kept = summaries.materialize
+    try:
+        summaries.materialize = lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df
+        summaries._ranked_cells(rows, brackets, 7, None)
+    finally:
+        summaries.materialize = kept
+    made = [x for x in plans[0].split("\n") if "inline(" in x]
+    assert len(made) == 1 and "CASE WHEN" not in made[0], plans[0][:3000]
