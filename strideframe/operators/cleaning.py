@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,26 +51,35 @@ def mark_malformed(
     Write it down where both sides of ``split_malformed`` are read, or each judges all lines.
     """
     names = schema.names
-    # the text of the cells, looked at for lines that the reader marked; generated, as are the marks,
-    # so that neither is evaluated again for each place that names it
-    parts = F.from_csv(CORRUPT_LINE, ", ".join(f"_{i} string" for i in range(len(names) + 1)))
-    texts = F.col("_texts")
-    cell = {n: F.when(F.col(CORRUPT_LINE).isNotNull(), F.trim(texts[f"_{i}"])) for i, n in enumerate(names)}
     parsed = parse_reading(terminated, terminator)
-    marks = []
-    for n in names:
-        value = parsed if n == terminated else F.col(n)
-        written = F.col(n) if n == terminated else cell[n]
-        wrong = F.when(F.coalesce(F.length(written), F.lit(0)) > 0, value.isNull())
-        reason = F.when(wrong, "not a number")
-        if n in required:
-            absent = F.col(n).isNull() | (F.trim(F.col(n).cast("string")) == "")
-            reason = F.when(wrong, "not a number").when(absent, "missing")
-        marks.append(F.struct(F.lit(n).alias("column"), reason.alias("reason")))
-    extra = F.when(texts[f"_{len(names)}"].isNotNull(), "too many cells")
-    marks.append(F.struct(F.lit("line").alias("column"), extra.alias("reason")))
-    found = F.filter(F.array(*marks), lambda m: m["reason"].isNotNull())
-    return marked.select("*", F.explode(F.array(parts)).alias("_texts")).select(*marked.columns, F.explode(F.array(found)).alias(MARKS))
+    absent = {n: F.col(n).isNull() | (F.trim(F.col(n).cast("string")) == "") for n in names if n in required}
+
+    def unread(written: Column, value: Column) -> Column:
+        return F.when(F.coalesce(F.length(written), F.lit(0)) > 0, value.isNull())
+
+    def marks(texts: Column) -> Column:
+        found = []
+        for i, n in enumerate(names):
+            cell = F.when(F.col(CORRUPT_LINE).isNotNull(), F.trim(texts[f"_{i}"]))
+            wrong = unread(F.col(n), parsed) if n == terminated else unread(cell, F.col(n))
+            reason = F.when(wrong, "not a number")
+            if n in required:
+                reason = reason.when(absent[n], "missing")
+            found.append(F.struct(F.lit(n).alias("column"), reason.alias("reason")))
+        extra = F.when(texts[f"_{len(names)}"].isNotNull(), "too many cells")
+        found.append(F.struct(F.lit("line").alias("column"), extra.alias("reason")))
+        return F.filter(F.array(*found), lambda m: m["reason"].isNotNull())
+
+    # What any mark comes with: nearly all lines are without it, and their cells are not looked at.
+    suspect = reduce(Column.__or__, absent.values(), F.col(CORRUPT_LINE).isNotNull())
+    if terminated in names:
+        suspect |= F.coalesce(unread(F.col(terminated), parsed), F.lit(False))
+    # the text of the cells, of lines that the reader marked, once for all marks
+    parts = F.from_csv(CORRUPT_LINE, ", ".join(f"_{i} string" for i in range(len(names) + 1)))
+    none = F.array().cast("array<struct<column:string,reason:string>>")
+    found = F.when(suspect, F.transform(F.array(parts), marks)[0]).otherwise(none)
+    # generated, so that the marks are not evaluated again for each place that names them
+    return marked.select("*", F.explode(F.array(found)).alias(MARKS))
 
 
 def split_malformed(

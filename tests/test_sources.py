@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strideframe import sources
-from strideframe.operators import clean_readings, rejected_readings, split_malformed
+from strideframe.operators import clean_readings, mark_malformed, rejected_readings, split_malformed
+from strideframe.operators.cleaning import MARKS
 
 LINES = [
     "1600,A,1000000040,0.50,1.25,-2.00;",
@@ -115,3 +116,18 @@ def test_every_broken_line_is_one_reject(spark, tmp_path):
     assert clean.columns == ["subject_id", "activity_label", "timestamp", "x", "y", "z"]
     assert sorted(((r.x, r.y, r.z) for r in clean.collect()), key=repr) == [(0.5, 1.5, 2.0), (0.5, 1.5, 2.0), (None, None, None), (None, None, None)]
     assert [clean.select("subject_id").count() + rejects.select("broken").count(), clean.schema["z"].dataType.simpleString()] == [len(lines), "float"]
+
+
+def test_lines_without_a_mark_are_not_searched(spark, tmp_path):
+    """Marks are made in one step, and only where a cell is missing or does not parse."""
+    lines = ["1,A,5,1,2,3.0;", "1,A,5,1,2,err;", "x,A,5,1,2,3;", "2,,5,1,2,3;", "2, ,5,1,2,3;", "1,A,5,1,2,3,4", "1,A,5,1,2", "1,A,5,1,2,;", ",A,,1,,", "1,A,5,a,b,c"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / "lines"))
+    marked = mark_malformed(sources.read_marked(spark, str(tmp_path / "lines")))
+    got = {r.line: [tuple(m) for m in r[MARKS]] for r in marked.collect()}
+    bad, gone = "not a number", "missing"
+    assert got == dict(zip(lines, [
+        [], [("z", bad)], [("subject_id", bad)], [("activity_label", gone)], [("activity_label", gone)], [("line", "too many cells")],
+        [], [("z", bad)], [("subject_id", gone), ("timestamp", gone)], [("x", bad), ("y", bad), ("z", bad)],
+    ], strict=True))
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 2 and "CASE WHEN ((((isnotnull(corrupt_line" in plan, plan
