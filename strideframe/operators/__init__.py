@@ -1,4 +1,4 @@
-from strideframe.operators.cleaning import align_time, clean_readings, mark_malformed, rejected_readings, split_malformed
+from strideframe.operators.cleaning import align_time, clean_readings, mark_malformed, rejected_readings, settle_malformed, split_malformed
 from strideframe.operators.features import engineer_features
 from strideframe.operators.fusion import first_per_key, fuse_sensors, rename_axes
 from strideframe.operators.learning import (

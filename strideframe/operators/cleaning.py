@@ -82,6 +82,16 @@ def mark_malformed(
     return marked.select("*", F.explode(F.array(found)).alias(MARKS))
 
 
+def settle_malformed(
+    found: DataFrame, schema: T.StructType = READING_SCHEMA, terminated: str = "z", terminator: str = ";"
+) -> DataFrame:
+    """``mark_malformed`` as it is to be written: with the terminated cell parsed, and with the
+    text of those lines only that are rejects. ``split_malformed`` takes it too."""
+    parsed = parse_reading(terminated, terminator).alias(terminated)
+    cells = [parsed if n == terminated else F.col(n) for n in schema.names]
+    return found.select(F.when(F.size(MARKS) > 0, F.col(LINE)).alias(LINE), *cells, MARKS)
+
+
 def split_malformed(
     marked: DataFrame,
     schema: T.StructType = READING_SCHEMA,
@@ -89,8 +99,8 @@ def split_malformed(
     required: Sequence[str] = ("subject_id", "activity_label", "timestamp"),
     terminator: str = ";",
 ) -> tuple[DataFrame, DataFrame]:
-    """Clean rows and rejects of ``read_marked``, or of ``mark_malformed`` by the same rules;
-    together they are all lines read.
+    """Clean rows and rejects of ``read_marked``, or of ``mark_malformed`` by the same rules,
+    settled or not; together they are all lines read.
 
     A line is a reject if a cell with text does not parse, a required cell is missing, or
     there are more cells than columns. Each reject has the line's text, the columns that
@@ -103,8 +113,10 @@ def split_malformed(
         F.array_join(F.col(f"{MARKS}.column"), ",").alias("broken"),
         F.array_join(F.col(f"{MARKS}.reason"), ",").alias("reasons"),
     )
-    parsed = parse_reading(terminated, terminator)
-    clean = found.where(F.size(MARKS) == 0).withColumn(terminated, parsed).select(*schema.names)
+    clean = found.where(F.size(MARKS) == 0)
+    if clean.schema[terminated].dataType != T.FloatType():  # settled lines have it parsed
+        clean = clean.withColumn(terminated, parse_reading(terminated, terminator))
+    clean = clean.select(*schema.names)
     return clean, rejects
 
 

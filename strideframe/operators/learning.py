@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
@@ -158,7 +158,8 @@ def stack_fit(
     indexer = fit_label_index(split_rows(watch, split, "train", subject), label)
 
     def fit_base(df: DataFrame, prefix: str) -> PipelineModel:
-        train = split_rows(df, split, "train", subject).persist()
+        # what memory does not hold is read again from the written table, not kept on disk once more
+        train = split_rows(df, split, "train", subject).persist(StorageLevel.MEMORY_ONLY)
         try:
             cols = feature_columns(df, meta_columns)
             return build_base_pipeline(cols, indexer, prefix, trees, seed).fit(train)

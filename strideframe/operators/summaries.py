@@ -162,6 +162,7 @@ def box_summary(
     hot: HotGroups | None | str = "auto",
     bracket: float = BRACKET,
     reach: int = REACH_RANKS,
+    written: bool = False,
 ) -> DataFrame:
     """What a box plot shows, per group and column.
 
@@ -174,13 +175,15 @@ def box_summary(
     and counts exactly inside the brackets, so rows are never sorted or shuffled
     as a whole. A bracket that turns out not to hold its quartile is widened and counted
     again, until all are found. ``"approx"`` takes the sketch's quartiles as they are.
-    ``df`` runs once: the values are written, and read for each pass.
+    ``df`` runs once: the values are written, and read for each pass. One that is a ``written``
+    table is read itself.
     """
     rows = df.where(F.col(by).isNotNull()).select(
         F.col(by).alias("_by"),
         *[nan_to_null(F.col(c).cast("double")).alias(f"_v{i}") for i, c in enumerate(cols)],
     )
-    rows = materialize(rows, "box-values")
+    if not written:
+        rows = materialize(rows, "box-values")
     if method == "approx":
         wide = rows.groupBy("_by").agg(
             *[

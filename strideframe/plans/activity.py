@@ -3,23 +3,43 @@
 from __future__ import annotations
 
 import logging
+import math
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strideframe import operators as ops
 from strideframe.functions import decode
 from strideframe.plans.exploration import explore_device, explore_fused
-from strideframe.schemas import CLASS_INDEX, STREAMS, WINDOW_META_COLUMNS, axes, feature_columns
-from strideframe.sources import materialize, read_marked, read_table, rows_written, table_exists, write_table
+from strideframe.schemas import CLASS_INDEX, SERIES_KEYS, STREAMS, WINDOW_META_COLUMNS, axes, feature_columns
+from strideframe.sources import (
+    drop_table,
+    materialize,
+    read_marked,
+    read_table,
+    rows_written,
+    scratch,
+    shuffles_removed,
+    table_exists,
+    write_table,
+)
+from strideframe.sources.storage import FINISHED, new_table_path
 
 log = logging.getLogger(__name__)
 
+#: Rows of whole series that are numbered at a time, so that shuffles on disk do not grow with the run.
+SLICE_ROWS = 10_000_000
+#: Subjects up to which their splits are sent to all tasks and no window is shuffled to meet them.
+FEW_SUBJECTS = 1_000_000
+#: How the tables of a run are written.
+CODEC = {"compression": "zstd"}
+
 
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -44,6 +64,9 @@ class PipelineConfig:
         ops.SequenceCandidate(40, (64,), 100),
         ops.SequenceCandidate(80, (64,), 100),
     )
+    #: Remove the text of a stream once its lines are judged and written, where it was made for
+    #: this run only.
+    drop_raw: bool = False
 
     def at(self, name: str) -> str:
         return f"{self.work.rstrip('/')}/{name}"
@@ -68,14 +91,31 @@ class Run:
         self.spark, self.cfg = spark, cfg
         self.tables: dict[str, DataFrame] = {}
         self.manifest: list[tuple[str, str, int | None, float]] = []
-        self._marked: dict[tuple[str, str], DataFrame] = {}
+        self._judged: dict[tuple[str, str], tuple[str, StructType]] = {}
+        self._rejects: dict[tuple[str, str], tuple[str, StructType]] = {}
 
     def put(self, step: str, name: str, table: DataFrame, at: str | None = None) -> DataFrame:
         start = time.monotonic()
-        write_table(table, self.cfg.at(at or name))
-        rows = rows_written(self.spark, self.cfg.at(at or name))
+        write_table(table, self.cfg.at(at or name), **CODEC)
+        return self._noted(step, name, table, at or name, start)
+
+    def put_by_series(self, step: str, name: str, source: DataFrame, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``make(source)``, written for some series at a time: what one part shuffles and cuts is
+        removed before the next. ``source`` is a written table, and a series needs no other."""
+        start = time.monotonic()
+        parts = max(1, math.ceil(source.count() / SLICE_ROWS))
+        for i in range(parts):
+            part = source.where(F.pmod(F.xxhash64(*SERIES_KEYS), F.lit(parts)) == i) if parts > 1 else source
+            with scratch():
+                table = make(part)
+                how = {FINISHED: str(i == parts - 1).lower(), **CODEC}
+                write_table(table, self.cfg.at(name), mode="append" if i else "overwrite", **how)
+        return self._noted(step, name, table, name, start)
+
+    def _noted(self, step: str, name: str, table: DataFrame, at: str, start: float) -> DataFrame:
+        rows = rows_written(self.spark, self.cfg.at(at))
         self.manifest.append((step, name, rows, time.monotonic() - start))
-        self.tables[name] = read_table(self.spark, self.cfg.at(at or name), table.schema)
+        self.tables[name] = read_table(self.spark, self.cfg.at(at), table.schema)
         return self.tables[name]
 
     def keep(self, step: str, name: str) -> DataFrame:
@@ -84,18 +124,41 @@ class Run:
         self.tables[name] = read_table(self.spark, self.cfg.at(name))
         return self.tables[name]
 
-    def marked(self, device: str, sensor: str) -> DataFrame:
-        """The marked lines of a stream; its text is read and judged once in a run."""
-        if (device, sensor) not in self._marked:
-            judged = ops.mark_malformed(_marked(self.spark, self.cfg, device, sensor))
-            self._marked[device, sensor] = materialize(judged, "marked-lines")
-        return self._marked[device, sensor]
+    def lines(self, device: str, sensor: str) -> tuple[DataFrame, DataFrame]:
+        """Clean rows and rejects of a stream; its text is read and judged once in a run."""
+        if (device, sensor) not in self._judged:
+            marked = ops.mark_malformed(_marked(self.spark, self.cfg, device, sensor))
+            self._judged[device, sensor] = self._aside("judged-lines", ops.settle_malformed(marked))
+            if self.cfg.drop_raw:
+                drop_table(self.spark, _folder(self.cfg, device, sensor))
+        return ops.split_malformed(read_table(self.spark, *self._judged[device, sensor]))
+
+    def _aside(self, name: str, table: DataFrame) -> tuple[str, StructType]:
+        path = new_table_path(self.spark, name)
+        write_table(table, path, **CODEC)
+        return path, table.schema
+
+    def drop_clean_lines(self, device: str) -> None:
+        """Keep only the rejects of a device's judged lines."""
+        for stream in [s for s in self._judged if s[0] == device]:
+            self._rejects[stream] = self._aside("rejected-lines", self.lines(*stream)[1])
+            drop_table(self.spark, self._judged.pop(stream)[0])
 
     def rejects(self) -> DataFrame:
         """The broken lines of all streams, with the columns that broke and why."""
-        parts = [ops.split_malformed(self.marked(*s))[1].select(F.lit(s[0]).alias("device"), F.lit(s[1]).alias("sensor"), "*") for s in STREAMS]
+        parts = []
+        for device, sensor in STREAMS:
+            kept = self._rejects.get((device, sensor))
+            told = read_table(self.spark, *kept) if kept else self.lines(device, sensor)[1]
+            parts.append(told.select(F.lit(device).alias("device"), F.lit(sensor).alias("sensor"), "*"))
         return reduce(DataFrame.unionByName, parts)
 
+    def drop_lines(self) -> None:
+        """Remove what was set aside of all lines."""
+        for path, _ in [*self._judged.values(), *self._rejects.values()]:
+            drop_table(self.spark, path)
+        self._judged, self._rejects = {}, {}
+
     def finish(self, reports: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Write the reports and the manifest; returns all tables."""
         for name, table in reports.items():
@@ -107,22 +170,24 @@ class Run:
         return self.tables
 
 
+def _folder(cfg: PipelineConfig, device: str, sensor: str) -> str:
+    return f"{cfg.raw.rstrip('/')}/{device}/{sensor}"
+
+
 def _marked(spark: SparkSession, cfg: PipelineConfig, device: str, sensor: str) -> DataFrame:
-    return read_marked(spark, f"{cfg.raw.rstrip('/')}/{device}/{sensor}/*.txt")
+    return read_marked(spark, f"{_folder(cfg, device, sensor)}/*.txt")
 
 
 def fused_device(spark: SparkSession, cfg: PipelineConfig, device: str, run: Run | None = None) -> DataFrame:
     """Cleaned, aligned and joined sensors of one device."""
     accel, gyro = (
-        ops.align_time(ops.split_malformed(run.marked(device, sensor) if run else _marked(spark, cfg, device, sensor))[0], cfg.grid)
+        ops.align_time((run.lines(device, sensor) if run else ops.split_malformed(_marked(spark, cfg, device, sensor)))[0], cfg.grid)
         for sensor in ("accel", "gyro")
     )
     return ops.fuse_sensors(accel, gyro, DEVICES[device], dedupe=cfg.dedupe)
 
 
-def device_features(spark: SparkSession, cfg: PipelineConfig, device: str, run: Run | None = None) -> DataFrame:
-    # The join is written down: series are counted on it before they are numbered.
-    fused = materialize(fused_device(spark, cfg, device, run), f"{device}-fused")
+def device_features(fused: DataFrame, cfg: PipelineConfig, device: str) -> DataFrame:
     return ops.engineer_features(
         fused,
         [axes(p) for p in DEVICES[device]],
@@ -136,52 +201,66 @@ def run_pipeline(
 ) -> dict[str, DataFrame]:
     """Features, windows, split, stacked model and its scores, step by step.
 
-    Every step's table is written below ``cfg.work``, and ``manifest`` has a row for each.
+    Every step's table is written below ``cfg.work``, and ``manifest`` has a row for each; what only
+    leads to them is removed as soon as it is used up.
     ``skip_features`` keeps the feature tables if both are there. A failing step ends the run.
     """
+    with shuffles_removed(spark):
+        return _run_pipeline(spark, cfg, skip_features, eda)
+
+
+def _run_pipeline(spark: SparkSession, cfg: PipelineConfig, skip_features: bool, eda: bool) -> dict[str, DataFrame]:
     run, reports = Run(spark, cfg), {}
     features, windows = {}, {}
     with _timed("features"):
         skip = skip_features and all(table_exists(spark, cfg.at(f"{d}_features")) for d in DEVICES)
         for device in DEVICES:
             name = f"{device}_features"
-            features[device] = run.keep("features", name) if skip else run.put("features", name, device_features(spark, cfg, device, run))
+            if skip:
+                features[device] = run.keep("features", name)
+                continue
+            with scratch():
+                # The join is written down: series are counted on it before they are numbered.
+                fused = materialize(fused_device(spark, cfg, device, run), f"{device}-fused", **CODEC)
+                run.drop_clean_lines(device)
+                features[device] = run.put_by_series("features", name, fused, lambda rows, d=device: device_features(rows, cfg, d))
         run.put("features", "rejects", run.rejects())
+        run.drop_lines()
 
     with _timed("windows"):
         for device, prefixes in DEVICES.items():
-            summary = ops.summarize_windows(
+            how = {"order_by": ("timestamp", *[a for p in prefixes for a in axes(p)]), "size": cfg.size, "step": cfg.step}
+            windows[device] = run.put_by_series(
+                "windows",
+                f"{device}_windows",
                 features[device],
-                feature_columns(features[device]),
-                order_by=("timestamp", *[a for p in prefixes for a in axes(p)]),
-                size=cfg.size,
-                step=cfg.step,
+                lambda rows, how=how: ops.summarize_windows(rows, feature_columns(rows), **how),
             )
-            windows[device] = run.put("windows", f"{device}_windows", summary)
         watch, phone = windows["watch"], windows["phone"]
         split = run.put("windows", "split", ops.subject_split(watch, fractions=cfg.fractions))
+        members = F.broadcast(split) if split.count() <= FEW_SUBJECTS else split
 
     with _timed("training"):
-        model = ops.stack_fit(watch, phone, split, trees=cfg.trees, seed=cfg.seed)
+        model = ops.stack_fit(watch, phone, members, trees=cfg.trees, seed=cfg.seed)
         model.save(cfg.at("stacked_model"))
 
     with _timed("scoring"):
         for device, fitted in (("watch", model.watch), ("phone", model.phone)):
-            scored = fitted.transform(ops.split_rows(windows[device], split, "val"))
+            scored = fitted.transform(ops.split_rows(windows[device], members, "val"))
             validation = run.put("scoring", f"{device}_validation", scored.select("activity_label", "label", "prediction"))
             reports[f"{device}_accuracy"] = ops.accuracy_cross_check(validation)
             reports[f"{device}_accuracy_by_activity"] = ops.with_activity_name(ops.accuracy_by(validation))
             reports[f"{device}_importance"] = ops.feature_importance(fitted, feature_columns(windows[device], WINDOW_META_COLUMNS))
-        test = model.transform(*[ops.split_rows(d, split, "test") for d in (watch, phone)])
+        test = model.transform(*[ops.split_rows(d, members, "test") for d in (watch, phone)])
         predictions = run.put("scoring", "predictions", test.select(*model.on, "label", "prediction", "probability", "activity", "predicted_activity"))
         reports["stacked_accuracy"] = ops.accuracy_cross_check(predictions)
         reports["stacked_accuracy_by_activity"] = ops.accuracy_by(predictions, "activity")
 
-    if eda:
-        for device, prefixes in DEVICES.items():
-            reports |= {f"{device}_{name}": table for name, table in explore_device(features[device], *prefixes).items()}
-    reports["split_sizes"] = ops.split_sizes(split)
-    with _timed("reports"):
+    with scratch(), _timed("reports"):
+        if eda:
+            for device, prefixes in DEVICES.items():
+                reports |= {f"{device}_{name}": table for name, table in explore_device(features[device], *prefixes).items()}
+        reports["split_sizes"] = ops.split_sizes(split)
         return run.finish(reports)
 
 
@@ -195,7 +274,7 @@ def run_sequence(spark: SparkSession, cfg: PipelineConfig, eda: bool = False) ->
         windows = []
         for (device, sensor), prefix in STREAMS.items():
             cut = ops.collect_windows(
-                ops.split_malformed(run.marked(device, sensor))[0],
+                run.lines(device, sensor)[0],
                 order_by=("timestamp", "x", "y", "z"),
                 size=cfg.size,
                 step=cfg.step,

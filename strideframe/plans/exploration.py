@@ -9,7 +9,7 @@ from strideframe.schemas import axes
 
 
 def explore_device(features: DataFrame, accel: str, gyro: str) -> dict[str, DataFrame]:
-    """Summaries of a feature table, over all its rows."""
+    """Summaries of a written feature table, over all its rows."""
     raw = [*axes(accel), *axes(gyro)]
     magnitude, jerk = (
         [f"{p}_x_{name}" for p in (accel, gyro)] for name in ("magnitude", "jerk")
@@ -19,7 +19,7 @@ def explore_device(features: DataFrame, accel: str, gyro: str) -> dict[str, Data
         "activity_counts": ops.activity_counts(features),
         "subject_counts": ops.subject_counts(features),
         "describe": ops.describe_long(features, raw),
-        "boxes": ops.with_activity_name(ops.box_summary(features, [*raw, magnitude[0]])),
+        "boxes": ops.with_activity_name(ops.box_summary(features, [*raw, magnitude[0]], written=True)),
         "correlation": ops.corr_matrix(features, [*raw, *magnitude, *jerk]),
         "activity_names": ops.category_names(features),
     }

@@ -10,12 +10,15 @@ from strideframe.sources.readings import (
     write_readings,
 )
 from strideframe.sources.storage import (
+    drop_table,
     materialize,
     preview,
     read_or_compute,
     read_table,
     rows_written,
+    scratch,
     shared_dir,
+    shuffles_removed,
     table_exists,
     write_table,
 )
@@ -24,6 +27,7 @@ __all__ = [
     "ANONYMOUS_S3A",
     "FILE_PATTERN",
     "FOLDER_PATTERN",
+    "drop_table",
     "materialize",
     "object_manifest",
     "preview",
@@ -34,7 +38,9 @@ __all__ = [
     "read_streams",
     "read_table",
     "rows_written",
+    "scratch",
     "shared_dir",
+    "shuffles_removed",
     "table_exists",
     "write_readings",
     "write_table",

@@ -1,11 +1,19 @@
 import math
+import os
+import shutil
+import time
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from strideframe import operators as ops
 from strideframe.plans import PipelineConfig, explore_fused, run_pipeline, run_sequence
-from strideframe.plans.activity import fused_device
+from strideframe.plans import activity
+from strideframe.plans.activity import Run, fused_device
 from strideframe.schemas import STREAMS, activity_dimension
+from strideframe.sources import materialize, shuffles_removed, table_exists
 
 SUBJECTS = range(1600, 1610)
 CODES = "ABD"
@@ -94,6 +102,26 @@ def test_exploration(tables):
     assert tables["phone_subject_counts"].count() == len(SUBJECTS)
 
 
+def same_rows(a, b):
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_a_run_leaves_no_tables_but_its_own(spark, cfg, tables, tmp_path, monkeypatch):
+    """Lines, joins and cuts are removed as soon as they are used up, and series taken a part at a
+    time give the same tables."""
+    monkeypatch.setattr(activity, "SLICE_ROWS", 900)
+    raw = tmp_path / "raw"
+    shutil.copytree(cfg.raw, raw)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(os.listdir(shared))
+    own = run_pipeline(spark, replace(cfg, raw=str(raw), work=str(tmp_path / "work"), drop_raw=True), eda=True)
+    assert set(os.listdir(shared)) == before
+    assert not list(raw.rglob("*.txt")) and list(Path(cfg.raw).rglob("*.txt"))
+    assert set(own) == set(tables)
+    for name in ("watch_features", "phone_features", "watch_windows", "phone_windows", "rejects", "split", "watch_boxes"):
+        assert same_rows(own[name], tables[name]), name
+
+
 def test_features_can_be_skipped(spark, cfg, tables):
     before = tables["watch_features"].inputFiles()
     accuracy = tables["stacked_accuracy"].first()
@@ -103,6 +131,48 @@ def test_features_can_be_skipped(spark, cfg, tables):
     assert again["stacked_accuracy"].first() == accuracy
 
 
+def test_a_table_with_parts_to_come_is_not_finished(spark, cfg, tmp_path, monkeypatch):
+    monkeypatch.setattr(activity, "SLICE_ROWS", 10)
+    run = Run(spark, replace(cfg, work=str(tmp_path)))
+    keys = [F.col("id").cast("int").alias("subject_id"), F.lit("A").alias("activity_label")]
+    rows = materialize(spark.range(40).select(*keys), "rows")
+    done = []
+
+    def make(part, fail=True):
+        if fail and done:
+            assert not table_exists(spark, str(tmp_path / "half"))
+            raise RuntimeError("second part")
+        done.append(part.count())
+        return part
+
+    with pytest.raises(RuntimeError, match="second part"):
+        run.put_by_series("step", "half", rows, make)
+    assert not table_exists(spark, str(tmp_path / "half"))
+    done.clear()
+    whole = run.put_by_series("step", "half", rows, lambda part: make(part, fail=False))
+    assert table_exists(spark, str(tmp_path / "half")) and same_rows(whole, rows)
+    assert len(done) == 4 and max(done) < sum(done) == 40
+    assert run.manifest[-1][1:3] == ("half", 40)
+
+
+def test_shuffles_go_with_their_query(spark, tmp_path):
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {name for d in blocks.localDirs() for _, _, names in os.walk(d.getPath()) for name in names if name.startswith("shuffle_")}
+
+    def left(path):
+        before = files()
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / path))
+        end = time.monotonic() + 10
+        while files() - before and time.monotonic() < end:
+            time.sleep(0.1)
+        return files() - before
+
+    with shuffles_removed(spark):
+        assert not left("removed")
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_exploring_fused_sensors(spark, cfg):
     found = explore_fused(fused_device(spark, cfg, "phone"))
     assert found["correlation"].count() == 36

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strideframe import sources
-from strideframe.operators import clean_readings, mark_malformed, rejected_readings, split_malformed
+from strideframe.operators import clean_readings, mark_malformed, rejected_readings, settle_malformed, split_malformed
 from strideframe.operators.cleaning import MARKS
 
 LINES = [
@@ -131,3 +131,15 @@ def test_lines_without_a_mark_are_not_searched(spark, tmp_path):
     ], strict=True))
     plan = marked._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate ") == 2 and "CASE WHEN ((((isnotnull(corrupt_line" in plan, plan
+
+
+def test_settled_lines_keep_the_text_of_rejects_only(spark, tmp_path):
+    lines = ["1,A,5,1,2,3.0;", "1,A,5,1,2,err;", "x,A,5,1,2,3;", "2,,5,1,2,3;", "1,A,5,1,2,3,4", "1,A,5,1,2", "1,A,5,1,2,;", "1,A,5,1e-3,2,0.1;"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / "lines"))
+    marked = mark_malformed(sources.read_marked(spark, str(tmp_path / "lines")))
+    settled = sources.materialize(settle_malformed(marked), "settled")
+    assert settled.columns == ["line", "subject_id", "activity_label", "timestamp", "x", "y", "z", MARKS]
+    told = [r.line for r in settled.collect()]
+    assert sorted(t for t in told if t) == sorted([*lines[1:5], lines[6]]) and told.count(None) == 3
+    for a, b in zip(split_malformed(settled), split_malformed(marked), strict=True):
+        assert a.dtypes == b.dtypes and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))

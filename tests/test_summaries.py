@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from strideframe import operators as ops
 from strideframe.operators import summaries
+from strideframe.sources import materialize
 
 
 @pytest.fixture(scope="module")
@@ -167,3 +168,11 @@ def test_boxes_judge_one_column_at_a_time(spark):
         summaries.materialize = kept
     made = [x for x in plans[0].split("\n") if "inline(" in x]
     assert len(made) == 1 and "CASE WHEN" not in made[0], plans[0][:3000]
+
+
+def test_boxes_of_a_written_table_are_read_from_it(spark, df, monkeypatch):
+    names = []
+    monkeypatch.setattr(summaries, "materialize", lambda df, name: names.append(name) or materialize(df, name))
+    got, want = (ops.box_summary(df, ["x", "z"], written=w).collect() for w in (True, False))
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) > 0
+    assert names.count("box-values") == 1 and names.count("box-ladder") == 2

@@ -623,7 +623,7 @@ def _run_config(spark, sf_dir, **how) -> PipelineConfig:
 def activity_run(spark, sf_dir):
     """The whole feature pipeline over raw text of all lines: rows that each step wrote, by
     its manifest."""
-    tables = run_pipeline(spark, _run_config(spark, sf_dir, size=20, step=10, trees=3), eda=True)
+    tables = run_pipeline(spark, _run_config(spark, sf_dir, size=20, step=10, trees=3, drop_raw=True), eda=True)
     told = tables["manifest"].where(F.col("table").rlike("_features$|_windows$|^rejects$|^split$|_boxes$|_correlation$"))
     return told.select("table", "rows")
 
