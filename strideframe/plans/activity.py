@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from strideframe.sources.storage import FINISHED, new_table_path
 log = logging.getLogger(__name__)
 
 #: Rows of whole series that are numbered at a time, so that shuffles on disk do not grow with the run.
-SLICE_ROWS = 10_000_000
+SLICE_ROWS = 5_000_000
 #: Subjects up to which their splits are sent to all tasks and no window is shuffled to meet them.
 FEW_SUBJECTS = 1_000_000
 #: How the tables of a run are written.
@@ -93,25 +94,33 @@ class Run:
         self.manifest: list[tuple[str, str, int | None, float]] = []
         self._judged: dict[tuple[str, str], tuple[str, StructType]] = {}
         self._rejects: dict[tuple[str, str], tuple[str, StructType]] = {}
+        self._parts: dict[str, list[DataFrame]] = {}
 
     def put(self, step: str, name: str, table: DataFrame, at: str | None = None) -> DataFrame:
         start = time.monotonic()
         write_table(table, self.cfg.at(at or name), **CODEC)
         return self._noted(step, name, table, at or name, start)
 
-    def put_by_series(self, step: str, name: str, source: DataFrame, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """``make(source)``, written for some series at a time: what one part shuffles and cuts is
-        removed before the next. ``source`` is a written table, and a series needs no other."""
-        start = time.monotonic()
-        parts = max(1, math.ceil(source.count() / SLICE_ROWS))
-        for i in range(parts):
-            part = source.where(F.pmod(F.xxhash64(*SERIES_KEYS), F.lit(parts)) == i) if parts > 1 else source
+    def put_by_series(self, step: str, name: str, parts: Sequence[DataFrame], make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``make(part)`` of one part after the other, each of whole series, as one table: what a
+        part shuffles and cuts is removed before the next."""
+        start, path, before, made = time.monotonic(), self.cfg.at(name), set(), []
+        for i, part in enumerate(parts):
             with scratch():
                 table = make(part)
-                how = {FINISHED: str(i == parts - 1).lower(), **CODEC}
-                write_table(table, self.cfg.at(name), mode="append" if i else "overwrite", **how)
+                how = {FINISHED: str(i == len(parts) - 1).lower(), **CODEC}
+                write_table(table, path, mode="append" if i else "overwrite", **how)
+            files = set(read_table(self.spark, path, table.schema).inputFiles())
+            if own := [unquote(f) for f in sorted(files - before)]:
+                made.append(self.spark.read.schema(table.schema).parquet(*own))
+            before = files
+        self._parts[name] = made
         return self._noted(step, name, table, name, start)
 
+    def parts(self, name: str) -> list[DataFrame]:
+        """A table in parts of whole series, as it was written, or else as ``slices`` cuts it."""
+        return self._parts.get(name) or slices(self.tables[name])
+
     def _noted(self, step: str, name: str, table: DataFrame, at: str, start: float) -> DataFrame:
         rows = rows_written(self.spark, self.cfg.at(at))
         self.manifest.append((step, name, rows, time.monotonic() - start))
@@ -170,6 +179,12 @@ class Run:
         return self.tables
 
 
+def slices(table: DataFrame) -> list[DataFrame]:
+    """The rows of a written table in parts of whole series and about ``SLICE_ROWS`` rows."""
+    n = math.ceil(table.count() / SLICE_ROWS)
+    return [table.where(F.pmod(F.xxhash64(*SERIES_KEYS), F.lit(n)) == i) for i in range(n)] if n > 1 else [table]
+
+
 def _folder(cfg: PipelineConfig, device: str, sensor: str) -> str:
     return f"{cfg.raw.rstrip('/')}/{device}/{sensor}"
 
@@ -223,7 +238,7 @@ def _run_pipeline(spark: SparkSession, cfg: PipelineConfig, skip_features: bool,
                 # The join is written down: series are counted on it before they are numbered.
                 fused = materialize(fused_device(spark, cfg, device, run), f"{device}-fused", **CODEC)
                 run.drop_clean_lines(device)
-                features[device] = run.put_by_series("features", name, fused, lambda rows, d=device: device_features(rows, cfg, d))
+                features[device] = run.put_by_series("features", name, slices(fused), lambda rows, d=device: device_features(rows, cfg, d))
         run.put("features", "rejects", run.rejects())
         run.drop_lines()
 
@@ -233,7 +248,7 @@ def _run_pipeline(spark: SparkSession, cfg: PipelineConfig, skip_features: bool,
             windows[device] = run.put_by_series(
                 "windows",
                 f"{device}_windows",
-                features[device],
+                run.parts(f"{device}_features"),
                 lambda rows, how=how: ops.summarize_windows(rows, feature_columns(rows), **how),
             )
         watch, phone = windows["watch"], windows["phone"]

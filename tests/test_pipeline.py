@@ -133,26 +133,29 @@ def test_features_can_be_skipped(spark, cfg, tables):
 
 def test_a_table_with_parts_to_come_is_not_finished(spark, cfg, tmp_path, monkeypatch):
     monkeypatch.setattr(activity, "SLICE_ROWS", 10)
-    run = Run(spark, replace(cfg, work=str(tmp_path)))
+    run = Run(spark, replace(cfg, work=str(tmp_path / "a folder")))
     keys = [F.col("id").cast("int").alias("subject_id"), F.lit("A").alias("activity_label")]
     rows = materialize(spark.range(40).select(*keys), "rows")
     done = []
 
     def make(part, fail=True):
         if fail and done:
-            assert not table_exists(spark, str(tmp_path / "half"))
+            assert not table_exists(spark, str(tmp_path / "a folder" / "half"))
             raise RuntimeError("second part")
         done.append(part.count())
         return part
 
     with pytest.raises(RuntimeError, match="second part"):
-        run.put_by_series("step", "half", rows, make)
-    assert not table_exists(spark, str(tmp_path / "half"))
+        run.put_by_series("step", "half", activity.slices(rows), make)
+    assert not table_exists(spark, str(tmp_path / "a folder" / "half"))
     done.clear()
-    whole = run.put_by_series("step", "half", rows, lambda part: make(part, fail=False))
-    assert table_exists(spark, str(tmp_path / "half")) and same_rows(whole, rows)
+    whole = run.put_by_series("step", "half", activity.slices(rows), lambda part: make(part, fail=False))
+    assert table_exists(spark, str(tmp_path / "a folder" / "half")) and same_rows(whole, rows)
     assert len(done) == 4 and max(done) < sum(done) == 40
     assert run.manifest[-1][1:3] == ("half", 40)
+    # the next step reads each part from its own files
+    parts = run.parts("half")
+    assert [p.count() for p in parts] == done and sum(len(p.inputFiles()) for p in parts) == len(whole.inputFiles())
 
 
 def test_shuffles_go_with_their_query(spark, tmp_path):
